@@ -1,8 +1,11 @@
 """Column-expression statistics: normal quantile, approximate Bayes factors,
 log-sum-exp helpers.
 
-Everything here is a pure ``Column`` expression, so it runs inside whole-stage
-codegen on the executors; no Python worker is involved.  Each expression also
+Everything here is built from Column expressions, so it runs inside whole-stage
+codegen on the executors; no Python worker is involved.  Multi-step formulas are
+``with_*(df, ...)`` helpers that stage every reused intermediate as its own
+column: Catalyst then keeps them as separate projections instead of inlining a
+large sub-expression into each of its uses.  Each expression also
 has a SQL-text twin (``*_sql``) built from the same coefficients, used by the
 DuckDB oracle so both engines evaluate the same arithmetic tree.
 """
@@ -11,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- Fixed values: Wichura (1988) algorithm AS241, PPND16 -------------------
@@ -63,19 +66,29 @@ def _horner_sql(coefs, r: str) -> str:
     return acc
 
 
-def normal_lower_quantile(p: Column) -> Column:
-    """Phi^-1(p) for 0 < p < 1 (AS241).  NULL outside (0, 1)."""
-    q = p - F.lit(0.5)
-    r_c = F.lit(0.180625) - q * q
-    central = q * _horner(AS241_A, r_c) / _horner(AS241_B, r_c)
-    r_t = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
-    tail_c = _horner(AS241_C, r_t - F.lit(1.6)) / _horner(AS241_D, r_t - F.lit(1.6))
-    tail_e = _horner(AS241_E, r_t - F.lit(5.0)) / _horner(AS241_F, r_t - F.lit(5.0))
-    tail = F.when(r_t <= 5.0, tail_c).otherwise(tail_e)
+def with_z_from_pval(df: DataFrame, p_col: str, out: str) -> DataFrame:
+    """Add ``out`` = Phi^-1(1 - p/2) (two-sided z), computed as -Phi^-1(p/2) so the
+    tail stays exact (AS241).  NULL unless 0 < p < 2 and not NaN.
+
+    Built in stages: every intermediate is its own column, so the optimizer never
+    inlines a non-trivial sub-expression into the repeated polynomial terms.
+    """
+    t = f"__{out}"
+    p = F.col(p_col) / F.lit(2.0)
+    df = df.withColumn(f"{t}_p", p).withColumn(f"{t}_q", F.col(f"{t}_p") - F.lit(0.5))
+    df = (df.withColumn(f"{t}_rc", F.lit(0.180625) - F.col(f"{t}_q") * F.col(f"{t}_q"))
+            .withColumn(f"{t}_rt", F.sqrt(-F.log(F.least(F.col(f"{t}_p"), F.lit(1.0) - F.col(f"{t}_p"))))))
+    df = (df.withColumn(f"{t}_r1", F.col(f"{t}_rt") - F.lit(1.6))
+            .withColumn(f"{t}_r5", F.col(f"{t}_rt") - F.lit(5.0)))
+    rc, r1, r5, q, pp = (F.col(f"{t}_rc"), F.col(f"{t}_r1"), F.col(f"{t}_r5"), F.col(f"{t}_q"),
+                         F.col(f"{t}_p"))
+    central = q * _horner(AS241_A, rc) / _horner(AS241_B, rc)
+    tail = F.when(F.col(f"{t}_rt") <= 5.0, _horner(AS241_C, r1) / _horner(AS241_D, r1)) \
+            .otherwise(_horner(AS241_E, r5) / _horner(AS241_F, r5))
     tail = F.when(q < 0, -tail).otherwise(tail)
-    return (F.when((p <= 0) | (p >= 1) | F.isnan(p), F.lit(None).cast("double"))
-            .when(F.abs(q) <= 0.425, central)
-            .otherwise(tail))
+    quant = (F.when((pp <= 0) | (pp >= 1) | F.isnan(pp), F.lit(None).cast("double"))
+              .when(F.abs(q) <= 0.425, central).otherwise(tail))
+    return df.withColumn(out, -quant).drop(*[f"{t}_{x}" for x in ("p", "q", "rc", "rt", "r1", "r5")])
 
 
 def normal_lower_quantile_sql(p: str) -> str:
@@ -92,11 +105,6 @@ def normal_lower_quantile_sql(p: str) -> str:
             f"WHEN abs({q}) <= 0.425 THEN {central} ELSE {tail} END)")
 
 
-def z_from_pval(p: Column) -> Column:
-    """Two-sided z: Phi^-1(1 - p/2), computed as -Phi^-1(p/2) to keep the tail exact."""
-    return -normal_lower_quantile(p / F.lit(2.0))
-
-
 def z_from_pval_sql(p: str) -> str:
     return f"(-{normal_lower_quantile_sql(f'({p} / 2.0)')})"
 
@@ -110,17 +118,23 @@ def eaf_to_maf_sql(eaf: str) -> str:
     return f"(CASE WHEN {eaf} <= 0.5 THEN {eaf} ELSE 1.0 - {eaf} END)"
 
 
-def log_abf(z: Column, maf: Column, n: Column, is_cc: Column, s: Column) -> Column:
-    """Wakefield approximate log Bayes factor for one variant.
+def with_log_abf(df: DataFrame, z: str, maf: str, n: str, is_cc: str, s: str, out: str) -> DataFrame:
+    """Add ``out``: Wakefield approximate log Bayes factor for one variant.
 
     V = 1 / (2 N f (1-f) [s (1-s)]), W = prior sd^2, r = W / (W + V),
     lABF = (ln(1 - r) + r z^2) / 2.
     """
-    base = F.lit(2.0) * n * maf * (F.lit(1.0) - maf)
-    v = F.when(is_cc, F.lit(1.0) / (base * s * (F.lit(1.0) - s))).otherwise(F.lit(1.0) / base)
-    w = F.when(is_cc, F.lit(PRIOR_SD_CC ** 2)).otherwise(F.lit(PRIOR_SD_QUANT ** 2))
-    r = w / (w + v)
-    return F.lit(0.5) * (F.log(F.lit(1.0) - r) + r * z * z)
+    t = f"__{out}"
+    base = F.lit(2.0) * F.col(n) * F.col(maf) * (F.lit(1.0) - F.col(maf))
+    cc = F.col(is_cc)
+    df = df.withColumn(f"{t}_v", F.when(cc, F.lit(1.0) / (base * F.col(s) * (F.lit(1.0) - F.col(s))))
+                       .otherwise(F.lit(1.0) / base))
+    w = F.when(cc, F.lit(PRIOR_SD_CC ** 2)).otherwise(F.lit(PRIOR_SD_QUANT ** 2))
+    df = df.withColumn(f"{t}_w", w)
+    df = df.withColumn(f"{t}_r", F.col(f"{t}_w") / (F.col(f"{t}_w") + F.col(f"{t}_v")))
+    r = F.col(f"{t}_r")
+    return (df.withColumn(out, F.lit(0.5) * (F.log(F.lit(1.0) - r) + r * F.col(z) * F.col(z)))
+              .drop(f"{t}_v", f"{t}_w", f"{t}_r"))
 
 
 def log_abf_sql(z: str, maf: str, n: str, is_cc: str, s: str) -> str:
@@ -134,11 +148,15 @@ def log_abf_sql(z: str, maf: str, n: str, is_cc: str, s: str) -> str:
 NEG_INF = float("-inf")
 
 
-def log_diff(x: Column, y: Column) -> Column:
-    """ln(exp(x) - exp(y)) with a max shift; -Infinity when the difference is <= 0."""
-    m = F.greatest(x, y)
-    d = F.exp(x - m) - F.exp(y - m)
-    return F.when(d > 0, m + F.log(d)).otherwise(F.lit(NEG_INF))
+def with_log_diff(df: DataFrame, x: str, y: str, out: str) -> DataFrame:
+    """Add ``out`` = ln(exp(x) - exp(y)) with a max shift; -Infinity when the
+    difference is <= 0 (Spark's ln(0) would be NULL)."""
+    t = f"__{out}"
+    df = df.withColumn(f"{t}_m", F.greatest(F.col(x), F.col(y)))
+    df = df.withColumn(f"{t}_d", F.exp(F.col(x) - F.col(f"{t}_m")) - F.exp(F.col(y) - F.col(f"{t}_m")))
+    return (df.withColumn(out, F.when(F.col(f"{t}_d") > 0, F.col(f"{t}_m") + F.log(F.col(f"{t}_d")))
+                          .otherwise(F.lit(NEG_INF)))
+              .drop(f"{t}_m", f"{t}_d"))
 
 
 def log_diff_sql(x: str, y: str) -> str:
@@ -147,14 +165,15 @@ def log_diff_sql(x: str, y: str) -> str:
     return f"(CASE WHEN {d} > 0 THEN {m} + ln({d}) ELSE CAST('-Infinity' AS DOUBLE) END)"
 
 
-def log_sum_exp(*xs: Column) -> Column:
-    """ln(sum(exp(x))) over a fixed list of columns (row-wise)."""
-    m = F.greatest(*xs)
+def with_log_sum_exp(df: DataFrame, cols, out: str) -> DataFrame:
+    """Add ``out`` = ln(sum(exp(c))) over a fixed list of columns (row-wise)."""
+    t = f"__{out}_m"
+    df = df.withColumn(t, F.greatest(*[F.col(c) for c in cols]))
     total = None
-    for x in xs:
-        t = F.exp(x - m)
-        total = t if total is None else total + t
-    return m + F.log(total)
+    for c in cols:
+        e = F.exp(F.col(c) - F.col(t))
+        total = e if total is None else total + e
+    return df.withColumn(out, F.col(t) + F.log(total)).drop(t)
 
 
 def log_sum_exp_sql(*xs: str) -> str:

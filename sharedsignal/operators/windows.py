@@ -24,14 +24,17 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int)
 
 
 def keep_first(df: DataFrame, subset: Sequence[str], order_col: str, ascending: bool = True,
-               tiebreak: Sequence[str] = ()) -> DataFrame:
+               tiebreak: Sequence[str] = (), order_digits: int | None = None) -> DataFrame:
     """drop_duplicates(keep='first') by ``order_col`` within ``subset``.
 
     NULLs of the order column sort last in both directions.  ``tiebreak``
     columns make the order total (the legacy code used a non-deterministic row id).
+    ``order_digits`` compares the order column rounded to that many decimals,
+    so values equal up to floating-point summation noise count as ties.
     """
     if not isinstance(subset, (list, tuple)):
         raise TypeError("subset must be a list of column names")
-    oc = F.col(order_col).asc_nulls_last() if ascending else F.col(order_col).desc_nulls_last()
+    o = F.col(order_col) if order_digits is None else F.round(F.col(order_col), order_digits)
+    oc = o.asc_nulls_last() if ascending else o.desc_nulls_last()
     order = [oc] + [F.col(c).asc_nulls_last() for c in tiebreak]
     return top_k_per_group(df, subset, order, 1)
