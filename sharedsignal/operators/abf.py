@@ -157,3 +157,32 @@ def colocalise(tests: DataFrame, sumstats: DataFrame, window_kb: int = COLOC_WIN
                min_maf: float | None = MIN_MAF) -> DataFrame:
     """Convenience: prepare signals (no conditioning) and run coloc for all tests."""
     return run_coloc(tests, prepare_signals(tests, sumstats, window_kb, min_maf))
+
+
+def side_constants(shared: DataFrame) -> DataFrame:
+    """Per test and side, N, cases = min(n_cases, N - n_cases), s = cases / N
+    and the cc flag, from the first shared variant in variant-id order."""
+    vid = variant_id("chrom", "pos", "ref", "alt")
+    cols = [F.col(f"{s}_{c}") for s in SIDES for c in ("n", "ncases", "cc")]
+    g = shared.groupBy("test_id").agg(F.min_by(F.struct(*cols), vid).alias("f"))
+    out = [F.col("test_id")]
+    for s in SIDES:
+        n = F.col(f"f.{s}_n")
+        nc = F.least(F.col(f"f.{s}_ncases"), n - F.col(f"f.{s}_ncases"))
+        out += [n.alias(f"{s}_N"), nc.alias(f"{s}_cases"), (nc.cast("double") / n).alias(f"{s}_s"),
+                F.coalesce(F.col(f"f.{s}_cc"), F.lit(False)).alias(f"{s}_is_cc")]
+    return g.select(*out)
+
+
+def abf_per_variant(stats: DataFrame) -> DataFrame:
+    """A4 on prepared statistics: lABF of every (signal, variant) with the row's
+    own N / cases / cc (rows with p <= 0, MAF <= 0 or NaN are dropped)."""
+    n = F.col("n_total").cast("double")
+    nc = F.col("n_cases").cast("double")
+    x = stats.withColumns({"__N": n, "__s": F.least(nc, n - nc) / n,
+                           "__cc": F.coalesce(F.col("is_cc"), F.lit(False)),
+                           "maf": eaf_to_maf(F.col("eaf"))})
+    x = x.filter((F.col("pval") > 0) & ~F.isnan("pval") & (F.col("maf") > 0) & ~F.isnan("maf"))
+    x = with_z_from_pval(x, "pval", "z")
+    x = with_log_abf(x, "z", "maf", "__N", "__cc", "__s", "labf")
+    return x.drop("__N", "__s", "__cc")

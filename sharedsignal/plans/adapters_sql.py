@@ -34,7 +34,7 @@ SELECT st,
   substr('CGTA', CAST(pk % 4 + 1 AS INTEGER), 1) AS alt,
   CAST(min_disc - 0.05 AS DOUBLE) AS beta,
   CAST(0.01 + min_tax AS DOUBLE) AS se,
-  CAST(power(10.0, -min_price / 10000) AS DOUBLE) AS pval,
+  CAST(CAST(power(10.0, -min_price / 10000) AS FLOAT) AS DOUBLE) AS pval,
   CAST(1000 + 10 * st AS INTEGER) AS n_total,
   CASE WHEN st % 2 = 0 THEN CAST(floor(CAST(1000 + 10 * st AS INTEGER) / 4) AS INTEGER) END AS n_cases,
   CAST(min_qty / 51 AS DOUBLE) AS eaf,

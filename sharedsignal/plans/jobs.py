@@ -41,10 +41,24 @@ def signal_stats(spark: SparkSession, d: str, t: DataFrame | None = None) -> Dat
     return abf.prepare_signals(t, A.sumstats(spark, d))
 
 
-def coloc_raw(spark: SparkSession, d: str) -> DataFrame:
+_RAW_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
+def clear_cache() -> None:
+    _RAW_CACHE.clear()
+
+
+def coloc_raw(spark: SparkSession, d: str, reuse: bool = True) -> DataFrame:
+    """Raw coloc results, written to the scratch folder.  Within one session the
+    written table is reused by later queries on the same inputs (``reuse``)."""
+    k = (id(spark._jsparkSession), d)
+    if reuse and k in _RAW_CACHE:
+        return _RAW_CACHE[k]
     t = tests(spark, d)
     stats = materialize(signal_stats(spark, d, t), "signal_stats")
-    return materialize(abf.run_coloc(t, stats), "coloc_raw")
+    out = materialize(abf.run_coloc(t, stats), "coloc_raw")
+    _RAW_CACHE[k] = out
+    return out
 
 
 def coloc_processed(spark: SparkSession, d: str, min_vars: int = QUERY_MIN_VARS) -> DataFrame:
@@ -66,3 +80,57 @@ def lead_variants(spark: SparkSession, d: str) -> DataFrame:
         x = raw.select(*[F.col(f"{s}_{c}").alias(f"lead_{c}") for c in ("chrom", "pos", "ref", "alt")])
         out = x if out is None else out.unionByName(x)
     return out.distinct()
+
+
+def ld_for_features(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    """Synthetic LD (R = exp(-|d|/50 kb)) between result leads and sumstats variants."""
+    raw = coloc_raw(spark, d) if raw is None else raw
+    from ..operators.ld import distinct_lead_variants
+    variants = A.sumstats(spark, d).select("chrom", "pos", "ref", "alt").distinct()
+    return A.ld_model(variants, distinct_lead_variants(raw))
+
+
+FEATURE_MIN_VARS = QUERY_MIN_VARS
+
+
+def coloc_features(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.features import build_features
+    raw = coloc_raw(spark, d)
+    coloc = rs.make_symmetric(rs.add_ratios(rs.rename_raw(raw)))
+    return build_features(ld_for_features(spark, d, raw), coloc, A.toploci(spark, d), FEATURE_MIN_VARS)
+
+
+def previous_release(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    """Earlier release: raw results with even left_pos, carrying a legacy extra column."""
+    raw = coloc_raw(spark, d) if raw is None else raw
+    return (raw.filter(F.col("left_pos") % 2 == 0)
+               .withColumn("left_sumstat", F.concat(F.lit("/data/"), F.col("left_study"), F.lit(".parquet"))))
+
+
+def new_release(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+    raw = coloc_raw(spark, d) if raw is None else raw
+    return raw.filter(F.col("left_pos") % 2 == 1)
+
+
+def toploci_leads(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct top-locus variants as LD leads."""
+    return A.toploci(spark, d).select(*[F.col(c).alias(f"lead_{c}") for c in ("chrom", "pos", "ref", "alt")]).distinct()
+
+
+def event_log_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Task-log lines derived from the ``events`` table: one log per user, one line
+    per event; errors become ERROR lines (half of them 'no intersection'), the
+    rest report 'Time taken: h:mm:ss.ffffff' with value x 37 seconds."""
+    from ..sources.io import read_table
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    secs = F.col("value") * F.lit(37.0)
+    h = F.floor(secs / 3600)
+    m = F.floor((secs - h * 3600) / 60)
+    s = secs - h * 3600 - m * 60
+    line = (F.when((F.col("event_type") == "error") & (F.col("event_id") % 2 == 0),
+                   F.lit("ERROR Cannot run coloc with no intersection"))
+             .when(F.col("event_type") == "error",
+                   F.concat(F.lit("ERROR conditioning failed for task "), F.col("event_id").cast("string")))
+             .otherwise(F.concat(F.lit("INFO Time taken: "), h.cast("string"), F.lit(":"),
+                                 F.lpad(m.cast("string"), 2, "0"), F.lit(":"), F.format_string("%09.6f", s))))
+    return ev.select(F.col("user_id").alias("log_id"), F.col("event_id").alias("line_no"), line.alias("line"))

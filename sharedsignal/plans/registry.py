@@ -32,21 +32,21 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, cols, digits: int = DIGITS) -> DataFrame:
     cols = set(cols)
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c)
+    return df.select(*[F.round(F.col(f"`{c}`"), digits).alias(c) if c in cols else F.col(f"`{c}`")
                        for c in df.columns])
 
 
 def rounded_sql(body: str, all_cols, cols, digits: int = DIGITS) -> str:
     cols = set(cols)
-    sel = ", ".join(f"round({c}, {digits}) AS {c}" if c in cols else c for c in all_cols)
+    sel = ", ".join(f'round("{c}", {digits}) AS "{c}"' if c in cols else f'"{c}"' for c in all_cols)
     return f"SELECT {sel} FROM ({body}) q"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalog  # noqa: F401  (registers everything)
+    from . import catalog, catalog_more  # noqa: F401  (registers everything)
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog  # noqa: F401
+    from . import catalog, catalog_more  # noqa: F401
     return dict(_SQL)

@@ -55,7 +55,8 @@ def _sumstats_with_st(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("substr('CGTA', CAST(pk % 4 + 1 AS INT), 1)").alias("alt"),
         (F.col("min_disc") - F.lit(0.05)).cast("double").alias("beta"),
         (F.lit(0.01) + F.col("min_tax")).cast("double").alias("se"),
-        F.pow(F.lit(10.0), -F.col("min_price") / F.lit(10000)).cast("double").alias("pval"),
+        # float32-rounded so that both engines' pow() give bit-identical adapter values
+        F.pow(F.lit(10.0), -F.col("min_price") / F.lit(10000)).cast("float").cast("double").alias("pval"),
         n_total.alias("n_total"),
         F.when(st % 2 == 0, F.floor(n_total / F.lit(4)).cast("int")).alias("n_cases"),
         (F.col("min_qty") / F.lit(51)).cast("double").alias("eaf"),

@@ -72,8 +72,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def none_to_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Map the literal text ``"None"`` (legacy partition paths) to NULL."""
     out = df
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     for c in cols:
-        if c in df.columns:
+        if c in strings:
             out = out.withColumn(c, F.when(F.col(c) == "None", F.lit(None).cast("string"))
                                  .otherwise(F.col(c)))
     return out
