@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference pipeline is batch only: no stream source, watermark or stateful
+step exists in it, so nothing is built here.  Incremental re-runs are batch
+anti-joins against the results already written (``operators.manifest.
+filter_manifest`` and ``tests_todo``).
+"""
