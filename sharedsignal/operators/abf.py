@@ -58,12 +58,16 @@ def prepare_signals(tests: DataFrame, sumstats: DataFrame, window_kb: int = COLO
 def harmonise(tests: DataFrame, stats: DataFrame) -> DataFrame:
     """Shared variants of each test (inner join of the two signals on variant)."""
     t = tests.select("test_id", "left_signal_id", "right_signal_id")
+    # z and MAF depend on the (signal, variant) row only: computed once per prepared
+    # row on the scan side, not once per test that reuses the signal.
+    pre = with_z_from_pval(stats.withColumn("maf", eaf_to_maf(F.col("eaf"))), "pval", "z")
 
     def side(p):
-        return stats.select(F.col("signal_id").alias(f"{p}_signal_id"), "chrom", "pos", "ref", "alt",
-                            F.col("pval").alias(f"{p}_pval"), F.col("eaf").alias(f"{p}_eaf"),
-                            F.col("n_total").alias(f"{p}_n"), F.col("n_cases").alias(f"{p}_ncases"),
-                            F.col("is_cc").alias(f"{p}_cc"))
+        return pre.select(F.col("signal_id").alias(f"{p}_signal_id"), "chrom", "pos", "ref", "alt",
+                          F.col("pval").alias(f"{p}_pval"), F.col("maf").alias(f"{p}_maf"),
+                          F.col("z").alias(f"{p}_z"),
+                          F.col("n_total").alias(f"{p}_n"), F.col("n_cases").alias(f"{p}_ncases"),
+                          F.col("is_cc").alias(f"{p}_cc"))
 
     return (t.join(side("left"), "left_signal_id")
              .join(side("right"), ["right_signal_id", "chrom", "pos", "ref", "alt"]))
@@ -81,16 +85,21 @@ def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_
     vid = variant_id("chrom", "pos", "ref", "alt")
     first = F.min_by(F.struct(*[F.col(f"{s}_{c}") for s in SIDES for c in ("n", "ncases", "cc")]),
                      vid).over(w)
-    x = shared.withColumn("__first", first)
+    x = shared
+    for s in SIDES:  # rows from ``harmonise`` carry z and MAF; raw rows get them here
+        if f"{s}_maf" not in x.columns:
+            x = x.withColumn(f"{s}_maf", eaf_to_maf(F.col(f"{s}_eaf")))
+        if f"{s}_z" not in x.columns:
+            x = with_z_from_pval(x, f"{s}_pval", f"{s}_z")
+    x = x.withColumn("__first", first)
     cols = ["test_id"]
     for s in SIDES:
         n = F.col(f"__first.{s}_n").cast("double")
         nc = F.col(f"__first.{s}_ncases").cast("double")
         x = (x.withColumn(f"{s}_N", n)
               .withColumn(f"{s}_s", F.least(nc, n - nc) / n)
-              .withColumn(f"{s}_iscc", F.coalesce(F.col(f"__first.{s}_cc"), F.lit(False)))
-              .withColumn(f"{s}_maf", eaf_to_maf(F.col(f"{s}_eaf"))))
-        cols += [f"{s}_N", f"{s}_s", f"{s}_iscc", f"{s}_maf", f"{s}_pval"]
+              .withColumn(f"{s}_iscc", F.coalesce(F.col(f"__first.{s}_cc"), F.lit(False))))
+        cols += [f"{s}_N", f"{s}_s", f"{s}_iscc", f"{s}_maf", f"{s}_pval", f"{s}_z"]
     x = x.select(*cols)
     valid = None
     for s in SIDES:
@@ -99,7 +108,6 @@ def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_
         valid = v if valid is None else valid & v
     x = x.filter(valid)
     for s, tag in (("left", "l1"), ("right", "l2")):
-        x = with_z_from_pval(x, f"{s}_pval", f"{s}_z")
         x = with_log_abf(x, f"{s}_z", f"{s}_maf", f"{s}_N", f"{s}_iscc", f"{s}_s", tag)
     x = x.select("test_id", "l1", "l2", (F.col("l1") + F.col("l2")).alias("l12"))
     x = (x.withColumn("m1", F.max("l1").over(w)).withColumn("m2", F.max("l2").over(w))

@@ -73,21 +73,21 @@ def sumstats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sumstats_with_st(spark, sf_dir).select(*SUMSTATS_COLS)
 
 
-def toploci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two best signals per study x phenotype x feature x chromosome."""
+def toploci(spark: SparkSession, sf_dir: str, per_group: int = TOPLOCI_PER_GROUP) -> DataFrame:
+    """The best ``per_group`` (2) signals per study x phenotype x feature x chromosome."""
     ss = sumstats(spark, sf_dir)
     top = top_k_per_group(ss, ["study_id", "phenotype_id", "bio_feature", "chrom"],
-                          [F.col("pval").asc(), F.col("pos").asc()], TOPLOCI_PER_GROUP)
+                          [F.col("pval").asc(), F.col("pos").asc()], per_group)
     return top.select(
         "study_id", "phenotype_id", "bio_feature", "chrom", "pos", "ref", "alt",
         F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt").alias("variant_id"),
         "pval")
 
 
-def credset(spark: SparkSession, sf_dir: str) -> DataFrame:
+def credset(spark: SparkSession, sf_dir: str, per_group: int = TOPLOCI_PER_GROUP) -> DataFrame:
     """Credible sets: sumstats rows with p <= 1e-2 within 500 kb of a top locus."""
     ss = _sumstats_with_st(spark, sf_dir).filter(F.col("pval") <= CREDSET_P99)
-    leads = toploci(spark, sf_dir).select(
+    leads = toploci(spark, sf_dir, per_group).select(
         "study_id", "phenotype_id", "bio_feature",
         F.col("chrom").alias("lead_chrom"), F.col("pos").alias("lead_pos"),
         F.col("ref").alias("lead_ref"), F.col("alt").alias("lead_alt"))
