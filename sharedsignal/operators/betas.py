@@ -16,6 +16,11 @@ def join_betas(coloc: DataFrame, sumstats: DataFrame) -> DataFrame:
     A sort-merge join on all seven keys (null-safe keys hash as value + null
     flag), so no single study or variant becomes one task.
     """
+    # Only (study, chromosome) combinations that occur in the coloc table are read:
+    # a semi-join on a key set bounded by studies x chromosomes (AQE broadcasts it
+    # once measured; on a study/chrom-partitioned table it also prunes files).
+    keys = coloc.select(F.col("right_study").alias("study_id"), F.col("left_chrom").alias("chrom")).distinct()
+    sumstats = sumstats.join(keys, ["study_id", "chrom"], "left_semi")
     ss = sumstats.select(
         F.col("chrom").alias("__chrom"), F.col("pos").alias("__pos"), F.col("ref").alias("__ref"),
         F.col("alt").alias("__alt"), F.col("study_id").alias("__study"),

@@ -3,6 +3,8 @@ features, conditional analysis, models and logs (SURVEY 2.3-2.8)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions.stats import eaf_to_maf_sql, log_abf_sql, z_from_pval_sql
@@ -392,17 +394,19 @@ def q_method_switch(spark, d):
 # 2.8 LD
 # ============================================================================
 
-def _ld_sql(leads_sql: str, extra_where: str = "") -> str:
+def _ld_sql(leads_sql: str, extra_where: str = "", window: int = 500000, digits: int | None = 9) -> str:
+    out = (f"round(R_EUR, {digits}) AS R_EUR, round(R_EUR * R_EUR, {digits}) AS R2_EUR" if digits is not None
+           else "R_EUR, R_EUR * R_EUR AS R2_EUR")
     return f"""WITH mom AS (SELECT chrom, pos, ref, alt, CAST(sum(dosage) AS DOUBLE) AS sx,
        CAST(sum(dosage * dosage) AS DOUBLE) AS sxx FROM genotypes GROUP BY chrom, pos, ref, alt),
 leads AS (SELECT DISTINCT l.lead_chrom, l.lead_pos, l.lead_ref, l.lead_alt, m.sx AS lsx, m.sxx AS lsxx
   FROM ({leads_sql}) l JOIN mom m ON m.chrom = l.lead_chrom AND m.pos = l.lead_pos AND m.ref = l.lead_ref AND m.alt = l.lead_alt),
 pairs AS (SELECT l.*, t.chrom AS tag_chrom, t.pos AS tag_pos, t.ref AS tag_ref, t.alt AS tag_alt, t.sx AS tsx, t.sxx AS tsxx
-  FROM leads l JOIN mom t ON t.chrom = l.lead_chrom AND abs(CAST(t.pos AS BIGINT) - l.lead_pos) <= 500000),
+  FROM leads l JOIN mom t ON t.chrom = l.lead_chrom AND abs(CAST(t.pos AS BIGINT) - l.lead_pos) <= {window}),
 cross_m AS (SELECT l.lead_chrom, l.lead_pos, l.lead_ref, l.lead_alt, y.chrom AS tag_chrom, y.pos AS tag_pos,
     y.ref AS tag_ref, y.alt AS tag_alt, CAST(sum(x.dosage * y.dosage) AS DOUBLE) AS sxy
   FROM leads l JOIN genotypes x ON x.chrom = l.lead_chrom AND x.pos = l.lead_pos AND x.ref = l.lead_ref AND x.alt = l.lead_alt
-  JOIN genotypes y ON y.sample_id = x.sample_id AND y.chrom = x.chrom AND abs(CAST(y.pos AS BIGINT) - x.pos) <= 500000
+  JOIN genotypes y ON y.sample_id = x.sample_id AND y.chrom = x.chrom AND abs(CAST(y.pos AS BIGINT) - x.pos) <= {window}
   GROUP BY ALL),
 r AS (SELECT p.lead_chrom, p.lead_pos, p.lead_ref, p.lead_alt, p.tag_chrom, p.tag_pos, p.tag_ref, p.tag_alt,
     CASE WHEN sqrt((100.0 * lsxx - lsx * lsx) * (100.0 * tsxx - tsx * tsx)) > 0 THEN
@@ -410,8 +414,8 @@ r AS (SELECT p.lead_chrom, p.lead_pos, p.lead_ref, p.lead_alt, p.tag_chrom, p.ta
   FROM pairs p LEFT JOIN cross_m c ON c.lead_chrom = p.lead_chrom AND c.lead_pos = p.lead_pos AND c.lead_ref = p.lead_ref
    AND c.lead_alt = p.lead_alt AND c.tag_chrom = p.tag_chrom AND c.tag_pos = p.tag_pos AND c.tag_ref = p.tag_ref
    AND c.tag_alt = p.tag_alt)
-SELECT lead_chrom, lead_pos, lead_ref, lead_alt, tag_chrom, tag_pos, tag_ref, tag_alt, round(R_EUR, 9) AS R_EUR,
-  round(R_EUR * R_EUR, 9) AS R2_EUR FROM r {extra_where}"""
+SELECT lead_chrom, lead_pos, lead_ref, lead_alt, tag_chrom, tag_pos, tag_ref, tag_alt, {out}
+FROM r {extra_where}"""
 
 
 _TL_LEADS = "SELECT DISTINCT chrom AS lead_chrom, pos AS lead_pos, ref AS lead_ref, alt AS lead_alt FROM toploci"
@@ -671,11 +675,66 @@ def _cond_inputs(spark, d):
     return sig, wstats, conds
 
 
-@query("cojo_single")
+def _erfc_p_sql(z: str) -> str:
+    x = f"(abs({z}) / {math.sqrt(2.0)!r})"
+    t = f"(1.0 / (1.0 + 0.5 * {x}))"
+    acc = repr(cd.ERFC_COEFS[-1])
+    for c in reversed(cd.ERFC_COEFS[:-1]):
+        acc = f"({acc} * {t} + {c!r})"
+    return f"({t} * exp(-{x} * {x} + {acc}))"
+
+
+_LOC = ", ".join(LOCUS_COLS)
+_COND_SQL = f"""SELECT DISTINCT {', '.join('g.' + c for c in LOCUS_COLS)}, t.chrom AS cond_chrom,
+  t.pos AS cond_pos, t.ref AS cond_ref, t.alt AS cond_alt
+FROM signals_v g JOIN toploci t ON t.study_id = g.study_id AND t.phenotype_id IS NOT DISTINCT FROM g.phenotype_id
+  AND t.bio_feature IS NOT DISTINCT FROM g.bio_feature AND t.chrom = g.lead_chrom
+WHERE NOT (t.pos = g.lead_pos AND t.ref = g.lead_ref AND t.alt = g.lead_alt)
+  AND EXISTS (SELECT 1 FROM sig_stats_cond_v w WHERE {nse_cols('w', 'g', LOCUS_COLS)}
+              AND w.chrom = t.chrom AND w.pos = t.pos AND w.ref = t.ref AND w.alt = t.alt)"""
+_C1_LEADS = ("SELECT DISTINCT cond_chrom AS lead_chrom, cond_pos AS lead_pos, cond_ref AS lead_ref, "
+             "cond_alt AS lead_alt FROM c1")
+_CVAR = "cond_chrom, cond_pos, cond_ref, cond_alt"
+COJO_COLS = LOCUS_COLS + ["chrom", "pos", "ref", "alt", "beta_cond", "se_cond", "pval_cond", "z_cond"]
+_COJO_SQL = f"""SELECT {_LOC}, chrom, pos, ref, alt, beta_cond, se_cond, {_erfc_p_sql('z_cond')} AS pval_cond, z_cond
+FROM (SELECT *, beta_cond / se_cond AS z_cond FROM (
+ SELECT *, CASE WHEN var_cond > 0 THEN sqrt(var_cond) END AS se_cond FROM (
+  SELECT *, s2 * (d_j - c_jk * c_jk / d_k) / (d_j * d_j) AS var_cond FROM (
+   SELECT *, (yy - d_k * b_k * b_k - d_j * beta * beta_cond) / (n_j - 2.0) AS s2 FROM (
+    SELECT *, beta - c_jk / d_j * b_k AS beta_cond FROM (
+     SELECT *, median(yy_j) OVER (PARTITION BY {_LOC}) AS yy FROM (
+      SELECT *, d_j * se * se * (n_j - 1.0) + d_j * beta * beta AS yy_j FROM (
+       SELECT *, 2.0 * v_j * n_j AS d_j, 2.0 * v_k * n_k AS d_k, least(n_j, n_k) * 2.0 * sqrt(v_j * v_k) * r AS c_jk FROM (
+        SELECT *, CAST(n_total AS DOUBLE) AS n_j, eaf * (1.0 - eaf) AS v_j, f_k * (1.0 - f_k) AS v_k FROM x2) a) b) c) d
+     WHERE NOT (pos = cond_pos AND ref = cond_ref AND alt = cond_alt AND chrom = cond_chrom) AND r * r <= 0.9) e) f) g) h) i"""
+
+
+def _cojo_single_sql() -> str:
+    ld = _ld_sql(_C1_LEADS, "", window=2_000_000, digits=None)
+    body = f"""cond_v AS ({_COND_SQL}),
+k1 AS (SELECT {_LOC} FROM cond_v GROUP BY {_LOC} HAVING count(*) = 1),
+c1 AS (SELECT c.* FROM cond_v c JOIN k1 ON {nse_cols('c', 'k1', LOCUS_COLS)}),
+ld AS ({ld}),
+x2 AS (SELECT {', '.join('w.' + c for c in LOCUS_COLS)}, w.chrom, w.pos, w.ref, w.alt, w.beta, w.se, w.eaf, w.n_total,
+    c.cond_chrom, c.cond_pos, c.cond_ref, c.cond_alt, ld.R_EUR AS r, k.beta AS b_k, k.eaf AS f_k,
+    CAST(k.n_total AS DOUBLE) AS n_k
+  FROM sig_stats_cond_v w JOIN c1 c ON {nse_cols('w', 'c', LOCUS_COLS)}
+  JOIN ld ON ld.lead_chrom = c.cond_chrom AND ld.lead_pos = c.cond_pos AND ld.lead_ref = c.cond_ref
+   AND ld.lead_alt = c.cond_alt AND ld.tag_chrom = w.chrom AND ld.tag_pos = w.pos AND ld.tag_ref = w.ref
+   AND ld.tag_alt = w.alt
+  JOIN sig_stats_cond_v k ON {nse_cols('k', 'c', LOCUS_COLS)} AND k.chrom = c.cond_chrom AND k.pos = c.cond_pos
+   AND k.ref = c.cond_ref AND k.alt = c.cond_alt)
+{rounded_sql(_COJO_SQL, COJO_COLS, COJO_COLS[-4:])}"""
+    head = with_adapters("SELECT 1", "signals_v", "toploci", "sig_stats_cond_v", "genotypes")
+    return head[: head.rfind("SELECT 1")].rstrip() + ",\n" + body
+
+
+@query("cojo_single", _cojo_single_sql())
 def q_cojo_single(spark, d):
-    """C1, k = 1: closed-form conditional statistics."""
+    """C1, k = 1: closed-form conditional statistics (signals with one conditioning variant)."""
     sig, ws, conds = _cond_inputs(spark, d)
-    return cd.cojo_single(ws, conds, A.genotypes(spark, d), A.GENOTYPE_SAMPLES)
+    out = cd.cojo_single(ws, conds, A.genotypes(spark, d), A.GENOTYPE_SAMPLES)
+    return rounded(out.join(sig, "signal_id").select(*COJO_COLS), COJO_COLS[-4:])
 
 
 @query("cojo_multi")
