@@ -148,8 +148,8 @@ def q_results_scan_partitioned(spark, d):
 
 @query("overlap_write_json")
 def q_overlap_write_json(spark, d):
-    """Overlap table as one gzip JSON file."""
-    path = _read_back(jobs.overlap_table(spark, d), "overlap_json", lambda df, p: io.write_json(df, p, True))
+    """Overlap table as gzip JSON lines (distributed write; one file only on request)."""
+    path = _read_back(jobs.overlap_table(spark, d), "overlap_json", lambda df, p: io.write_json(df, p))
     return spark.read.json(path)
 
 

@@ -209,21 +209,27 @@ def write_range_sorted(df: DataFrame, path: str, chrom_col: str = "left_chrom",
 
 def partition_sumstats(df: DataFrame, path: str, mode: str = "append") -> None:
     """Hive layout study_id / bio_feature / chrom / phenotype_id."""
-    (df.repartition("study_id", "bio_feature", "chrom", "phenotype_id")
+    # range partitions over the hive keys *and* position: boundaries come from a sample,
+    # so a study/chromosome holding a large share of rows is split across tasks
+    _parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(_parts, "study_id", "bio_feature", "chrom", "phenotype_id", "pos")
+       .sortWithinPartitions("study_id", "bio_feature", "chrom", "phenotype_id", "pos")
        .write.mode(mode).partitionBy("study_id", "bio_feature", "chrom", "phenotype_id")
        .parquet(path, compression="snappy"))
 
 
 def partition_credset(df: DataFrame, path: str) -> None:
     """Gzip JSON partitioned by study_id / bio_feature / lead_chrom."""
-    (df.repartition("study_id", "bio_feature", "lead_chrom")
+    _parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(_parts, "study_id", "bio_feature", "lead_chrom", "lead_pos", "tag_pos")
        .write.mode("overwrite").partitionBy("study_id", "bio_feature", "lead_chrom")
        .json(path, compression="gzip"))
 
 
 def partition_toploci(df: DataFrame, path: str) -> None:
     """Top loci partitioned by chromosome."""
-    df.repartition("chrom").write.mode("overwrite").partitionBy("chrom").json(path)
+    _parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(_parts, "chrom", "pos").write.mode("overwrite").partitionBy("chrom").json(path)
 
 
 def concat_json(spark: SparkSession, paths: Sequence[str], out: str | None = None) -> DataFrame:
@@ -237,13 +243,14 @@ def concat_json(spark: SparkSession, paths: Sequence[str], out: str | None = Non
     return res
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV with header (the feature table is small: one file by default)."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with header; ``single_file`` funnels through one task (small outputs only)."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").csv(path, header=True)
 
 
 def write_signal_stats(df: DataFrame, path: str) -> None:
     """Prepared per-signal statistics, partitioned by chromosome, sorted by
     (signal_id, pos) inside files so a test reads contiguous row groups."""
-    (df.repartition("chrom", "signal_id").sortWithinPartitions("signal_id", "pos")
+    _parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(_parts, "chrom", "signal_id", "pos").sortWithinPartitions("signal_id", "pos")
        .write.mode("overwrite").partitionBy("chrom").parquet(path))
