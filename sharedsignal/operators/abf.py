@@ -30,17 +30,47 @@ from .sumstats import COLOC_WINDOW_KB, MIN_MAF, signal_stats
 SIDES = ("left", "right")
 
 
-def with_test_ids(tests: DataFrame) -> DataFrame:
-    """Add left_signal_id, right_signal_id and test_id (64-bit hashes of the ids)."""
-    out = tests
-    for s in SIDES:
-        out = out.withColumn(f"{s}_signal_id", locus_id(f"{s}_"))
+WINDOW_ANCHORS = ("own", "left")
+
+
+def _check_anchor(window_anchor: str) -> None:
+    if window_anchor not in WINDOW_ANCHORS:
+        raise ValueError(f"window_anchor must be one of {WINDOW_ANCHORS}")
+
+
+def with_test_ids(tests: DataFrame, window_anchor: str = "own") -> DataFrame:
+    """Add left_signal_id, right_signal_id and test_id (64-bit hashes of the ids).
+
+    With ``window_anchor='left'`` the right side's statistics are cut around the
+    left lead, so its signal id also carries that anchor.
+    """
+    _check_anchor(window_anchor)
+    out = tests.withColumn("left_signal_id", locus_id("left_"))
+    rid = locus_id("right_")
+    if window_anchor == "left":
+        rid = F.xxhash64(rid, F.col("left_lead_chrom"), F.col("left_lead_pos"))
+    out = out.withColumn("right_signal_id", rid)
     return out.withColumn("test_id", F.xxhash64("left_signal_id", "right_signal_id"))
 
 
-def signals_with_ids(tests: DataFrame) -> DataFrame:
-    """U5 + ids: distinct signals of both sides of the tests."""
-    return signals_to_prepare(tests).withColumn("signal_id", locus_id()).drop("ld")
+def signals_with_ids(tests: DataFrame, window_anchor: str = "own") -> DataFrame:
+    """U5 + ids: distinct signals of both sides of the tests.
+
+    ``lead_chrom`` / ``lead_pos`` are the window centre used by ``signal_stats``:
+    each signal's own lead (``'own'``, the optimised legacy path) or, for right
+    signals, the left lead of the test (``'left'``, the all-in-one legacy path).
+    """
+    _check_anchor(window_anchor)
+    if window_anchor == "own":
+        return signals_to_prepare(tests).withColumn("signal_id", locus_id()).drop("ld")
+    left = (tests.select(*[F.col(f"left_{c}").alias(c) for c in LOCUS_COLS]).distinct()
+                 .withColumn("signal_id", locus_id()))
+    right = tests.select(*[F.col(f"right_{c}").alias(c) for c in LOCUS_COLS],
+                         F.col("left_lead_chrom").alias("__ac"), F.col("left_lead_pos").alias("__ap")).distinct()
+    right = (right.withColumn("signal_id", F.xxhash64(locus_id(), F.col("__ac"), F.col("__ap")))
+                  .withColumn("lead_chrom", F.col("__ac")).withColumn("lead_pos", F.col("__ap"))
+                  .drop("__ac", "__ap"))
+    return left.unionByName(right).distinct()
 
 
 def id_collisions(signals: DataFrame) -> DataFrame:
@@ -50,9 +80,10 @@ def id_collisions(signals: DataFrame) -> DataFrame:
 
 
 def prepare_signals(tests: DataFrame, sumstats: DataFrame, window_kb: int = COLOC_WINDOW_KB,
-                    min_maf: float | None = MIN_MAF) -> DataFrame:
-    """M4 without LD: per-signal statistics within +-window_kb of its own lead."""
-    return signal_stats(signals_with_ids(tests), sumstats, window_kb, min_maf)
+                    min_maf: float | None = MIN_MAF, window_anchor: str = "own") -> DataFrame:
+    """M4 without LD: per-signal statistics within +-window_kb of the window centre
+    (its own lead, or the test's left lead for right signals with ``'left'``)."""
+    return signal_stats(signals_with_ids(tests, window_anchor), sumstats, window_kb, min_maf)
 
 
 def harmonise(tests: DataFrame, stats: DataFrame) -> DataFrame:
@@ -137,14 +168,16 @@ def results_naming(tests: DataFrame) -> list:
 
 
 def run_coloc(tests: DataFrame, stats: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
-              p12: float = PRIOR_P12) -> DataFrame:
+              p12: float = PRIOR_P12, window_anchor: str = "own") -> DataFrame:
     """M5: raw coloc results, one row per test with at least one usable shared variant.
 
     ``tests`` carries the 16 locus columns (manifest naming); ``stats`` is
-    ``prepare_signals`` output.  Output columns: left_/right_ x (type, study,
-    phenotype, bio_feature, chrom, pos, ref, alt), nsnps, coloc_h0..coloc_h4.
+    ``prepare_signals`` output built with the same ``window_anchor``.  Output
+    columns: left_/right_ x (type, study, phenotype, bio_feature, chrom, pos, ref,
+    alt), nsnps, coloc_h0..coloc_h4.
     """
-    t = with_test_ids(tests.select(*[f"{s}_{c}" for s in SIDES for c in LOCUS_COLS]).distinct())
+    t = with_test_ids(tests.select(*[f"{s}_{c}" for s in SIDES for c in LOCUS_COLS]).distinct(),
+                      window_anchor)
     post = coloc_posteriors(harmonise(t, stats), p1, p2, p12)
     return t.join(post, "test_id").select(*results_naming(t), "nsnps",
                                           *[f"coloc_h{i}" for i in range(5)])
@@ -162,9 +195,10 @@ def coloc_status(tests: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def colocalise(tests: DataFrame, sumstats: DataFrame, window_kb: int = COLOC_WINDOW_KB,
-               min_maf: float | None = MIN_MAF) -> DataFrame:
+               min_maf: float | None = MIN_MAF, window_anchor: str = "own") -> DataFrame:
     """Convenience: prepare signals (no conditioning) and run coloc for all tests."""
-    return run_coloc(tests, prepare_signals(tests, sumstats, window_kb, min_maf))
+    stats = prepare_signals(tests, sumstats, window_kb, min_maf, window_anchor)
+    return run_coloc(tests, stats, window_anchor=window_anchor)
 
 
 def side_constants(shared: DataFrame) -> DataFrame:
