@@ -72,7 +72,6 @@ SELECT sample_id, CAST(pk % 22 + 1 AS VARCHAR) AS chrom, CAST(pk * 200 AS INTEGE
 FROM (SELECT o.o_custkey % 100 AS sample_id, l.l_partkey AS pk,
              CAST(max(l.l_linenumber % 3) AS INTEGER) AS dosage
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-      WHERE l.l_partkey % 22 = 0
       GROUP BY o.o_custkey % 100, l.l_partkey) g
 WHERE dosage > 0""")
 

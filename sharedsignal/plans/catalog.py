@@ -294,9 +294,9 @@ def q_sumstats_region_filter(spark, d):
 
 
 @query("extract_window", S(f"SELECT {', '.join(SS_COLS)} FROM sumstats WHERE chrom = '3' "
-                           f"AND pos >= 1000000 - 500000 AND pos <= 1000000 + 500000", "sumstats"))
+                           f"AND pos >= 200000 - 100000 AND pos <= 200000 + 100000", "sumstats"))
 def q_extract_window(spark, d):
-    return sm.extract_window(A.sumstats(spark, d), "3", 1_000_000, 500)
+    return sm.extract_window(A.sumstats(spark, d), "3", 200_000, 100)
 
 
 @query("manifest_filter_overlap", S(f"SELECT {', '.join(O.OVERLAP_COLS)} FROM overlap_v "
@@ -306,9 +306,9 @@ def q_manifest_filter_overlap(spark, d):
 
 
 @query("manifest_filter_credset_size", S(f"SELECT {', '.join(O.OVERLAP_COLS)} FROM overlap_v "
-                                         f"WHERE greatest(left_num_tags, right_num_tags) <= 20", "overlap_v"))
+                                         f"WHERE greatest(left_num_tags, right_num_tags) <= 40", "overlap_v"))
 def q_manifest_filter_credset_size(spark, d):
-    return mf.filter_credset_size(jobs.overlap_table(spark, d), 20)
+    return mf.filter_credset_size(jobs.overlap_table(spark, d), 40)
 
 
 _custom_sql = "SELECT DISTINCT study_id FROM ss_st WHERE st % 4 = 1"
