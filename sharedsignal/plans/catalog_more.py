@@ -619,7 +619,9 @@ def q_feature_subsets(spark, d):
 @query("feature_vectors")
 def q_feature_vectors(spark, d):
     """24 features assembled into a vector (complete rows)."""
-    return im.feature_vectors(im.complete_rows(_features(spark, d))).select(*RES16, "features")
+    from pyspark.ml.functions import vector_to_array
+    v = im.feature_vectors(im.complete_rows(_features(spark, d)))
+    return v.select(*RES16, vector_to_array("features").alias("features"))
 
 
 @query("impute_ols")
