@@ -173,8 +173,8 @@ def signals_to_prepare(manifest: DataFrame, type_filter: str | None = None) -> D
     """Distinct signals of both sides (+ their LD reference), optional type filter."""
     out = None
     for side in SIDES:
-        s = manifest.select(*[F.col(f"{side}_{c}").alias(c) for c in LOCUS_COLS],
-                            F.col(f"{side}_ld").alias("ld"))
+        ld = F.col(f"{side}_ld") if f"{side}_ld" in manifest.columns else F.lit(None).cast("string")
+        s = manifest.select(*[F.col(f"{side}_{c}").alias(c) for c in LOCUS_COLS], ld.alias("ld"))
         if type_filter is not None:
             s = s.filter(F.col("type") == type_filter)
         out = s if out is None else out.unionByName(s)

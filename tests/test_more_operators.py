@@ -118,3 +118,27 @@ def test_materialize_uses_checkpoint_dir(spark):
     out = io.materialize(df, "unit")
     assert out.count() == 10
     assert io.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_window_anchor_left_cuts_right_side_around_left_lead(spark):
+    from sharedsignal.operators import abf
+    cols = [f"{s}_{c}" for s in SIDES for c in schemas.LOCUS_COLS]
+    schema = ", ".join(f"{c} {'int' if c.endswith('_pos') else 'string'}" for c in cols)
+    tests = spark.createDataFrame([("gwas", "G1", None, None, "1", 1_000_000, "A", "C",
+                                    "eqtl", "Q1", "E1", "T1", "1", 1_400_000, "A", "C")], schema)
+    ss_rows = [("G1", None, None, "1", p, "A", "C", 0.01, 0.01, 1e-3, 1000, None, 0.3, False)
+               for p in (600_000, 1_000_000, 1_450_000)]
+    ss_rows += [("Q1", "E1", "T1", "1", p, "A", "C", 0.01, 0.01, 1e-3, 1000, None, 0.3, False)
+                for p in (600_000, 1_000_000, 1_450_000, 1_850_000)]
+    ss = spark.createDataFrame(ss_rows, schemas.SUMSTATS)
+    own = abf.prepare_signals(tests, ss, window_anchor="own")
+    left = abf.prepare_signals(tests, ss, window_anchor="left")
+    right_id_own = abf.with_test_ids(tests).first().right_signal_id
+    right_id_left = abf.with_test_ids(tests, "left").first().right_signal_id
+    assert sorted(r.pos for r in own.filter(F.col("signal_id") == right_id_own).collect()) == \
+        [1_000_000, 1_450_000, 1_850_000]
+    assert sorted(r.pos for r in left.filter(F.col("signal_id") == right_id_left).collect()) == \
+        [600_000, 1_000_000, 1_450_000]
+    n_own = abf.run_coloc(tests, own).first().nsnps
+    n_left = abf.run_coloc(tests, left, window_anchor="left").first().nsnps
+    assert (n_own, n_left) == (2, 3)
