@@ -140,6 +140,17 @@ def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_
     x = x.filter(valid)
     for s, tag in (("left", "l1"), ("right", "l2")):
         x = with_log_abf(x, f"{s}_z", f"{s}_maf", f"{s}_N", f"{s}_iscc", f"{s}_s", tag)
+    return posteriors_from_labf(x.select("test_id", "l1", "l2"), p1, p2, p12)
+
+
+def posteriors_from_labf(x: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
+                         p12: float = PRIOR_P12) -> DataFrame:
+    """A5: (test_id, nsnps, coloc_h0..h4) from usable rows (test_id, l1, l2).
+
+    Log-sum-exp maxima come from a window on test_id and the sums from a
+    groupBy on test_id: both use the same hash partitioning (one exchange).
+    """
+    w = Window.partitionBy("test_id")
     x = x.select("test_id", "l1", "l2", (F.col("l1") + F.col("l2")).alias("l12"))
     x = (x.withColumn("m1", F.max("l1").over(w)).withColumn("m2", F.max("l2").over(w))
           .withColumn("m12", F.max("l12").over(w)))
@@ -161,6 +172,41 @@ def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_
                     *[F.exp(F.col(f"__lh{i}") - F.col("__den")).alias(f"coloc_h{i}") for i in range(5)])
 
 
+def uniform_study_constants(stats: DataFrame) -> bool:
+    """True when n_total, n_cases and is_cc are each constant (or all NULL) within
+    every signal.  Then the first-row rule of A6 picks the same values as any row,
+    and lABF can be computed once per (signal, variant).  One aggregate over the
+    prepared statistics (map-side partial, one row back to the driver)."""
+    tot = F.count(F.lit(1))
+    flags = []
+    for c in ("n_total", "n_cases", "is_cc"):
+        cnt = F.count(c)
+        flags.append((cnt == 0) | ((cnt == tot) & (F.min(c) == F.max(c))))
+    per = stats.groupBy("signal_id").agg((flags[0] & flags[1] & flags[2]).cast("int").alias("u"))
+    row = per.agg(F.min("u").alias("u")).first()
+    return row is None or row.u is None or row.u == 1
+
+
+def harmonise_labf(tests: DataFrame, stats: DataFrame) -> DataFrame:
+    """J10 for uniform study constants: lABF and the usable flag are computed once
+    per prepared (signal, variant) row, then the two sides are joined per test."""
+    n = F.col("n_total").cast("double")
+    nc = F.col("n_cases").cast("double")
+    pre = stats.withColumns({"maf": eaf_to_maf(F.col("eaf")), "__N": n, "__s": F.least(nc, n - nc) / n,
+                             "__cc": F.coalesce(F.col("is_cc"), F.lit(False))})
+    pre = with_z_from_pval(pre, "pval", "z")
+    pre = pre.withColumn("usable", (F.col("pval") > 0) & ~F.isnan("pval") & (F.col("maf") > 0) & ~F.isnan("maf"))
+    pre = with_log_abf(pre, "z", "maf", "__N", "__cc", "__s", "labf")
+    t = tests.select("test_id", "left_signal_id", "right_signal_id")
+
+    def side(p):
+        return pre.select(F.col("signal_id").alias(f"{p}_signal_id"), "chrom", "pos", "ref", "alt",
+                          F.col("usable").alias(f"{p}_usable"), F.col("labf").alias(f"{p}_l"))
+
+    return (t.join(side("left"), "left_signal_id")
+             .join(side("right"), ["right_signal_id", "chrom", "pos", "ref", "alt"]))
+
+
 def results_naming(tests: DataFrame) -> list:
     """Manifest locus columns -> results id columns (left_study, left_phenotype, ...)."""
     return [F.col(f"{s}_{m}").alias(f"{s}_{r}") for s in SIDES
@@ -168,17 +214,28 @@ def results_naming(tests: DataFrame) -> list:
 
 
 def run_coloc(tests: DataFrame, stats: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
-              p12: float = PRIOR_P12, window_anchor: str = "own") -> DataFrame:
+              p12: float = PRIOR_P12, window_anchor: str = "own", uniform: bool | None = None) -> DataFrame:
     """M5: raw coloc results, one row per test with at least one usable shared variant.
 
     ``tests`` carries the 16 locus columns (manifest naming); ``stats`` is
     ``prepare_signals`` output built with the same ``window_anchor``.  Output
     columns: left_/right_ x (type, study, phenotype, bio_feature, chrom, pos, ref,
     alt), nsnps, coloc_h0..coloc_h4.
+
+    ``uniform`` (checked on ``stats`` when None) selects the path: with study
+    constants constant per signal, lABF is computed per (signal, variant) and the
+    per-test first-row window is skipped; results are identical either way.
     """
     t = with_test_ids(tests.select(*[f"{s}_{c}" for s in SIDES for c in LOCUS_COLS]).distinct(),
                       window_anchor)
-    post = coloc_posteriors(harmonise(t, stats), p1, p2, p12)
+    if uniform is None:
+        uniform = uniform_study_constants(stats)
+    if uniform:
+        sh = harmonise_labf(t, stats).filter(F.col("left_usable") & F.col("right_usable"))
+        post = posteriors_from_labf(sh.select("test_id", F.col("left_l").alias("l1"), F.col("right_l").alias("l2")),
+                                    p1, p2, p12)
+    else:
+        post = coloc_posteriors(harmonise(t, stats), p1, p2, p12)
     return t.join(post, "test_id").select(*results_naming(t), "nsnps",
                                           *[f"coloc_h{i}" for i in range(5)])
 

@@ -111,3 +111,36 @@ def test_invalid_variants_dropped_but_first_row_constants_kept(spark):
     rows[1] = tuple(nan)
     g = coloc_posteriors(spark.createDataFrame(rows, SCHEMA)).collect()[0]
     assert g.nsnps == 8
+
+
+def test_uniform_fast_path_equals_first_row_path(spark):
+    from sharedsignal.operators.abf import run_coloc, uniform_study_constants
+    rng = np.random.default_rng(21)
+    cols = ("left", "right")
+    tests = spark.createDataFrame(
+        [("gwas", "G1", None, None, "1", 1000, "A", "C", "eqtl", "Q1", "E1", "T1", "1", 1500, "A", "C"),
+         ("gwas", "G2", None, None, "1", 1200, "A", "C", "eqtl", "Q1", "E1", "T1", "1", 1500, "A", "C")],
+        ", ".join(f"{s}_{c} {'int' if c == 'lead_pos' else 'string'}" for s in cols
+                  for c in ("type", "study_id", "phenotype_id", "bio_feature", "lead_chrom", "lead_pos",
+                            "lead_ref", "lead_alt")))
+    from sharedsignal.operators.abf import with_test_ids
+    ids = {r.left_study_id: (r.left_signal_id, r.right_signal_id) for r in with_test_ids(tests).collect()}
+    rows = []
+    for sid, n, nc, cc in ((ids["G1"][0], 5000, None, False), (ids["G2"][0], 3000, 900, True),
+                           (ids["G1"][1], 800, None, False)):
+        for i in range(40):
+            p = 0.0 if i == 3 else float(10 ** -rng.uniform(0, 10))
+            rows.append((sid, "1", 1000 + i, "A", "C", 0.1, 0.01, p, n, nc, float(rng.uniform(0.01, 0.99)), cc))
+    stats = spark.createDataFrame(rows, "signal_id long, chrom string, pos int, ref string, alt string, beta double, "
+                                        "se double, pval double, n_total int, n_cases int, eaf double, is_cc boolean")
+    assert uniform_study_constants(stats)
+    fast = {r.left_study: r for r in run_coloc(tests, stats, uniform=True).collect()}
+    slow = {r.left_study: r for r in run_coloc(tests, stats, uniform=False).collect()}
+    assert set(fast) == set(slow) == {"G1", "G2"}
+    for k in fast:
+        assert fast[k].nsnps == slow[k].nsnps == 39
+        for i in range(5):
+            assert getattr(fast[k], f"coloc_h{i}") == getattr(slow[k], f"coloc_h{i}")
+    mixed = stats.union(spark.createDataFrame([(ids["G1"][0], "1", 5000, "A", "C", 0.1, 0.01, 0.5, 4999, None, 0.3, False)],
+                                              stats.schema))
+    assert not uniform_study_constants(mixed)
