@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import fmindex, simhash
 from .common import ensure_scratch
 
 
@@ -20,9 +20,10 @@ def _with_scratch(fn):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op6_simhash_near_dedup": simhash.query,
+        "op7_benchmark_decontamination": fmindex.query,
     }
     return {k: _with_scratch(f) for k, f in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_benchmark_decontamination": fmindex.SQL}
