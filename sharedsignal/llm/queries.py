@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fmindex, simhash
+from . import costpack, fmindex, simhash
 from .common import ensure_scratch
 
 
@@ -19,6 +19,7 @@ def _with_scratch(fn):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op4_cost_balanced_packing": costpack.query,
         "op6_simhash_near_dedup": simhash.query,
         "op7_benchmark_decontamination": fmindex.query,
     }
