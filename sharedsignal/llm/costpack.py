@@ -33,14 +33,17 @@ POOL = 1 << 20
 #: Cost of a piece of n tokens: n + QUADRATIC * n * n.
 QUADRATIC = 1 / 12288
 #: Text that is split and looked up at once, and chunks that a task remembers.
-TEXT_BYTES, REMEMBER = 2 << 20, 300_000
+TEXT_BYTES, REMEMBER = 4 << 20, 400_000
 
 
 class ChunkEncoder:
-    """Token ids of texts by way of their distinct chunks between ASCII white space.
+    """Token ids of texts by way of their distinct chunks.
 
-    The tokenizer never joins characters over white space and drops it, so a text's
-    ids are its chunks' ids in order; each distinct chunk is encoded once.
+    The tokenizer lower-cases, drops white space and never joins a letter with other
+    signs but the apostrophe.  So a text's ids are its chunks' ids in order, where
+    chunks end at ASCII white space and between a letter (up to U+017F) and ASCII
+    punctuation other than the apostrophe.  Each distinct chunk is encoded once;
+    chunks that are one word share calls, as their last id marks a word's end.
     """
 
     def __init__(self, path: str):
@@ -49,44 +52,100 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        words = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        letter, sign = np.zeros(256, bool), np.zeros(256, bool)
+        letter[[*range(65, 91), *range(97, 123)]] = True
+        sign[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+        self.letter, self.sign = letter, sign
+        self.lead = np.zeros(256, bool)
+        self.lead[0xC3:0xC6] = True
+        self.upper = np.zeros(256, np.uint8)
+        self.upper[65:91] = 32
+        self.plain = np.zeros(256, bool)  # what may follow a letter that is lower-cased here: no combining mark
+        self.plain[:128] = True
+        self.plain[0xC3:0xC6] = True
         self.forget()
 
     def forget(self):
         self.known, self.used = {}, 0
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.start, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.flat = np.empty(1 << 16, np.uint16)
+        self.start, self.size = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
+
+    def _ids(self, chunks):
+        """Ids of the chunks in a row and their numbers."""
+        whole = [c for c in chunks if c.isascii() and c.isalpha()]
+        if len(whole) < len(chunks):
+            other = [c for c in chunks if not (c.isascii() and c.isalpha())]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+        else:
+            other, found = [], []
+        lines = [" ".join(whole[k:k + 1000]) for k in range(0, len(whole), 1000)]
+        parts = [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.concatenate([*parts, np.fromiter((i for x in found for i in x), np.uint16)])
+        ends = np.flatnonzero(self.ends[ids[:sum(map(len, parts))]])
+        assert len(ends) == len(whole)
+        sizes = np.concatenate([np.diff(np.concatenate([[-1], ends])), np.fromiter(map(len, found), np.int64, len(found))])
+        return whole + other, ids, sizes
 
     def _learn(self, chunks):
-        new = [c for c in chunks if c not in self.known]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        n, sizes = len(self.known), np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(sizes.sum())
+        known = self.known
+        new = [c for c in chunks if c not in known]
+        if not new:
+            return
+        new, ids, sizes = self._ids(new)
+        n, total = len(known), len(ids)
         while n + len(new) > len(self.start):
             self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        self.flat[self.used:self.used + total] = ids
         self.size[n:n + len(new)] = sizes
         self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
         self.used += total
-        self.known.update(zip(new, range(n, n + len(new))))
-
-    def __call__(self, texts: pa.Array):
-        """Ids of all texts in a row (uint32) and the number of ids of each text."""
+        known.update(zip(new, range(n, n + len(new))))
+
+    def _cut(self, data, off):
+        """The texts lower-cased and with a space at every chunk's end inside them."""
+        if not len(data):
+            return data, off
+        after = np.append(data[1:], np.uint8(0x20))
+        data = data + self.upper[data] * self.plain[after]
+        pair = self.lead[data[:-1]]
+        tail = np.concatenate([[False], pair]) & ~((np.concatenate([[0], data[:-1]]) == 0xC3) & ((data == 0x97) | (data == 0xB7)))
+        letter, sign = self.letter[data], self.sign[data]
+        begins = letter | (np.append(pair, False) & np.append(tail[1:], False))
+        cut = np.flatnonzero(((letter | tail)[:-1] & sign[1:]) | (sign[:-1] & begins[1:])) + 1
+        here = np.zeros(len(data) + 1, np.int32)
+        here[cut] = 1
+        moved = np.cumsum(here, dtype=np.int32)
+        out = np.full(len(data) + len(cut), 0x20, np.uint8)
+        out[np.arange(len(data)) + moved[:-1]] = data
+        return out, off + moved[off] - here[off]
+
+    def __call__(self, data: np.ndarray, off: np.ndarray):
+        """Ids of all texts in a row (uint16) and the number of ids of each text."""
+        data, off = self._cut(data, off)
+        texts = pa.Array.from_buffers(pa.large_string(), len(off) - 1,
+                                      [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(data)])
         split = pc.ascii_split_whitespace(texts)
         offsets = np.asarray(split.offsets)
-        chunks = split.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
+        chunks = split.values.dictionary_encode()
         distinct = chunks.dictionary.to_pylist()
         if len(self.known) > REMEMBER:
             self.forget()
-        self._learn(distinct)
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        which = number[np.asarray(chunks.indices)]
-        size = self.size[which]
-        ends = np.cumsum(size)
-        at = np.repeat(self.start[which] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        upto = np.concatenate([[0], ends])
-        return self.flat[at], np.diff(upto[offsets - offsets[0]])
+        self._learn([c for c in distinct if c])
+        self.known.setdefault("", -1)
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int32, len(distinct))
+        del self.known[""]
+        size_of, start_of = np.append(self.size, np.int32(0)), np.append(self.start, np.int32(0))
+        which = np.asarray(chunks.indices)
+        size = size_of[number][which]
+        upto = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        at = np.repeat((start_of[number][which] - upto[:-1]).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.flat[at], np.diff(upto[offsets])
 
 
 def assign(lengths, capacities, quadratic: float = QUADRATIC):
@@ -171,10 +230,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
         for b in batches:
             id_type = b.schema.field(0).type
-            texts = b.column(1)
-            _, off = utf8_column(texts)
+            data, off = utf8_column(b.column(1))
             for i, j in pieces(off, TEXT_BYTES):
-                ids, counts = encode(texts.slice(i, j - i).fill_null(""))
+                ids, counts = encode(data[off[i]:off[j]], off[i:j + 1] - off[i])
+                ids = ids.astype(np.uint32)
                 cut = np.concatenate([[0], np.cumsum(counts)])
                 for k, name in enumerate(b.column(0).slice(i, j - i).to_pylist()):
                     own = np.append(ids[cut[k]:cut[k + 1]], np.uint32(end_id))
