@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import costpack, fmindex, licenses, simhash
+from . import costpack, fmindex, licenses, simhash, suffixdedup
 from .common import ensure_scratch
 
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_cost_balanced_packing": costpack.query,
         "op6_simhash_near_dedup": simhash.query,
         "op7_benchmark_decontamination": fmindex.query,
+        "op9_suffix_array_dedup": suffixdedup.query,
         "op10_license_scan": licenses.query,
     }
     return {k: _with_scratch(f) for k, f in found.items()}
