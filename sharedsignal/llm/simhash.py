@@ -307,9 +307,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = scratch(fingerprints(docs, id_col, text_col, shingle), "simhash")
     roots = components(links(fps, radius))
-    named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("id").alias("component"))
-    return named.join(least, "root").select("id", "fp", "component")
+    values = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    named = scratch(values.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+                    .withColumn("root", F.coalesce("root", "fp")), "roots")
+    # written first, so that the joins below have nothing but a shuffle under them and hot keys can be split
+    least = scratch(named.groupBy("root").agg(F.min("least").alias("component")), "components")
+    named = scratch(named.join(least, "root").select("fp", "component"), "named")
+    return fps.join(named, "fp").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
