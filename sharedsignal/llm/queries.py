@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import costpack, fmindex, licenses, simhash, suffixdedup
+from . import costpack, fmindex, knlm, licenses, nnpu, simhash, suffixdedup
 from .common import ensure_scratch
 
 
@@ -19,9 +19,11 @@ def _with_scratch(fn):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op2_quality_kneser_ney": knlm.query,
         "op4_cost_balanced_packing": costpack.query,
         "op6_simhash_near_dedup": simhash.query,
         "op7_benchmark_decontamination": fmindex.query,
+        "op8_toxicity_nnpu": nnpu.query,
         "op9_suffix_array_dedup": suffixdedup.query,
         "op10_license_scan": licenses.query,
     }
