@@ -12,7 +12,7 @@ training rows.
 
 Training uses bounded samples, POSITIVES and UNLABELLED rows by the order of a hash of
 the id, and at most FEATURES of these, those whose document frequency differs most
-between the two samples (at least Z standard errors).  Scoring covers every text.
+between the two samples (at least Z standard errors).  Equal texts of a class count once.  Scoring covers every text.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from .common import ascii_word_table, pieces, scratch, table, utf8_column
 
-POSITIVES, UNLABELLED, FEATURES, Z = 8_000, 24_000, 20_000, 3.0
+POSITIVES, UNLABELLED, FEATURES, Z = 8_000, 24_000, 20_000, 4.0
 STEPS, RATE, DECAY = 300, 0.05, 1e-4
-PREFIX = range(4, 10)
+PREFIX = (6, 7)
 HELD_OUT = 5
 
 
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     free = ids.select("id").filter("id is not null").filter(~held_out("id")).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(unlabelled)
     drawn = F.broadcast(chosen.select("id", F.lit(True).alias("positive")).union(free.distinct().select("id", F.lit(False))))
-    sample = scratch(ids.join(drawn, "id").select("text", "positive"), "toxicity-sample")
+    sample = scratch(ids.join(drawn, "id").select("text", "positive").distinct(), "toxicity-sample")
     size = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     n_p, n_u = size.get(True, 0), size.get(False, 0)
     if not n_p or not n_u:
