@@ -37,7 +37,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     ensure_scratch(spark)
     path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/text/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ input and never cross a document.
 1. *Anchors.*  In each window the ``GRAM``-byte string of the least hash (the last
    of equals) is its anchor, so equal windows have equal anchors at equal places.
    Neighbouring windows mostly share theirs: one row per run of windows, with the
-   anchor's hash and a 128-bit digest of the run's bytes (its context).
+   anchor's hash and a second 64-bit digest of the run's bytes (its context).
 2. *Classes.*  Contexts that occur twice or more have only repeated windows.  Where
    an anchor has several different contexts, one of each class goes on.
 3. *Suffix sort.*  The contexts of an anchor meet in one task.  Prefix polynomial
@@ -39,6 +39,10 @@ from .common import pieces, scratch, shuffle_partitions, table, utf8_column
 SPAN, GRAM = 400, 80
 #: Bytes whose windows are hashed at once; longer texts are cut into overlapping segments.
 SEGMENT = 1 << 20
+#: Bits of a place that hold the number of windows (at most SPAN - GRAM + 1 of one anchor).
+PLACE = 16
+#: Keys that may be sent to every task to spare a shuffle of rows they would not keep.
+SEND = 2_000_000
 #: Contexts of one anchor that are gathered in a task.
 MOST = 50_000
 #: Windows that a task sorts at once, over several anchors.
@@ -139,9 +143,9 @@ def segments(data, off, span: int, most: int):
 
 
 def anchor_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
-    """Rows (id, h, g, d1, d2, a, p1, p2) from docs (id, h, text)."""
+    """Rows (id, h, g, d, place) from docs (id, h, text); place packs the first window and their number."""
     kind = docs.schema["id"].dataType.simpleString()
-    names = ["id", "h", "g", "d1", "d2", "a", "p1", "p2"]
+    names = ["id", "h", "g", "d", "place"]
 
     def run(batches):
         for b in batches:
@@ -151,17 +155,15 @@ def anchor_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
                 if not len(a):
                     continue
                 raw = part.tobytes()
-                digest = xxhash.xxh3_128_digest
-                # the anchor's place is part of what is digested
-                d = np.frombuffer(b"".join([digest(raw[x:z + span], y - x) for x, z, y in zip(p1.tolist(), p2.tolist(), a.tolist())]),
-                                  np.int64).reshape(-1, 2)
-                shift = base - starts[text]
+                digest = xxhash.xxh3_64_intdigest
+                # the anchor's place in the context is part of what is digested
+                d = np.array([digest(raw[x:z + span], y - x) for x, z, y in zip(p1.tolist(), p2.tolist(), a.tolist())], np.uint64)
                 rows = pa.array(i + text)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(rows), b.column(1).take(rows), pa.array(g.view(np.int64)), pa.array(d[:, 0].copy()),
-                     pa.array(d[:, 1].copy()), *[pa.array(x + shift) for x in (a, p1, p2)]], names=names)
+                    [b.column(0).take(rows), b.column(1).take(rows), pa.array(g.view(np.int64)), pa.array(d.view(np.int64)),
+                     pa.array((p1 + base - starts[text] << PLACE) | (p2 - p1 + 1))], names=names)
 
-    return docs.mapInArrow(run, f"id {kind}, h bigint, g bigint, d1 bigint, d2 bigint, a bigint, p1 bigint, p2 bigint")
+    return docs.mapInArrow(run, f"id {kind}, h bigint, g bigint, d bigint, place bigint")
 
 
 # --- 3. suffix sort -----------------------------------------------------------------
@@ -355,6 +357,16 @@ def on_key(a: DataFrame, b: DataFrame):
     return a["id"].eqNullSafe(b["id"]) & (a["h"] == b["h"])
 
 
+def only(df: DataFrame, keys: DataFrame, key: str, or_all: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys``: without a shuffle while the keys are few.
+
+    With ``or_all`` a later join drops the others anyway, so beyond SEND keys nothing is done.
+    """
+    if keys.count() <= SEND:
+        return df.join(F.broadcast(keys.select(key).distinct()), key, "left_semi")
+    return df if or_all else df.join(keys, key, "left_semi")
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
              most: int = MOST) -> DataFrame:
     """One row per (id, h) with something to remove: n_removed, n_spans, clean (binary), kept_sha256.
@@ -365,18 +377,24 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     """
     source = keyed(docs, id_col, text_col)
     rows = scratch(anchor_rows(source.filter(F.octet_length("text") >= span), span, gram), "anchors")
-    place = F.struct("h", "a", "p1", "p2", "id")
-    classes = scratch(rows.groupBy("g", "d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("one")), "classes")
+    twice = scratch(rows.groupBy("g").count().filter("count > 1").select("g"), "twice")
+    rows = scratch(only(rows, twice, "g").select("id", "h", "g", "d", F.shiftright("place", PLACE).alias("p1"),
+                                                (F.shiftright("place", PLACE) + F.col("place").bitwiseAND(F.lit((1 << PLACE) - 1))
+                                                 + (span - 1)).alias("p2")), "repeated-anchors")
+    place = F.struct("h", "p1", "p2", "id")
+    classes = scratch(rows.groupBy("g", "d").agg(F.count("*").alias("n"), F.min(place).alias("one")), "classes")
     several = classes.groupBy("g").agg(F.count("*").alias("contexts")).filter("contexts > 1")
-    sure = (rows.join(classes.filter("n > 1").select("g", "d1", "d2"), ["g", "d1", "d2"], "left_semi")
-            .select("id", "h", F.struct("p1", (F.col("p2") + span).alias("p2")).alias("sure"),
+    sure = (rows.join(classes.filter("n > 1").select("g", "d"), ["g", "d"], "left_semi")
+            .select("id", "h", F.struct("p1", "p2").alias("sure"),
                     F.lit(None).cast("struct<g:bigint,n:bigint,contexts:bigint,p1:bigint,p2:bigint>").alias("asked")))
     asked = (classes.join(several, "g")
              .select("one.id", "one.h", F.lit(None).cast("struct<p1:bigint,p2:bigint>").alias("sure"),
-                     F.struct("g", "n", "contexts", "one.p1", (F.col("one.p2") + span).alias("p2")).alias("asked")))
-    need = sure.union(asked).groupBy("id", "h").agg(F.collect_list("sure").alias("sure"), F.collect_list("asked").alias("asked"))
-    touched = scratch(source.join(need, on_key(source, need))
-                      .select(source["id"], source["h"], source["text"].cast("binary").alias("raw"), "sure", "asked"), "touched")
+                     F.struct("g", "n", "contexts", "one.p1", "one.p2").alias("asked")))
+    need = scratch(sure.union(asked).groupBy("id", "h").agg(F.collect_list("sure").alias("sure"),
+                                                            F.collect_list("asked").alias("asked")), "need")
+    touched = scratch(only(source, need.select("h"), "h", or_all=True).alias("s")
+                      .join(need.alias("n"), F.expr("s.id <=> n.id and s.h = n.h"))
+                      .select("s.id", "s.h", F.col("s.text").cast("binary").alias("raw"), "sure", "asked"), "touched")
     cut = F.expr("transform(asked, r -> struct(r.g, r.n, r.contexts, r.p1, "
                  "substring(raw, cast(r.p1 + 1 as int), cast(r.p2 - r.p1 as int)) as ctx))")
     contexts = (touched.filter(F.size("asked") > 0).select("id", "h", F.explode(cut).alias("r"))
@@ -422,13 +440,18 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = scratch(repeated(docs, id_col, text_col, **options).dropDuplicates(["id", "h"])
                     .select("id", "h", F.decode("clean", "UTF-8").alias("_clean")), "cleaned")
     h = F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    joined = docs.withColumn("_h", h).alias("d").join(
-        found.alias("f"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.id")) & (F.col("d._h") == F.col("f.h")), "left")
+    rest, changed = None, docs.withColumn("_h", h)
+    keys = found.select(F.col("h").alias("_h"))
+    if keys.count() <= SEND:  # texts that stay as they are need no join
+        keys = F.broadcast(keys.distinct())
+        rest, changed = changed.join(keys, "_h", "left_anti"), changed.join(keys, "_h", "left_semi")
+    joined = changed.alias("d").join(found.alias("f"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.id")) & (F.col("d._h") == F.col("f.h")), "left")
     text = F.coalesce(F.col("f._clean"), F.col(f"d.`{text_col}`"))
     new = {text_col: text}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("f._clean").isNull(), F.col("d.n_chars")).otherwise(F.char_length(text))
-    return joined.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    out = joined.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    return out.union(rest.select(*[F.col(f"`{c}`") for c in docs.columns])) if rest is not None else out
 
 
 def query(spark, sf_dir):
