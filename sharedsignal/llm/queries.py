@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import costpack, fmindex, knlm, licenses, nnpu, simhash, suffixdedup
+from . import costpack, fmindex, htmlcut, knlm, licenses, nnpu, simhash, spotsigs, suffixdedup, tokencounts
 from .common import ensure_scratch
 
 
@@ -19,14 +19,20 @@ def _with_scratch(fn):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op1_html_min_cut": htmlcut.query,
         "op2_quality_kneser_ney": knlm.query,
+        "op3_spotsigs": spotsigs.query,
         "op4_cost_balanced_packing": costpack.query,
+        "op5_token_counts": tokencounts.query,
         "op6_simhash_near_dedup": simhash.query,
         "op7_benchmark_decontamination": fmindex.query,
         "op8_toxicity_nnpu": nnpu.query,
         "op9_suffix_array_dedup": suffixdedup.query,
         "op10_license_scan": licenses.query,
     }
+    import corpus_pipeline
+
+    found["pipeline"] = corpus_pipeline.run
     return {k: _with_scratch(f) for k, f in found.items()}
 
 
