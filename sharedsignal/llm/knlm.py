@@ -16,8 +16,10 @@ log probability per distinct 4-gram.
 adds its grams' part to every text's log probability, one pass behind the other in
 the same stage.  No text is shuffled.
 
-*Decision.*  Per language, quantiles of the held-out trusted texts' perplexity; a text
-outside [low, high] is rejected: junk is improbable, endless repetition too probable.
+*Decision.*  Per language, quantiles of the held-out trusted texts' log perplexity; a
+text outside [low, high] is rejected: junk is improbable, endless repetition too probable.
+The quantiles of n texts are uncertain, so their distance from the median is widened by
+the factor 1 + MARGIN / sqrt(n).
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from .common import pieces, scratch, table, utf8_column
 
 ORDER, UNIT = 4, 16
 VOCABULARY = 1 << UNIT
-LOW, HIGH = 0.002, 0.995
+LOW, HIGH, MARGIN = 0.002, 0.995, 6.0
 HELD_OUT = 5
 #: Grams of a broadcast shard: 12 bytes each.
 SHARD = 2_000_000
@@ -209,7 +211,7 @@ class QualityModel:
 
 
 def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          low: float = LOW, high: float = HIGH, shard: int = SHARD) -> QualityModel:
+          low: float = LOW, high: float = HIGH, margin: float = MARGIN, shard: int = SHARD) -> QualityModel:
     """Train on the rows of ``docs`` whose id is in ``trusted`` (one id column) and set the thresholds.
 
     Null ids are never trusted.  Ids that ``trusted`` repeats count once; rows of ``docs`` that repeat an id count each.
@@ -224,10 +226,12 @@ def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     counts = scratch(gram_counts(marked), "grams")
     shards = model_shards(log_probabilities(counts), shard)
     sample = score(slim.join(ids, "_id").filter(held).select("text", "lang"), shards).filter("_units > 0")
-    q = F.percentile_approx(F.exp(-F.col("_logp") / F.col("_units")), F.array(F.lit(low), F.lit(high)), F.lit(10000))
-    found = sample.rollup("lang").agg(q.alias("q"), F.grouping("lang").alias("g"))
-    return QualityModel(shards, scratch(found.select("lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"),
-                                                     (F.col("g") == 1).alias("every")), "thresholds"))
+    q = F.percentile_approx(-F.col("_logp") / F.col("_units"), F.array(F.lit(low), F.lit(0.5), F.lit(high)), F.lit(10000))
+    found = sample.rollup("lang").agg(q.alias("q"), F.count("*").alias("n"), F.grouping("lang").alias("g"))
+    wider, middle = 1 + margin / F.sqrt("n"), F.col("q")[1]
+    return QualityModel(shards, scratch(found.select(
+        "lang", F.exp(middle + (F.col("q")[0] - middle) * wider).alias("low"),
+        F.exp(middle + (F.col("q")[2] - middle) * wider).alias("high"), (F.col("g") == 1).alias("every")), "thresholds"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
