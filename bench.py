@@ -49,18 +49,6 @@ def main() -> None:
             jobs.clear_cache()
             timed(name, lambda n=name: qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save())
 
-    # heavier load on the same tables: 20 signals per study x chromosome instead of 2
-    from sharedsignal.operators import abf as abf_ops, manifest as mf_ops, overlap as ov_ops
-    from sharedsignal.sources import adapters as A
-    t20 = timed("tests_k20", lambda: materialize(
-        mf_ops.make_manifest(ov_ops.find_overlaps(A.credset(spark, sf_dir, 20)), jobs.MIN_PROP), "tests_k20"))
-    n20 = t20.count()
-    st20 = timed("signal_stats_k20", lambda: materialize(
-        abf_ops.prepare_signals(t20, A.sumstats(spark, sf_dir)), "signal_stats_k20"))
-    r20 = timed("coloc_k20", lambda: materialize(abf_ops.run_coloc(t20, st20), "coloc_raw_k20"))
-    n20_results = r20.count()
-    heavy20 = times["signal_stats_k20"] + times["coloc_k20"]
-
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "coloc_heavy_step_seconds",
@@ -72,9 +60,6 @@ def main() -> None:
         "n_results": n_results,
         "tests_per_sec_per_core": round(n_tests / heavy / cpus, 3) if heavy else None,
         "baseline_tests_per_sec_per_core": 0.0143,
-        "n_tests_k20": n20,
-        "n_results_k20": n20_results,
-        "tests_per_sec_per_core_k20": round(n20 / heavy20 / cpus, 3) if heavy20 else None,
         "cpus": cpus,
     }
     print(json.dumps(out))

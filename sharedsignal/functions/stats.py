@@ -127,8 +127,8 @@ def with_log_abf(df: DataFrame, z: str, maf: str, n: str, is_cc: str, s: str, ou
     t = f"__{out}"
     base = F.lit(2.0) * F.col(n) * F.col(maf) * (F.lit(1.0) - F.col(maf))
     cc = F.col(is_cc)
-    df = df.withColumn(f"{t}_v", F.when(cc, F.lit(1.0) / (base * F.col(s) * (F.lit(1.0) - F.col(s))))
-                       .otherwise(F.lit(1.0) / base))
+    df = df.withColumn(f"{t}_v", F.when(cc, F.try_divide(F.lit(1.0), base * F.col(s) * (F.lit(1.0) - F.col(s))))
+                       .otherwise(F.try_divide(F.lit(1.0), base)))
     w = F.when(cc, F.lit(PRIOR_SD_CC ** 2)).otherwise(F.lit(PRIOR_SD_QUANT ** 2))
     df = df.withColumn(f"{t}_w", w)
     df = df.withColumn(f"{t}_r", F.col(f"{t}_w") / (F.col(f"{t}_w") + F.col(f"{t}_v")))

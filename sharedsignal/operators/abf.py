@@ -62,7 +62,7 @@ def signals_with_ids(tests: DataFrame, window_anchor: str = "own") -> DataFrame:
     """
     _check_anchor(window_anchor)
     if window_anchor == "own":
-        return signals_to_prepare(tests).withColumn("signal_id", locus_id()).drop("ld")
+        return signals_to_prepare(tests).drop("ld").distinct().withColumn("signal_id", locus_id())
     left = (tests.select(*[F.col(f"left_{c}").alias(c) for c in LOCUS_COLS]).distinct()
                  .withColumn("signal_id", locus_id()))
     right = tests.select(*[F.col(f"right_{c}").alias(c) for c in LOCUS_COLS],
@@ -86,17 +86,31 @@ def prepare_signals(tests: DataFrame, sumstats: DataFrame, window_kb: int = COLO
     return signal_stats(signals_with_ids(tests, window_anchor), sumstats, window_kb, min_maf)
 
 
+def usable_constants(n, share, is_cc):
+    """Study constants with which a Bayes factor exists: N > 0, and cases and controls in a case-control study."""
+    return F.coalesce((n > 0) & (~is_cc | ((share > 0) & (share < 1))), F.lit(False))
+
+
+def with_z(stats: DataFrame) -> DataFrame:
+    """|z| per row: of ``z_cond`` where conditioning gave one (its p-value can be too small for a
+    double), else from the p-value; ``informative``: whether the row has a usable one."""
+    given = F.abs("z_cond") if "z_cond" in stats.columns else F.lit(None).cast("double")
+    x = with_z_from_pval(stats, "pval", "__zp")
+    return (x.withColumn("z", F.coalesce(given, F.col("__zp"))).drop("__zp")
+             .withColumn("informative", F.coalesce(given.isNotNull() | ((F.col("pval") > 0) & ~F.isnan("pval")), F.lit(False))))
+
+
 def harmonise(tests: DataFrame, stats: DataFrame) -> DataFrame:
     """Shared variants of each test (inner join of the two signals on variant)."""
     t = tests.select("test_id", "left_signal_id", "right_signal_id")
     # z and MAF depend on the (signal, variant) row only: computed once per prepared
     # row on the scan side, not once per test that reuses the signal.
-    pre = with_z_from_pval(stats.withColumn("maf", eaf_to_maf(F.col("eaf"))), "pval", "z")
+    pre = with_z(stats.withColumn("maf", eaf_to_maf(F.col("eaf"))))
 
     def side(p):
         return pre.select(F.col("signal_id").alias(f"{p}_signal_id"), "chrom", "pos", "ref", "alt",
                           F.col("pval").alias(f"{p}_pval"), F.col("maf").alias(f"{p}_maf"),
-                          F.col("z").alias(f"{p}_z"),
+                          F.col("z").alias(f"{p}_z"), F.col("informative").alias(f"{p}_ok"),
                           F.col("n_total").alias(f"{p}_n"), F.col("n_cases").alias(f"{p}_ncases"),
                           F.col("is_cc").alias(f"{p}_cc"))
 
@@ -104,9 +118,8 @@ def harmonise(tests: DataFrame, stats: DataFrame) -> DataFrame:
              .join(side("right"), ["right_signal_id", "chrom", "pos", "ref", "alt"]))
 
 
-def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
-                     p12: float = PRIOR_P12) -> DataFrame:
-    """(test_id, nsnps, coloc_h0..coloc_h4) from per-variant rows.
+def first_row_labf(shared: DataFrame) -> DataFrame:
+    """Usable rows (test_id, l1, l2) from per-variant rows.
 
     Study constants (N, cases, cc) of each side come from the first shared
     variant in ``chrom:pos:ref:alt`` text order, before dropping variants with
@@ -122,25 +135,33 @@ def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_
             x = x.withColumn(f"{s}_maf", eaf_to_maf(F.col(f"{s}_eaf")))
         if f"{s}_z" not in x.columns:
             x = with_z_from_pval(x, f"{s}_pval", f"{s}_z")
+        if f"{s}_ok" not in x.columns:
+            x = x.withColumn(f"{s}_ok", (F.col(f"{s}_pval") > 0) & ~F.isnan(f"{s}_pval"))
     x = x.withColumn("__first", first)
     cols = ["test_id"]
     for s in SIDES:
         n = F.col(f"__first.{s}_n").cast("double")
         nc = F.col(f"__first.{s}_ncases").cast("double")
         x = (x.withColumn(f"{s}_N", n)
-              .withColumn(f"{s}_s", F.least(nc, n - nc) / n)
+              .withColumn(f"{s}_s", F.try_divide(F.least(nc, n - nc), n))
               .withColumn(f"{s}_iscc", F.coalesce(F.col(f"__first.{s}_cc"), F.lit(False))))
-        cols += [f"{s}_N", f"{s}_s", f"{s}_iscc", f"{s}_maf", f"{s}_pval", f"{s}_z"]
+        cols += [f"{s}_N", f"{s}_s", f"{s}_iscc", f"{s}_maf", f"{s}_ok", f"{s}_z"]
     x = x.select(*cols)
     valid = None
     for s in SIDES:
-        v = ((F.col(f"{s}_pval") > 0) & ~F.isnan(f"{s}_pval")
-             & (F.col(f"{s}_maf") > 0) & ~F.isnan(f"{s}_maf"))
+        v = (F.col(f"{s}_ok") & (F.col(f"{s}_maf") > 0) & ~F.isnan(f"{s}_maf")
+             & usable_constants(F.col(f"{s}_N"), F.col(f"{s}_s"), F.col(f"{s}_iscc")))
         valid = v if valid is None else valid & v
     x = x.filter(valid)
     for s, tag in (("left", "l1"), ("right", "l2")):
         x = with_log_abf(x, f"{s}_z", f"{s}_maf", f"{s}_N", f"{s}_iscc", f"{s}_s", tag)
-    return posteriors_from_labf(x.select("test_id", "l1", "l2"), p1, p2, p12)
+    return x.select("test_id", "l1", "l2")
+
+
+def coloc_posteriors(shared: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
+                     p12: float = PRIOR_P12) -> DataFrame:
+    """(test_id, nsnps, coloc_h0..coloc_h4) from per-variant rows."""
+    return posteriors_from_labf(first_row_labf(shared), p1, p2, p12)
 
 
 def posteriors_from_labf(x: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
@@ -172,19 +193,19 @@ def posteriors_from_labf(x: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P
                     *[F.exp(F.col(f"__lh{i}") - F.col("__den")).alias(f"coloc_h{i}") for i in range(5)])
 
 
-def uniform_study_constants(stats: DataFrame) -> bool:
-    """True when n_total, n_cases and is_cc are each constant (or all NULL) within
-    every signal.  Then the first-row rule of A6 picks the same values as any row,
-    and lABF can be computed once per (signal, variant).  One aggregate over the
-    prepared statistics (map-side partial, one row back to the driver)."""
+def uniform_signals(stats: DataFrame) -> DataFrame:
+    """(signal_id, uniform): whether n_total, n_cases and is_cc are each constant (or all NULL).
+
+    Then the first-row rule of A6 picks the same values as any row, and lABF can be
+    computed once per (signal, variant).
+    """
     tot = F.count(F.lit(1))
-    flags = []
+    flags = None
     for c in ("n_total", "n_cases", "is_cc"):
         cnt = F.count(c)
-        flags.append((cnt == 0) | ((cnt == tot) & (F.min(c) == F.max(c))))
-    per = stats.groupBy("signal_id").agg((flags[0] & flags[1] & flags[2]).cast("int").alias("u"))
-    row = per.agg(F.min("u").alias("u")).first()
-    return row is None or row.u is None or row.u == 1
+        one = (cnt == 0) | ((cnt == tot) & (F.min(c) == F.max(c)))
+        flags = one if flags is None else flags & one
+    return stats.groupBy("signal_id").agg(flags.alias("uniform"))
 
 
 def harmonise_labf(tests: DataFrame, stats: DataFrame) -> DataFrame:
@@ -192,10 +213,11 @@ def harmonise_labf(tests: DataFrame, stats: DataFrame) -> DataFrame:
     per prepared (signal, variant) row, then the two sides are joined per test."""
     n = F.col("n_total").cast("double")
     nc = F.col("n_cases").cast("double")
-    pre = stats.withColumns({"maf": eaf_to_maf(F.col("eaf")), "__N": n, "__s": F.least(nc, n - nc) / n,
+    pre = stats.withColumns({"maf": eaf_to_maf(F.col("eaf")), "__N": n, "__s": F.try_divide(F.least(nc, n - nc), n),
                              "__cc": F.coalesce(F.col("is_cc"), F.lit(False))})
-    pre = with_z_from_pval(pre, "pval", "z")
-    pre = pre.withColumn("usable", (F.col("pval") > 0) & ~F.isnan("pval") & (F.col("maf") > 0) & ~F.isnan("maf"))
+    pre = with_z(pre)
+    pre = pre.withColumn("usable", F.col("informative") & (F.col("maf") > 0) & ~F.isnan("maf")
+                         & usable_constants(F.col("__N"), F.col("__s"), F.col("__cc")))
     pre = with_log_abf(pre, "z", "maf", "__N", "__cc", "__s", "labf")
     t = tests.select("test_id", "left_signal_id", "right_signal_id")
 
@@ -214,7 +236,7 @@ def results_naming(tests: DataFrame) -> list:
 
 
 def run_coloc(tests: DataFrame, stats: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
-              p12: float = PRIOR_P12, window_anchor: str = "own", uniform: bool | None = None) -> DataFrame:
+              p12: float = PRIOR_P12, window_anchor: str = "own") -> DataFrame:
     """M5: raw coloc results, one row per test with at least one usable shared variant.
 
     ``tests`` carries the 16 locus columns (manifest naming); ``stats`` is
@@ -222,20 +244,22 @@ def run_coloc(tests: DataFrame, stats: DataFrame, p1: float = PRIOR_P1, p2: floa
     columns: left_/right_ x (type, study, phenotype, bio_feature, chrom, pos, ref,
     alt), nsnps, coloc_h0..coloc_h4.
 
-    ``uniform`` (checked on ``stats`` when None) selects the path: with study
-    constants constant per signal, lABF is computed per (signal, variant) and the
-    per-test first-row window is skipped; results are identical either way.
+    Each test takes the plan that its own signals allow: where both have constant study
+    constants, lABF comes from the (signal, variant) rows; else the constants come from
+    the test's first shared variant.  Results are identical where both plans apply.
     """
     t = with_test_ids(tests.select(*[f"{s}_{c}" for s in SIDES for c in LOCUS_COLS]).distinct(),
                       window_anchor)
-    if uniform is None:
-        uniform = uniform_study_constants(stats)
-    if uniform:
-        sh = harmonise_labf(t, stats).filter(F.col("left_usable") & F.col("right_usable"))
-        post = posteriors_from_labf(sh.select("test_id", F.col("left_l").alias("l1"), F.col("right_l").alias("l2")),
-                                    p1, p2, p12)
-    else:
-        post = coloc_posteriors(harmonise(t, stats), p1, p2, p12)
+    flags = uniform_signals(stats)
+    routed = t
+    for s in SIDES:
+        routed = routed.join(flags.select(F.col("signal_id").alias(f"{s}_signal_id"), F.col("uniform").alias(f"__{s}_uniform")),
+                             f"{s}_signal_id")
+    uniform = F.col("__left_uniform") & F.col("__right_uniform")
+    sh = harmonise_labf(routed.filter(uniform), stats).filter(F.col("left_usable") & F.col("right_usable"))
+    labf = sh.select("test_id", F.col("left_l").alias("l1"), F.col("right_l").alias("l2"))
+    mixed = first_row_labf(harmonise(routed.filter(~uniform), stats))
+    post = posteriors_from_labf(labf.unionByName(mixed), p1, p2, p12)
     return t.join(post, "test_id").select(*results_naming(t), "nsnps",
                                           *[f"coloc_h{i}" for i in range(5)])
 
@@ -278,10 +302,11 @@ def abf_per_variant(stats: DataFrame) -> DataFrame:
     own N / cases / cc (rows with p <= 0, MAF <= 0 or NaN are dropped)."""
     n = F.col("n_total").cast("double")
     nc = F.col("n_cases").cast("double")
-    x = stats.withColumns({"__N": n, "__s": F.least(nc, n - nc) / n,
+    x = stats.withColumns({"__N": n, "__s": F.try_divide(F.least(nc, n - nc), n),
                            "__cc": F.coalesce(F.col("is_cc"), F.lit(False)),
                            "maf": eaf_to_maf(F.col("eaf"))})
-    x = x.filter((F.col("pval") > 0) & ~F.isnan("pval") & (F.col("maf") > 0) & ~F.isnan("maf"))
+    x = x.filter((F.col("pval") > 0) & ~F.isnan("pval") & (F.col("maf") > 0) & ~F.isnan("maf")
+                 & usable_constants(F.col("__N"), F.col("__s"), F.col("__cc")))
     x = with_z_from_pval(x, "pval", "z")
     x = with_log_abf(x, "z", "maf", "__N", "__cc", "__s", "labf")
     return x.drop("__N", "__s", "__cc")

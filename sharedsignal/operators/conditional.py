@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,7 +145,7 @@ def cojo_single(window_stats: DataFrame, conds: DataFrame, genotypes: DataFrame,
 
 
 COJO_OUT = T.StructType([T.StructField("signal_id", T.LongType()), T.StructField("chrom", T.StringType()),
-                         T.StructField("pos", T.IntegerType()), T.StructField("ref", T.StringType()),
+                         T.StructField("pos", T.LongType()), T.StructField("ref", T.StringType()),
                          T.StructField("alt", T.StringType()), T.StructField("beta_cond", T.DoubleType()),
                          T.StructField("se_cond", T.DoubleType()), T.StructField("pval_cond", T.DoubleType()),
                          T.StructField("z_cond", T.DoubleType())])
@@ -228,21 +228,37 @@ def conditioning_failures(signals: DataFrame, conds: DataFrame, cond_stats: Data
                    .withColumn("status", F.lit("conditioning_failed")))
 
 
+def conditionable(signals: DataFrame) -> Column:
+    """Whether a signal is conditioned: it has an LD reference and its method is not 'distance'.
+
+    Columns that ``signals`` lacks (``ld``, ``method``) rule nothing out.
+    """
+    ok = F.lit(True)
+    if "ld" in signals.columns:
+        ok = ok & F.col("ld").isNotNull()
+    if "method" in signals.columns:
+        ok = ok & (F.coalesce("method", F.lit("conditional")) != "distance")
+    return ok
+
+
 def prepare_signals_conditional(signals: DataFrame, sumstats: DataFrame, toploci: DataFrame,
                                 genotypes: DataFrame, n_samples: int, coloc_window_kb: int = 500,
                                 cond_window_kb: int = COND_WINDOW_KB, min_maf: float = MIN_MAF) -> DataFrame:
     """M4 with LD: condition window -> condition list -> COJO -> coloc window.
 
-    Signals with an empty condition list keep their marginal statistics (C3:
-    'distance' / no-LD signals skip conditioning).
+    Signals without an LD reference or of method 'distance', and those with an empty
+    condition list, keep their marginal statistics.  ``z_cond`` is the conditional z
+    (NULL for marginal rows); a signal whose conditioning fails has no rows.
     """
     from .sumstats import STAT_COLS, SIGNAL_COLS
-    ws = signal_sumstats_join(signals.select("signal_id", *SIGNAL_COLS), sumstats, cond_window_kb, min_maf)
-    conds = condition_list(signals, ws.select("signal_id", "chrom", "pos", "ref", "alt"), toploci)
-    wstats = ws.select("signal_id", "lead_pos", *STAT_COLS)
-    conditioned = merge_conditional(wstats, cojo_multi(wstats.drop("lead_pos"), conds, genotypes, n_samples)
-                                    .drop("z_cond"))
-    plain = wstats.join(conds.select("signal_id").distinct(), "signal_id", "left_anti")
+    routed = signals.withColumn("__c", conditionable(signals))
+    ws = signal_sumstats_join(routed.select("signal_id", "__c", *SIGNAL_COLS), sumstats, cond_window_kb, min_maf)
+    able = ws.filter("__c").select("signal_id", "lead_pos", *STAT_COLS)
+    conds = condition_list(routed.filter("__c"), able.select("signal_id", "chrom", "pos", "ref", "alt"), toploci)
+    conditioned = merge_conditional(able, cojo_multi(able.drop("lead_pos"), conds, genotypes, n_samples))
+    plain = (ws.select("signal_id", "lead_pos", *STAT_COLS)
+             .join(conds.select("signal_id").distinct(), "signal_id", "left_anti")
+             .withColumn("z_cond", F.lit(None).cast("double")))
     both = plain.unionByName(conditioned.select(*plain.columns))
     w = 1000 * coloc_window_kb
     return both.filter(F.abs(F.col("pos") - F.col("lead_pos")) <= w).drop("lead_pos")

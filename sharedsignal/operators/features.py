@@ -53,16 +53,17 @@ def locus_ld_tags(coloc: DataFrame, ld: DataFrame, side: str) -> DataFrame:
     return coloc.select(*ids).distinct().join(l, [f"{side}_{c}" for c in ("chrom", "pos", "ref", "alt")])
 
 
-def ld_tag_intersection(left: DataFrame, right: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """Left and right loci sharing an LD tag.  ``pairs`` (16 ids) restricts
-    to tested pairs before the tag join (the legacy job joined all loci)."""
-    if pairs is not None:
-        left = join_null_safe(left, pairs.select(*[f"left_{c}" for c in RESULT_ID_COLS]).distinct(),
-                              [f"left_{c}" for c in RESULT_ID_COLS], "left_semi")
-    x = left.join(right, TAG_COLS)
-    if pairs is not None:
-        x = join_null_safe(x, pairs.select(*ID16).distinct(), ID16, "left_semi")
-    return x
+def ld_tag_intersection(left: DataFrame, right: DataFrame, pairs: DataFrame | None) -> DataFrame:
+    """LD tags that the left and right locus of a pair share.
+
+    ``pairs`` (16 ids) are joined to the left tags and then to the right tags on the
+    right locus and the tag, so rows grow with the pairs.  ``None`` is the legacy
+    join of all loci on the tag, whose rows grow with the square of a region's loci.
+    """
+    if pairs is None:
+        return left.join(right, TAG_COLS)
+    x = join_null_safe(pairs.select(*ID16).distinct(), left, [f"left_{c}" for c in RESULT_ID_COLS])
+    return join_null_safe(x, right, [f"right_{c}" for c in RESULT_ID_COLS] + TAG_COLS)
 
 
 def ld_overlap_features(intersection: DataFrame) -> DataFrame:
@@ -108,11 +109,11 @@ def pair_scalar_features(df: DataFrame) -> DataFrame:
 
 
 def build_features(ld: DataFrame, coloc: DataFrame, toploci: DataFrame,
-                   min_vars_exclusive: int = MIN_VARS_EXCLUSIVE, tested_pairs_only: bool = False) -> DataFrame:
-    """M9: features x coloc outcomes, full outer on the 16 ids."""
+                   min_vars_exclusive: int = MIN_VARS_EXCLUSIVE, all_pairs: bool = False) -> DataFrame:
+    """M9: features x coloc outcomes, full outer on the 16 ids (J16): of the tested pairs, or of all loci."""
     c = coloc_for_features(coloc, min_vars_exclusive)
     left, right = locus_ld_tags(c, ld, "left"), locus_ld_tags(c, ld, "right")
-    inter = ld_tag_intersection(left, right, c.select(*ID16) if tested_pairs_only else None)
+    inter = ld_tag_intersection(left, right, None if all_pairs else c.select(*ID16))
     f = ld_overlap_features(inter)
     for s, t in (("left", left), ("right", right)):
         f = join_null_safe(f, ld_num_tags(t, s), [f"{s}_{x}" for x in RESULT_ID_COLS if x != "type"])

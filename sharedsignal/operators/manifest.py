@@ -15,8 +15,7 @@ from ..schemas import COMPLETED_ID_COLS, LOCUS_COLS, MANIFEST_TO_RESULT
 from ..sources.io import none_to_null
 
 MIN_OVERLAP_PROP = 0.01
-SUMSTATS_PATTERN = "{root}/{dataset}/{study_id}.parquet"
-LD_PATTERN = "{root}/ukb_v3_chr{chrom}.downsampled10k"
+LD_PANEL = "panel_chr{chrom}"  # file name of one chromosome's LD reference, without a suffix
 SIDES = ("left", "right")
 
 # Order of the hive partition directories (results naming).
@@ -27,14 +26,14 @@ PARTITION_ORDER = [("study", "study_id"), ("type", "type"), ("phenotype", "pheno
 
 def filter_overlap_prop(df: DataFrame, threshold: float | None = MIN_OVERLAP_PROP) -> DataFrame:
     """Keep if max(left_prop, right_prop) >= threshold."""
-    if not threshold:
+    if threshold is None:
         return df
     return df.filter(F.greatest("left_overlap_prop", "right_overlap_prop") >= threshold)
 
 
 def filter_credset_size(df: DataFrame, max_size: int | None = None) -> DataFrame:
     """Keep if the larger credible set has <= max_size tags (off when None)."""
-    if not max_size:
+    if max_size is None:
         return df
     return df.filter(F.greatest("left_num_tags", "right_num_tags") <= max_size)
 
@@ -60,9 +59,10 @@ def dataset_class(type_col: Column) -> Column:
     return F.when(type_col == "gwas", "gwas").otherwise("molecular_trait")
 
 
-def ld_reference(study_col: Column, chrom_col: Column, root: str) -> Column:
+def ld_reference(study_col: Column, chrom_col: Column, root: str, panel: str = LD_PANEL) -> Column:
     """LD reference per chromosome; NULL (do not condition) for FINNGEN studies."""
-    path = F.concat(F.lit(f"{root}/ukb_v3_chr"), chrom_col.cast("string"), F.lit(".downsampled10k"))
+    before, after = panel.split("{chrom}")
+    path = F.concat(F.lit(f"{root}/{before}"), chrom_col.cast("string"), F.lit(after))
     return F.when(study_col.startswith("FINNGEN"), F.lit(None).cast("string")).otherwise(path)
 
 

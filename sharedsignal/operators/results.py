@@ -16,9 +16,6 @@ DEDUP_SUBSET = ["left_type", "left_study", "left_phenotype", "left_bio_feature",
                 "left_pos", "left_ref", "left_alt", "right_type", "right_study",
                 "right_bio_feature", "right_phenotype"]
 DEDUP_TIEBREAK = ["right_chrom", "right_pos", "right_ref", "right_alt", "is_flipped"]
-# h4 is compared at this many decimals: two right loci whose shared variants are
-# identical get posteriors equal up to summation-order noise and count as a tie.
-DEDUP_DIGITS = 9
 
 
 def rename_raw(df: DataFrame) -> DataFrame:
@@ -37,7 +34,7 @@ def add_ratios(df: DataFrame) -> DataFrame:
 def filter_min_vars(df: DataFrame, min_vars: int | None = MIN_OVERLAPPING_VARS,
                     strict: bool = False) -> DataFrame:
     """Keep tests with >= min_vars overlapping variants (> when ``strict``)."""
-    if not min_vars:
+    if min_vars is None:
         return df
     c = F.col("coloc_n_vars")
     return df.filter(c > min_vars if strict else c >= min_vars)
@@ -51,9 +48,10 @@ def make_symmetric(df: DataFrame) -> DataFrame:
             swap["right_" + c[5:]] = F.col(c)
         elif c.startswith("right_"):
             swap["left_" + c[6:]] = F.col(c)
-    flipped = df.select(*[swap.get(c, F.col(c)).alias(c) for c in df.columns])
-    return (df.withColumn("is_flipped", F.lit(False))
-              .unionByName(flipped.withColumn("is_flipped", F.lit(True))))
+    # both copies from one scan of the input
+    copies = F.array(*[F.struct(*[(swap.get(c, F.col(c)) if flip else F.col(c)).alias(c) for c in df.columns],
+                                F.lit(flip).alias("is_flipped")) for flip in (False, True)])
+    return df.select(F.explode(copies).alias("__r")).select("__r.*")
 
 
 def filter_left_gwas(df: DataFrame) -> DataFrame:
@@ -61,10 +59,14 @@ def filter_left_gwas(df: DataFrame) -> DataFrame:
     return df.filter(F.col("left_type") == "gwas")
 
 
-def dedup_right(df: DataFrame) -> DataFrame:
-    """Best right locus (max coloc_h4) per left locus x right dataset."""
+def dedup_right(df: DataFrame, order_digits: int | None = None) -> DataFrame:
+    """Best right locus (max coloc_h4, compared exactly) per left locus x right dataset.
+
+    ``order_digits`` compares rounded values: only for comparing two engines, whose
+    sums differ in their last bits, so that equal posteriors are ties in both.
+    """
     return keep_first(df, DEDUP_SUBSET, "coloc_h4", ascending=False, tiebreak=DEDUP_TIEBREAK,
-                      order_digits=DEDUP_DIGITS)
+                      order_digits=order_digits)
 
 
 def clean_pheno_gene(lut: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def drop_null_stats(df: DataFrame) -> DataFrame:
 def process_results(raw: DataFrame, lut: DataFrame, make_symmetric_: bool = True,
                     left_gwas_only: bool = True, deduplicate_right: bool = True,
                     min_overlapping_vars: int | None = MIN_OVERLAPPING_VARS,
-                    drop_left_ids: bool = True) -> DataFrame:
+                    drop_left_ids: bool = True, order_digits: int | None = None) -> DataFrame:
     """M6: the processed coloc table (order of steps as in the legacy job:
     the NA filter runs after de-duplication)."""
     df = add_ratios(rename_raw(raw))
@@ -108,7 +110,7 @@ def process_results(raw: DataFrame, lut: DataFrame, make_symmetric_: bool = True
     if deduplicate_right:
         if "is_flipped" not in df.columns:
             df = df.withColumn("is_flipped", F.lit(False))
-        df = dedup_right(df)
+        df = dedup_right(df, order_digits)
     df = map_gene_id(df, lut)
     df = df.drop("left_sumstat", "right_sumstat")
     if left_gwas_only and drop_left_ids:
@@ -117,7 +119,8 @@ def process_results(raw: DataFrame, lut: DataFrame, make_symmetric_: bool = True
 
 
 def stage_audit(raw: DataFrame, lut: DataFrame,
-                min_overlapping_vars: int | None = MIN_OVERLAPPING_VARS) -> DataFrame:
+                min_overlapping_vars: int | None = MIN_OVERLAPPING_VARS,
+                order_digits: int | None = None) -> DataFrame:
     """Rows after each processing step, as one (stage, n_rows) table.
 
     One job: each stage is a branch of a union over the same (cacheable) input.
@@ -126,7 +129,7 @@ def stage_audit(raw: DataFrame, lut: DataFrame,
     s1 = filter_min_vars(s0, min_overlapping_vars)
     s2 = make_symmetric(s1)
     s3 = filter_left_gwas(s2)
-    s4 = dedup_right(s3)
+    s4 = dedup_right(s3, order_digits)
     s5 = drop_null_stats(map_gene_id(s4, lut))
     stages = [("0_loaded", s0), ("1_min_vars", s1), ("2_symmetric", s2), ("3_left_gwas", s3),
               ("4_dedup_right", s4), ("5_non_null", s5)]

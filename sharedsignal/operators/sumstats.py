@@ -35,11 +35,11 @@ def region_filter(df: DataFrame, study_id=None, phenotype_id=None, bio_feature=N
     out = df
     for c, v in (("study_id", study_id), ("phenotype_id", phenotype_id),
                  ("bio_feature", bio_feature), ("chrom", chrom)):
-        if v:
+        if v is not None:
             out = out.filter(F.col(c) == str(v))
-    if start:
+    if start is not None:
         out = out.filter(F.col("pos") >= start)
-    if end:
+    if end is not None:
         out = out.filter(F.col("pos") <= end)
     return out
 
@@ -101,7 +101,7 @@ def signal_sumstats_join(signals: DataFrame, sumstats: DataFrame, window_kb: int
     Returns the signal columns plus ``STAT_COLS``.
     """
     ss = sumstats.select("study_id", "phenotype_id", "bio_feature", *STAT_COLS)
-    if min_maf:
+    if min_maf is not None:
         ss = maf_filter(ss, min_maf)
     # Studies / chromosomes without any signal never reach the range-join shuffle:
     # a semi-join on a key set bounded by studies x chromosomes (broadcast by AQE

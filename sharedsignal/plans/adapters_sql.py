@@ -23,13 +23,13 @@ FROM lineitem GROUP BY l_suppkey % 12, l_partkey""")
 _cte("ss_st", ("ss_agg",), """
 SELECT st,
   CASE st % 3 WHEN 0 THEN 'gwas' WHEN 1 THEN 'eqtl' ELSE 'pqtl' END AS type,
-  concat('S', CAST(st AS VARCHAR)) AS study_id,
+  concat(CASE WHEN st = 6 THEN 'FINNGEN_S' ELSE 'S' END, CAST(st AS VARCHAR)) AS study_id,
   CASE st % 3 WHEN 0 THEN CAST(NULL AS VARCHAR)
        WHEN 1 THEN concat('ENSG', lpad(CAST(st AS VARCHAR), 11, '0'))
        ELSE concat('PROT_', CAST(st AS VARCHAR)) END AS phenotype_id,
   CASE WHEN st % 3 = 0 THEN CAST(NULL AS VARCHAR) ELSE concat('TISSUE_', CAST(st % 5 AS VARCHAR)) END AS bio_feature,
   CAST(pk % 22 + 1 AS VARCHAR) AS chrom,
-  CAST(pk * 200 AS INTEGER) AS pos,
+  CAST(pk * 200 AS BIGINT) AS pos,
   substr('ACGT', CAST(pk % 4 + 1 AS INTEGER), 1) AS ref,
   substr('CGTA', CAST(pk % 4 + 1 AS INTEGER), 1) AS alt,
   CAST(min_disc - 0.05 AS DOUBLE) AS beta,
@@ -48,9 +48,9 @@ SELECT type, study_id, phenotype_id, bio_feature, chrom, pos, ref, alt, beta, se
 _cte("toploci", ("sumstats",), """
 SELECT study_id, phenotype_id, bio_feature, chrom, pos, ref, alt,
        concat_ws(':', chrom, CAST(pos AS VARCHAR), ref, alt) AS variant_id, pval
-FROM (SELECT *, row_number() OVER (PARTITION BY study_id, phenotype_id, bio_feature, chrom
-                                   ORDER BY pval, pos) AS rn FROM sumstats) t
-WHERE rn <= 2""")
+FROM (SELECT *, row_number() OVER (PARTITION BY study_id, phenotype_id, bio_feature, chrom, pos // 150000
+                                   ORDER BY pval, pos) AS rn FROM sumstats WHERE pval <= 1e-2) t
+WHERE rn = 1""")
 
 _cte("credset", ("ss_st", "toploci"), """
 SELECT s.type, s.study_id, s.phenotype_id, s.bio_feature,
@@ -66,13 +66,13 @@ FROM ss_st s JOIN toploci t
 WHERE s.pval <= 1e-2""")
 
 _cte("genotypes", (), """
-SELECT sample_id, CAST(pk % 22 + 1 AS VARCHAR) AS chrom, CAST(pk * 200 AS INTEGER) AS pos,
+SELECT sample_id, CAST(pk % 22 + 1 AS VARCHAR) AS chrom, CAST(pk * 200 AS BIGINT) AS pos,
        substr('ACGT', CAST(pk % 4 + 1 AS INTEGER), 1) AS ref,
        substr('CGTA', CAST(pk % 4 + 1 AS INTEGER), 1) AS alt, dosage
-FROM (SELECT o.o_custkey % 100 AS sample_id, l.l_partkey AS pk,
+FROM (SELECT o.o_custkey AS sample_id, l.l_partkey AS pk,
              CAST(max(l.l_linenumber % 3) AS INTEGER) AS dosage
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-      GROUP BY o.o_custkey % 100, l.l_partkey) g
+      GROUP BY o.o_custkey, l.l_partkey) g
 WHERE dosage > 0""")
 
 _cte("pheno_gene", ("ss_st",), """

@@ -108,7 +108,7 @@ def q_sumstats_scan(spark, d):
     path = _read_back(A.sumstats(spark, d).drop("type"), "sumstats_pq",
                       lambda df, p: io.partition_sumstats(df, p, mode="overwrite"))
     df = spark.read.option("basePath", path).parquet(path)
-    return io.load_sumstats(df, chrom="1", min_maf=0.01)
+    return io.sumstats_region(df, chrom="1", min_maf=0.01)
 
 
 @query("toploci_scan", S(f"SELECT {', '.join(TL_COLS)} FROM toploci WHERE chrom = '1'", "toploci"))
@@ -130,7 +130,7 @@ def q_pheno_gene_map(spark, d):
 @query("ld_scan")
 def q_ld_scan(spark, d):
     """LD text TSV.gz read with the explicit schema."""
-    pairs = ldm.ld_pairs(A.genotypes(spark, d), jobs.toploci_leads(spark, d), A.GENOTYPE_SAMPLES)
+    pairs = ldm.ld_pairs(A.genotypes(spark, d), jobs.toploci_leads(spark, d), A.genotype_samples(spark, d))
     path = _read_back(ldm.ld_as_text(ldm.ld_r2_filter(pairs)), "ld_tsv",
                       lambda df, p: df.write.mode("overwrite").csv(p, sep="\t", header=True, compression="gzip"))
     return io.read_ld_tsv(spark, path)
@@ -155,8 +155,8 @@ def q_overlap_write_json(spark, d):
 
 @query("compact_results")
 def q_compact_results(spark, d):
-    """Results compacted to a bounded number of Parquet files."""
-    path = _read_back(jobs.coloc_raw(spark, d), "raw_compact", lambda df, p: io.write_compacted(df, p, 4))
+    """Results compacted to Parquet files of the advisory size."""
+    path = _read_back(jobs.coloc_raw(spark, d), "raw_compact", io.write_compacted)
     return spark.read.parquet(path)
 
 
@@ -261,7 +261,7 @@ _vid_text = ("CASE WHEN pos % 7 = 0 THEN concat('chr', chrom, '_x', CAST(pos AS
 
 
 @query("parse_variant_id", S(f"""SELECT vid AS index_variant_id,
-  string_split(vid, '_')[1] AS lead_chrom, TRY_CAST(string_split(vid, '_')[2] AS INTEGER) AS lead_pos,
+  string_split(vid, '_')[1] AS lead_chrom, TRY_CAST(string_split(vid, '_')[2] AS BIGINT) AS lead_pos,
   string_split(vid, '_')[3] AS lead_ref, string_split(vid, '_')[4] AS lead_alt
 FROM (SELECT DISTINCT {_vid_text} AS vid FROM sumstats) t""", "sumstats"))
 def q_parse_variant_id(spark, d):
@@ -336,7 +336,7 @@ _fin = "CASE WHEN CAST(substr(study_id, 2) AS INTEGER) % 4 = 0 THEN concat('FINN
 
 @query("manifest_ld_reference", S(f"""SELECT sid AS study_id, lead_chrom,
   CASE WHEN starts_with(sid, 'FINNGEN') THEN CAST(NULL AS VARCHAR)
-       ELSE '/data/ld/ukb_v3_chr' || lead_chrom || '.downsampled10k' END AS ld
+       ELSE '/data/ld/panel_chr' || lead_chrom || '' END AS ld
 FROM (SELECT DISTINCT {_fin} AS sid, lead_chrom FROM credset) t""", "credset"))
 def q_manifest_ld_reference(spark, d):
     """P16 on study loci; every fourth study is renamed as a FINNGEN release."""

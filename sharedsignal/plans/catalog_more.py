@@ -142,7 +142,7 @@ def q_progress_counts(spark, d):
 
 _catalog_sql = """SELECT DISTINCT '/data/sumstats/' || (CASE WHEN type = 'gwas' THEN 'gwas' ELSE 'molecular_trait' END)
   || '/' || study_id || '.parquet' AS path FROM sumstats WHERE study_id <> 'S5'
-UNION SELECT DISTINCT '/data/ld/ukb_v3_chr' || chrom || '.downsampled10k.bed' AS path FROM sumstats WHERE chrom <> '7'"""
+UNION SELECT DISTINCT '/data/ld/panel_chr' || chrom || '.bed' AS path FROM sumstats WHERE chrom <> '7'"""
 
 
 @query("missing_inputs", S(f"""SELECT DISTINCT r.col AS "column", r.path FROM (
@@ -158,7 +158,7 @@ def q_missing_inputs(spark, d):
         F.concat(F.lit("/data/sumstats/"), mf.dataset_class(F.col("type")), F.lit("/"), F.col("study_id"),
                  F.lit(".parquet")).alias("path"))
         .unionByName(ss.filter(F.col("chrom") != "7").select(
-            F.concat(F.lit("/data/ld/ukb_v3_chr"), F.col("chrom"), F.lit(".downsampled10k.bed")).alias("path"))))
+            F.concat(F.lit("/data/ld/panel_chr"), F.col("chrom"), F.lit(".bed")).alias("path"))))
     return mf.missing_inputs(jobs.manifest(spark, d), cat)
 
 
@@ -280,7 +280,7 @@ UNION ALL SELECT '5_non_null', count(*) FROM coloc_processed_{MV}"""
 @query("stage_audit", S(_audit_sql, f"coloc_processed_{MV}"))
 def q_stage_audit(spark, d):
     """Rows after each processing step."""
-    return rs.stage_audit(jobs.coloc_raw(spark, d), A.pheno_gene(spark, d), MV)
+    return rs.stage_audit(jobs.coloc_raw(spark, d), A.pheno_gene(spark, d), MV, jobs.ORDER_DIGITS)
 
 
 _SYM_COLS = O.RATIO_COLS + ["is_flipped"]
@@ -295,7 +295,7 @@ def q_make_symmetric(spark, d):
 @query("dedup_right", S(rounded_sql(f"SELECT * FROM coloc_dedup_{MV}", _SYM_COLS, RATIO_ROUND), f"coloc_dedup_{MV}"))
 def q_dedup_right(spark, d):
     """Best right locus by coloc_h4 per left locus and right dataset."""
-    return rounded(rs.dedup_right(rs.filter_left_gwas(_sym(spark, d))).select(*_SYM_COLS), RATIO_ROUND)
+    return rounded(rs.dedup_right(rs.filter_left_gwas(_sym(spark, d)), jobs.ORDER_DIGITS).select(*_SYM_COLS), RATIO_ROUND)
 
 
 @query("keep_first", S(f"""SELECT {', '.join(SS_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY study_id, chrom
@@ -409,9 +409,10 @@ cross_m AS (SELECT l.lead_chrom, l.lead_pos, l.lead_ref, l.lead_alt, y.chrom AS
   JOIN genotypes y ON y.sample_id = x.sample_id AND y.chrom = x.chrom AND abs(CAST(y.pos AS BIGINT) - x.pos) <= {window}
   GROUP BY ALL),
 r AS (SELECT p.lead_chrom, p.lead_pos, p.lead_ref, p.lead_alt, p.tag_chrom, p.tag_pos, p.tag_ref, p.tag_alt,
-    CASE WHEN sqrt((100.0 * lsxx - lsx * lsx) * (100.0 * tsxx - tsx * tsx)) > 0 THEN
-      (100.0 * coalesce(c.sxy, 0.0) - lsx * tsx) / sqrt((100.0 * lsxx - lsx * lsx) * (100.0 * tsxx - tsx * tsx)) END AS R_EUR
-  FROM pairs p LEFT JOIN cross_m c ON c.lead_chrom = p.lead_chrom AND c.lead_pos = p.lead_pos AND c.lead_ref = p.lead_ref
+    CASE WHEN sqrt((n_s * lsxx - lsx * lsx) * (n_s * tsxx - tsx * tsx)) > 0 THEN
+      (n_s * coalesce(c.sxy, 0.0) - lsx * tsx) / sqrt((n_s * lsxx - lsx * lsx) * (n_s * tsxx - tsx * tsx)) END AS R_EUR
+  FROM pairs p CROSS JOIN (SELECT CAST(count(DISTINCT sample_id) AS DOUBLE) AS n_s FROM genotypes) ns
+  LEFT JOIN cross_m c ON c.lead_chrom = p.lead_chrom AND c.lead_pos = p.lead_pos AND c.lead_ref = p.lead_ref
    AND c.lead_alt = p.lead_alt AND c.tag_chrom = p.tag_chrom AND c.tag_pos = p.tag_pos AND c.tag_ref = p.tag_ref
    AND c.tag_alt = p.tag_alt)
 SELECT lead_chrom, lead_pos, lead_ref, lead_alt, tag_chrom, tag_pos, tag_ref, tag_alt, {out}
@@ -432,22 +433,22 @@ def _ld_views(body: str, *views: str) -> str:
 
 @query("ld_pairs", _ld_views(_ld_sql(_TL_LEADS), "genotypes", "toploci"))
 def q_ld_pairs(spark, d):
-    """R between each genotyped top-locus lead and variants within 500 kb (N = 100)."""
-    pairs = ldm.ld_pairs(A.genotypes(spark, d), jobs.toploci_leads(spark, d), A.GENOTYPE_SAMPLES)
+    """R between each genotyped top-locus lead and variants within 500 kb."""
+    pairs = ldm.ld_pairs(A.genotypes(spark, d), jobs.toploci_leads(spark, d), A.genotype_samples(spark, d))
     return rounded(pairs, LD_ROUND)
 
 
 @query("ld_r2_filter", _ld_views(_ld_sql(_TL_LEADS, "WHERE R_EUR * R_EUR >= 0.05"), "genotypes", "toploci"))
 def q_ld_r2_filter(spark, d):
     """R2 >= 0.05."""
-    pairs = ldm.ld_pairs(A.genotypes(spark, d), jobs.toploci_leads(spark, d), A.GENOTYPE_SAMPLES)
+    pairs = ldm.ld_pairs(A.genotypes(spark, d), jobs.toploci_leads(spark, d), A.genotype_samples(spark, d))
     return rounded(ldm.ld_r2_filter(pairs), LD_ROUND)
 
 
 @query("ld_table", _ld_views(_ld_sql(_RES_LEADS, "WHERE R_EUR * R_EUR >= 0.05"), "genotypes", "coloc_raw_v"))
 def q_ld_table(spark, d):
     """L1: result leads -> LD -> R2 filter -> text ids -> parsed table."""
-    return rounded(ldm.ld_table(A.genotypes(spark, d), jobs.coloc_raw(spark, d), A.GENOTYPE_SAMPLES), LD_ROUND)
+    return rounded(ldm.ld_table(A.genotypes(spark, d), jobs.coloc_raw(spark, d), A.genotype_samples(spark, d)), LD_ROUND)
 
 
 # ============================================================================
@@ -471,9 +472,11 @@ for _s, _ids in (("left", _left8), ("right", _right8)):
 SELECT c.*, x.tag_chrom, x.tag_pos, x.tag_ref, x.tag_alt, x.R2_EUR AS {_s}_R2_EUR
 FROM (SELECT DISTINCT {', '.join(_ids)} FROM coloc_f_v) c JOIN ld_feat_v x
   ON x.lead_chrom = c.{_s}_chrom AND x.lead_pos = c.{_s}_pos AND x.lead_ref = c.{_s}_ref AND x.lead_alt = c.{_s}_alt""")
-register("inter_v", ("left_tags_v", "right_tags_v"), f"""
+register("inter_all_v", ("left_tags_v", "right_tags_v"), f"""
 SELECT l.*, {', '.join('r.' + c for c in _right8)}, r.right_R2_EUR FROM left_tags_v l JOIN right_tags_v r
   ON l.tag_chrom = r.tag_chrom AND l.tag_pos = r.tag_pos AND l.tag_ref = r.tag_ref AND l.tag_alt = r.tag_alt""")
+register("inter_v", ("inter_all_v", "coloc_f_v"), f"""
+SELECT i.* FROM inter_all_v i JOIN (SELECT DISTINCT {', '.join(RES16)} FROM coloc_f_v) p ON {nse_cols('i', 'p', RES16)}""")
 _props = ", ".join(
     f"count(CASE WHEN left_R2_EUR >= {t} AND right_R2_EUR >= {t} THEN 1 END) / count(left_R2_EUR) AS {q(f'prop_overlap_{t}')}"
     for t in ft.R2_THRESHOLDS)
@@ -539,10 +542,15 @@ def q_feature_outcome_outer(spark, d):
 
 @query("feature_match_counts", S("""SELECT count_if(total_overlap IS NOT NULL AND coloc_log2_h4_h3 IS NULL) AS ld_only,
   count_if(total_overlap IS NULL AND coloc_log2_h4_h3 IS NOT NULL) AS coloc_only,
-  count_if(total_overlap IS NOT NULL AND coloc_log2_h4_h3 IS NOT NULL) AS both FROM features_v""", "features_v"))
+  count_if(total_overlap IS NOT NULL AND coloc_log2_h4_h3 IS NOT NULL) AS both
+FROM (SELECT a.total_overlap, c.coloc_log2_h4_h3 FROM (
+    SELECT i.* FROM (SELECT """ + ", ".join(RES16) + """, count(*) AS total_overlap FROM inter_all_v GROUP BY ALL) i
+    JOIN lead_pv_v lp ON """ + _pv_join("lp", "left").replace("f.", "i.") + " JOIN lead_pv_v rp ON "
+    + _pv_join("rp", "right").replace("f.", "i.") + ") a FULL OUTER JOIN coloc_f_v c ON " + nse_cols("a", "c", RES16) + ")",
+    "inter_all_v", "coloc_f_v", "lead_pv_v"))
 def q_feature_match_counts(spark, d):
-    """A10: LD only / coloc only / both."""
-    return ft.feature_match_counts(_features(spark, d))
+    """A10: LD only / coloc only / both, over all loci that share an LD tag."""
+    return ft.feature_match_counts(jobs.coloc_features(spark, d, all_pairs=True))
 
 
 def _ld_feat(spark, d):
@@ -570,7 +578,7 @@ _INTER_COLS = RES16 + ["tag_chrom", "tag_pos", "tag_ref", "tag_alt", "left_R2_EU
 def q_ld_tag_intersection(spark, d):
     """Left and right loci sharing an LD tag."""
     c, ld = _coloc_f(spark, d), _ld_feat(spark, d)
-    x = ft.ld_tag_intersection(ft.locus_ld_tags(c, ld, "left"), ft.locus_ld_tags(c, ld, "right"))
+    x = ft.ld_tag_intersection(ft.locus_ld_tags(c, ld, "left"), ft.locus_ld_tags(c, ld, "right"), c)
     return rounded(x.select(*_INTER_COLS), ["left_R2_EUR", "right_R2_EUR"])
 
 
@@ -581,7 +589,7 @@ _A7 = RES16 + ["total_overlap"] + [f"prop_overlap_{t}" for t in ft.R2_THRESHOLDS
 def q_ld_overlap_features(spark, d):
     """Total overlap and thresholded overlap proportions."""
     c, ld = _coloc_f(spark, d), _ld_feat(spark, d)
-    x = ft.ld_tag_intersection(ft.locus_ld_tags(c, ld, "left"), ft.locus_ld_tags(c, ld, "right"))
+    x = ft.ld_tag_intersection(ft.locus_ld_tags(c, ld, "left"), ft.locus_ld_tags(c, ld, "right"), c)
     return rounded(_fcols(ft.ld_overlap_features(x), _A7), _A7[17:])
 
 
@@ -711,11 +719,88 @@ FROM (SELECT *, beta_cond / se_cond AS z_cond FROM (
      WHERE NOT (pos = cond_pos AND ref = cond_ref AND alt = cond_alt AND chrom = cond_chrom) AND r * r <= 0.9) e) f) g) h) i"""
 
 
+def _cojo_views(v: str, signals: str) -> None:
+    """Condition lists and conditional statistics of the signals in one view, for lists of one
+    or two variants (all there are at sf0.01), by the closed forms of a 1 x 1 and 2 x 2 system."""
+    register(f"{v}cond_v", (signals, "toploci", "sig_stats_cond_v"), _COND_SQL.replace("signals_v", signals))
+    register(f"{v}cr_v", (f"{v}cond_v",), f"""
+SELECT *, row_number() OVER (PARTITION BY {_LOC} ORDER BY cond_pos, cond_ref, cond_alt) AS i,
+  count(*) OVER (PARTITION BY {_LOC}) AS k FROM {v}cond_v""")
+    register(f"{v}ld_v", (f"{v}cond_v", "genotypes"),
+             _ld_sql(_C1_LEADS.replace("c1", f"{v}cond_v"), "", window=2_000_000, digits=None))
+    var = ("chrom", "pos", "ref", "alt")
+    ld = lambda a, lead, tag: " AND ".join([f"{a}.lead_{c} = {lead}{c}" for c in var] + [f"{a}.tag_{c} = {tag}{c}" for c in var])
+    own = lambda a, c: f"{nse_cols(a, c, LOCUS_COLS)} AND " + " AND ".join(f"{a}.{x} = {c}.cond_{x}" for x in var)
+    register(f"{v}cx_v", (f"{v}cr_v", f"{v}ld_v", "sig_stats_cond_v"), f"""
+SELECT {', '.join('w.' + c for c in LOCUS_COLS)}, w.chrom, w.pos, w.ref, w.alt, w.beta, w.se, w.eaf, w.n_total, c.k,
+  l1.R_EUR AS r1, l2.R_EUR AS r2, l12.R_EUR AS r12, a.beta AS b1, e.beta AS b2,
+  CAST(w.n_total AS DOUBLE) AS nj, CAST(a.n_total AS DOUBLE) AS n1, CAST(e.n_total AS DOUBLE) AS n2,
+  w.eaf * (1.0 - w.eaf) AS vj, a.eaf * (1.0 - a.eaf) AS v1, e.eaf * (1.0 - e.eaf) AS v2,
+  (w.chrom = c.cond_chrom AND w.pos = c.cond_pos AND w.ref = c.cond_ref AND w.alt = c.cond_alt)
+   OR coalesce(w.pos = c2.cond_pos AND w.ref = c2.cond_ref AND w.alt = c2.cond_alt, false) AS is_k
+FROM sig_stats_cond_v w JOIN {v}cr_v c ON c.i = 1 AND c.k <= 2 AND {nse_cols('w', 'c', LOCUS_COLS)}
+JOIN {v}ld_v l1 ON {ld('l1', 'c.cond_', 'w.')}
+JOIN sig_stats_cond_v a ON {own('a', 'c')}
+LEFT JOIN {v}cr_v c2 ON c2.i = 2 AND {nse_cols('w', 'c2', LOCUS_COLS)}
+LEFT JOIN {v}ld_v l2 ON {ld('l2', 'c2.cond_', 'w.')}
+LEFT JOIN {v}ld_v l12 ON {ld('l12', 'c2.cond_', 'c.cond_')}
+LEFT JOIN sig_stats_cond_v e ON {own('e', 'c2')}
+WHERE c.k = 1 OR l2.R_EUR IS NOT NULL""")
+    register(f"{v}cojo_v", (f"{v}cx_v",), f"""
+SELECT *, beta_cond / se_cond AS z_cond FROM (
+ SELECT *, CASE WHEN s2 * (dj - quad) / (dj * dj) > 0 THEN sqrt(s2 * (dj - quad) / (dj * dj)) END AS se_cond FROM (
+  SELECT *, (yy - fit - dj * beta * beta_cond) / (nj - k - 1) AS s2 FROM (
+   SELECT *, beta - (cj1 * bs1 + coalesce(cj2 * bs2, 0)) / dj AS beta_cond,
+     bs1 * d1 * b1 + coalesce(bs2 * d2 * b2, 0) AS fit,
+     CASE WHEN k = 1 THEN cj1 * cj1 / d1 ELSE (cj1 * cj1 * d2 - 2 * cj1 * cj2 * c12 + cj2 * cj2 * d1) / det END AS quad,
+     CASE WHEN k = 1 THEN r1 * r1 ELSE (r1 * r1 - 2 * r1 * r2 * r12 + r2 * r2) / (1 - r12 * r12) END AS rr FROM (
+    SELECT *, CASE WHEN k = 1 THEN b1 ELSE (d2 * d1 * b1 - c12 * d2 * b2) / det END AS bs1,
+      CASE WHEN k = 2 THEN (d1 * d2 * b2 - c12 * d1 * b1) / det END AS bs2 FROM (
+     SELECT *, d1 * d2 - c12 * c12 AS det, median(dj * se * se * (nj - 1) + dj * beta * beta) OVER (PARTITION BY {_LOC}) AS yy FROM (
+      SELECT *, 2 * vj * nj AS dj, 2 * v1 * n1 AS d1, 2 * v2 * n2 AS d2, least(nj, n1) * 2 * sqrt(vj * v1) * r1 AS cj1,
+        least(nj, n2) * 2 * sqrt(vj * v2) * r2 AS cj2, least(n1, n2) * 2 * sqrt(v1 * v2) * r12 AS c12 FROM {v}cx_v) a) b) c) d) e
+ WHERE NOT is_k AND rr <= 0.9) f""")
+
+
+_cojo_views("", "signals_v")
+register("near_v", ("cond_v",), f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {_LOC}
+  ORDER BY abs(cond_pos - lead_pos), cond_pos, cond_ref, cond_alt) AS rn FROM cond_v) WHERE rn = 1""")
+register("routed_v", ("signals_v", "credset"), f"""
+SELECT g.* FROM signals_v g JOIN (SELECT DISTINCT {_LOC}, multisignal_method FROM credset) m
+  ON {nse_cols('g', 'm', LOCUS_COLS)} WHERE NOT starts_with(g.study_id, 'FINNGEN') AND multisignal_method <> 'distance'""")
+_cojo_views("r_", "routed_v")
+_PLAIN = ", ".join("w." + c for c in LOCUS_COLS + sm.STAT_COLS)
+
+
+def _merged_sql(cojo: str) -> str:
+    kept = [c for c in sm.STAT_COLS if c not in ("beta", "se", "pval")]
+    return (f"SELECT {', '.join('w.' + c for c in LOCUS_COLS)}, {', '.join('w.' + c for c in kept)}, c.beta_cond AS beta, "
+            f"c.se_cond AS se, {_erfc_p_sql('c.z_cond')} AS pval, c.z_cond FROM sig_stats_cond_v w JOIN {cojo} c "
+            f"ON {nse_cols('w', 'c', LOCUS_COLS)} AND w.chrom = c.chrom AND w.pos = c.pos AND w.ref = c.ref AND w.alt = c.alt")
+
+
+register("sig_stats_routed_v", ("sig_stats_cond_v", "r_cond_v", "r_cojo_v"), f"""
+SELECT * FROM (
+SELECT {_PLAIN}, CAST(NULL AS DOUBLE) AS z_cond FROM sig_stats_cond_v w
+WHERE NOT EXISTS (SELECT 1 FROM r_cond_v c WHERE {nse_cols('w', 'c', LOCUS_COLS)})
+UNION ALL BY NAME {_merged_sql('r_cojo_v')}) u WHERE abs(pos - lead_pos) <= 500000""")
+O.register_coloc("r_", "sig_stats_routed_v", True)
+_COJO_DIGITS = 6
+_MERGED = LOCUS_COLS + sm.STAT_COLS + ["z_cond"]
+_MERGED_ROUND = ["beta", "se", "pval", "z_cond", "eaf"]
+
+
+def _near(conds, sig):
+    """The condition list cut to the nearest variant of each signal."""
+    from ..operators.windows import top_k_per_group
+    c = conds.join(sig.select("signal_id", "lead_pos"), "signal_id")
+    order = [F.abs(F.col("cond_pos") - F.col("lead_pos")), "cond_pos", "cond_ref", "cond_alt"]
+    return top_k_per_group(c, ["signal_id"], order, 1).drop("lead_pos")
+
+
 def _cojo_single_sql() -> str:
     ld = _ld_sql(_C1_LEADS, "", window=2_000_000, digits=None)
-    body = f"""cond_v AS ({_COND_SQL}),
-k1 AS (SELECT {_LOC} FROM cond_v GROUP BY {_LOC} HAVING count(*) = 1),
-c1 AS (SELECT c.* FROM cond_v c JOIN k1 ON {nse_cols('c', 'k1', LOCUS_COLS)}),
+    body = f"""c1 AS (SELECT * FROM near_v),
 ld AS ({ld}),
 x2 AS (SELECT {', '.join('w.' + c for c in LOCUS_COLS)}, w.chrom, w.pos, w.ref, w.alt, w.beta, w.se, w.eaf, w.n_total,
     c.cond_chrom, c.cond_pos, c.cond_ref, c.cond_alt, ld.R_EUR AS r, k.beta AS b_k, k.eaf AS f_k,
@@ -726,57 +811,89 @@ x2 AS (SELECT {', '.join('w.' + c for c in LOCUS_COLS)}, w.chrom, w.pos, w.ref,
    AND ld.tag_alt = w.alt
   JOIN sig_stats_cond_v k ON {nse_cols('k', 'c', LOCUS_COLS)} AND k.chrom = c.cond_chrom AND k.pos = c.cond_pos
    AND k.ref = c.cond_ref AND k.alt = c.cond_alt)
-{rounded_sql(_COJO_SQL, COJO_COLS, COJO_COLS[-4:])}"""
-    head = with_adapters("SELECT 1", "signals_v", "toploci", "sig_stats_cond_v", "genotypes")
+{rounded_sql(_COJO_SQL, COJO_COLS, COJO_COLS[-4:], _COJO_DIGITS)}"""
+    head = with_adapters("SELECT 1", "near_v", "genotypes")
     return head[: head.rfind("SELECT 1")].rstrip() + ",\n" + body
 
 
 @query("cojo_single", _cojo_single_sql())
 def q_cojo_single(spark, d):
-    """C1, k = 1: closed-form conditional statistics (signals with one conditioning variant)."""
+    """C1, k = 1: closed-form conditional statistics given each signal's nearest other lead."""
     sig, ws, conds = _cond_inputs(spark, d)
-    out = cd.cojo_single(ws, conds, A.genotypes(spark, d), A.GENOTYPE_SAMPLES)
-    return rounded(out.join(sig, "signal_id").select(*COJO_COLS), COJO_COLS[-4:])
+    out = cd.cojo_single(ws, _near(conds, sig), A.genotypes(spark, d), A.genotype_samples(spark, d))
+    return rounded(out.join(sig, "signal_id").select(*COJO_COLS), COJO_COLS[-4:], _COJO_DIGITS)
 
 
-@query("cojo_multi")
+@query("cojo_multi", S(rounded_sql(f"SELECT {_LOC}, chrom, pos, ref, alt, beta_cond, se_cond, {_erfc_p_sql('z_cond')} AS pval_cond, "
+                                   "z_cond FROM cojo_v", COJO_COLS, COJO_COLS[-4:], _COJO_DIGITS), "cojo_v"))
 def q_cojo_multi(spark, d):
     """C1, k >= 1: grouped NumPy solve per signal."""
     sig, ws, conds = _cond_inputs(spark, d)
-    return cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.GENOTYPE_SAMPLES)
+    out = cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.genotype_samples(spark, d))
+    return rounded(out.join(sig, "signal_id").select(*COJO_COLS), COJO_COLS[-4:], _COJO_DIGITS)
 
 
-@query("merge_conditional")
+@query("merge_conditional", S(rounded_sql(_merged_sql("cojo_v"), _MERGED, _MERGED_ROUND, _COJO_DIGITS), "cojo_v", "sig_stats_cond_v"))
 def q_merge_conditional(spark, d):
     """Conditional statistics merged onto the window (inner on variant)."""
     sig, ws, conds = _cond_inputs(spark, d)
-    return cd.merge_conditional(ws, cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.GENOTYPE_SAMPLES))
+    out = cd.merge_conditional(ws, cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.genotype_samples(spark, d)))
+    return rounded(out.join(sig, "signal_id").select(*_MERGED), _MERGED_ROUND, _COJO_DIGITS)
 
 
 @query("conditioning_failures")
 def q_conditioning_failures(spark, d):
     """Signals with a condition list but no conditional output (no genotypes)."""
     sig, ws, conds = _cond_inputs(spark, d)
-    out = cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.GENOTYPE_SAMPLES)
+    out = cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.genotype_samples(spark, d))
     return cd.conditioning_failures(sig, conds, out)
 
 
-@query("signal_stats_conditional")
+@query("signal_stats_conditional", S(rounded_sql("SELECT * FROM sig_stats_routed_v", _MERGED, _MERGED_ROUND, _COJO_DIGITS),
+                                     "sig_stats_routed_v"))
 def q_signal_stats_conditional(spark, d):
-    """M4 with LD: condition window, COJO, then the coloc window."""
-    sig = _signals(spark, d)
-    return cd.prepare_signals_conditional(sig, A.sumstats(spark, d), A.toploci(spark, d), A.genotypes(spark, d),
-                                          A.GENOTYPE_SAMPLES)
+    """M4 with LD: routing, condition window, COJO, then the coloc window."""
+    t = jobs.tests(spark, d)
+    sig = jobs.routed_signals(spark, d, t).select("signal_id", *LOCUS_COLS)
+    return rounded(jobs.conditional_stats(spark, d, t).join(sig, "signal_id").select(*_MERGED), _MERGED_ROUND, _COJO_DIGITS)
+
+
+_RAW_COLS = RES16 + ["nsnps"] + [f"coloc_h{i}" for i in range(5)]
+
+
+@query("coloc_results_conditional", S(rounded_sql("SELECT * FROM r_coloc_raw_v", _RAW_COLS, _RAW_COLS[-5:], _COJO_DIGITS), "r_coloc_raw_v"))
+def q_coloc_results_conditional(spark, d):
+    """M5 on conditional statistics: signals routed by LD reference and method."""
+    return rounded(jobs.coloc_raw_conditional(spark, d).select(*_RAW_COLS), _RAW_COLS[-5:], _COJO_DIGITS)
+
+
+@query("coloc_processed_conditional")
+def q_coloc_processed_conditional(spark, d):
+    """M6 on conditional results (ties of posteriors that differ by summation order have no common order in two engines)."""
+    return jobs.coloc_processed_conditional(spark, d)
+
+
+@query("coloc_status", S(f"""SELECT {', '.join('t.' + c for c in O.LOC16)}, CASE WHEN r.nsnps IS NULL THEN 'no_intersection' ELSE 'ok' END AS status
+FROM tests_v t LEFT JOIN coloc_raw_v r ON """ + " AND ".join(
+    f"t.{s}_{m} IS NOT DISTINCT FROM r.{s}_{c}" for s in SIDES for m, c in zip(LOCUS_COLS, RESULT_ID_COLS)), "tests_v", "coloc_raw_v"))
+def q_coloc_status(spark, d):
+    """Status of every test: a result, or no usable shared variant."""
+    return abf.coloc_status(jobs.tests(spark, d), jobs.coloc_raw(spark, d))
 
 
 # ============================================================================
 # logs (G1, G2, W4)
 # ============================================================================
 
-@query("log_task_seconds")
+# seconds as the log lines print them: value x 37, microseconds kept
+_LOG_SECONDS = """secs AS (SELECT user_id AS log_id, arg_min(round(value * 37.0, 6), event_id) AS seconds
+  FROM events WHERE event_type <> 'error' GROUP BY user_id)"""
+
+
+@query("log_task_seconds", f"WITH {_LOG_SECONDS} SELECT log_id, round(seconds, 5) AS seconds FROM secs")
 def q_log_task_seconds(spark, d):
     """G1: seconds from the first 'Time taken' line of each task log."""
-    return lg.task_seconds(jobs.event_log_lines(spark, d))
+    return rounded(lg.task_seconds(jobs.event_log_lines(spark, d)), ["seconds"], 5)
 
 
 @query("log_errors", S("""SELECT log_id, line_no, line FROM (
@@ -790,8 +907,11 @@ def q_log_errors(spark, d):
     return lg.error_lines(jobs.event_log_lines(spark, d))
 
 
-@query("log_running_mean")
+@query("log_running_mean", f"""WITH {_LOG_SECONDS},
+n AS (SELECT *, row_number() OVER (ORDER BY log_id) - 1 AS k FROM secs)
+SELECT (b + 1) * 10 AS iteration, round(avg_s, 5) AS mean_seconds FROM (
+  SELECT k // 10 AS b, count(*) AS c, sum(sum(seconds)) OVER (ORDER BY k // 10) / sum(count(*)) OVER (ORDER BY k // 10) AS avg_s
+  FROM n GROUP BY k // 10) WHERE c = 10""")
 def q_log_running_mean(spark, d):
-    """Running mean of task seconds every 1,000 logs (log sequence = log id)."""
-    secs = lg.task_seconds(jobs.event_log_lines(spark, d)).withColumnRenamed("log_id", "log_seq")
-    return lg.running_mean(secs)
+    """Running mean of task seconds after every 10 logs, in the order of the log ids."""
+    return rounded(lg.running_mean(lg.task_seconds(jobs.event_log_lines(spark, d)), interval=10), ["mean_seconds"], 5)

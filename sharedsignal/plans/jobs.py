@@ -20,6 +20,7 @@ MAX_DIST = 500_000
 MIN_PROP = 0.01
 QUERY_MIN_VARS = 70
 ENTRY_MIN_VARS = 5
+ORDER_DIGITS = 9  # the queries are compared with another engine
 
 
 def overlap_table(spark: SparkSession, d: str) -> DataFrame:
@@ -61,9 +62,36 @@ def coloc_raw(spark: SparkSession, d: str, reuse: bool = True) -> DataFrame:
     return out
 
 
+def routed_signals(spark: SparkSession, d: str, t: DataFrame) -> DataFrame:
+    """Signals of the tests with their LD reference and multi-signal method."""
+    keys = abf.LOCUS_COLS
+    method = A.credset(spark, d).select(*keys, F.col("multisignal_method").alias("method")).distinct()
+    signals = mf.signals_to_prepare(t).withColumn("signal_id", ov.locus_id())
+    m = method.withColumn("signal_id", ov.locus_id()).select("signal_id", "method")
+    return signals.join(m, "signal_id", "left")
+
+
+def conditional_stats(spark: SparkSession, d: str, t: DataFrame) -> DataFrame:
+    from ..operators.conditional import prepare_signals_conditional
+    return prepare_signals_conditional(routed_signals(spark, d, t), A.sumstats(spark, d), A.toploci(spark, d),
+                                       A.genotypes(spark, d), A.genotype_samples(spark, d))
+
+
+def coloc_raw_conditional(spark: SparkSession, d: str) -> DataFrame:
+    """Raw results with every signal that has an LD reference conditioned on its neighbours."""
+    t = tests(spark, d)
+    stats = materialize(conditional_stats(spark, d, t), "signal_stats_conditional")
+    return materialize(abf.run_coloc(t, stats), "coloc_raw_conditional")
+
+
+def coloc_processed_conditional(spark: SparkSession, d: str, min_vars: int = QUERY_MIN_VARS) -> DataFrame:
+    return rs.process_results(coloc_raw_conditional(spark, d), A.pheno_gene(spark, d),
+                              min_overlapping_vars=min_vars, order_digits=ORDER_DIGITS)
+
+
 def coloc_processed(spark: SparkSession, d: str, min_vars: int = QUERY_MIN_VARS) -> DataFrame:
     return rs.process_results(coloc_raw(spark, d), A.pheno_gene(spark, d),
-                              min_overlapping_vars=min_vars)
+                              min_overlapping_vars=min_vars, order_digits=ORDER_DIGITS)
 
 
 def coloc_features_input(spark: SparkSession, d: str) -> DataFrame:
@@ -93,11 +121,11 @@ def ld_for_features(spark: SparkSession, d: str, raw: DataFrame | None = None) -
 FEATURE_MIN_VARS = QUERY_MIN_VARS
 
 
-def coloc_features(spark: SparkSession, d: str) -> DataFrame:
+def coloc_features(spark: SparkSession, d: str, all_pairs: bool = False) -> DataFrame:
     from ..operators.features import build_features
     raw = coloc_raw(spark, d)
     coloc = rs.make_symmetric(rs.add_ratios(rs.rename_raw(raw)))
-    return build_features(ld_for_features(spark, d, raw), coloc, A.toploci(spark, d), FEATURE_MIN_VARS)
+    return build_features(ld_for_features(spark, d, raw), coloc, A.toploci(spark, d), FEATURE_MIN_VARS, all_pairs)
 
 
 def previous_release(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:

@@ -81,7 +81,7 @@ def _manifest_select() -> str:
         cols.append(f"'/data/sumstats/' || (CASE WHEN {s}_type = 'gwas' THEN 'gwas' ELSE 'molecular_trait' END)"
                     f" || '/' || {s}_study_id || '.parquet' AS {s}_sumstats")
         cols.append(f"CASE WHEN starts_with({s}_study_id, 'FINNGEN') THEN CAST(NULL AS VARCHAR) ELSE "
-                    f"'/data/ld/ukb_v3_chr' || CAST({s}_lead_chrom AS VARCHAR) || '.downsampled10k' END AS {s}_ld")
+                    f"'/data/ld/panel_chr' || CAST({s}_lead_chrom AS VARCHAR) || '' END AS {s}_ld")
         cols += [f"{s}_{c}" for c in LOCUS_COLS]
     p = _partition_path_sql()
     cols += ["'conditional' AS method",
@@ -112,76 +112,86 @@ FROM signals_v g JOIN sumstats s
  AND abs(CAST(s.pos AS BIGINT) - CAST(g.lead_pos AS BIGINT)) <= 500000
 WHERE ({eaf_to_maf_sql('s.eaf')} >= 0.01 OR s.eaf IS NULL OR isnan(s.eaf))""")
 
-_side_stats = lambda p, a: ", ".join([f"{a}.pval AS {p}_pval", f"{a}.eaf AS {p}_eaf", f"{a}.n_total AS {p}_n",
-                                      f"{a}.n_cases AS {p}_ncases", f"{a}.is_cc AS {p}_cc"])
-register("shared_v", ("tests_v", "sig_stats_v"), f"""
-SELECT {', '.join('t.' + c for c in LOC16)}, l.chrom, l.pos, l.ref, l.alt,
-       concat_ws(':', l.chrom, CAST(l.pos AS VARCHAR), l.ref, l.alt) AS vid,
-       {_side_stats('left', 'l')}, {_side_stats('right', 'r')}
-FROM tests_v t
-JOIN sig_stats_v l ON {nse_map('t', 'l', [(f'left_{c}', c) for c in LOCUS_COLS])}
-JOIN sig_stats_v r ON {nse_map('t', 'r', [(f'right_{c}', c) for c in LOCUS_COLS])}
- AND r.chrom = l.chrom AND r.pos = l.pos AND r.ref = l.ref AND r.alt = l.alt""")
-
+_side_stats = lambda p, a, cond=False: ", ".join([f"{a}.pval AS {p}_pval", f"{a}.eaf AS {p}_eaf", f"{a}.n_total AS {p}_n",
+                                      f"{a}.n_cases AS {p}_ncases", f"{a}.is_cc AS {p}_cc"] + ([f"{a}.z_cond AS {p}_zc"] if cond else []))
 _P16 = ", ".join(LOC16)
 _first = []
 for _s in SIDES:
     for _c in ("n", "ncases", "cc"):
         _first.append(f"arg_min({_s}_{_c}, vid) OVER (PARTITION BY {_P16}) AS f_{_s}_{_c}")
-register("shared_first_v", ("shared_v",), f"SELECT *, {', '.join(_first)} FROM shared_v")
 
 
-def _labf(side: str) -> str:
+def _labf(side: str, cond: bool = False) -> str:
     n = f"CAST(f_{side}_n AS DOUBLE)"
     nc = f"CAST(f_{side}_ncases AS DOUBLE)"
     s = f"(least({nc}, {n} - {nc}) / {n})"
     cc = f"coalesce(f_{side}_cc, false)"
     maf = eaf_to_maf_sql(f"{side}_eaf")
-    return log_abf_sql(z_from_pval_sql(f"{side}_pval"), maf, n, cc, s)
+    z = z_from_pval_sql(f"{side}_pval")
+    return log_abf_sql(f"coalesce(abs({side}_zc), {z})" if cond else z, maf, n, cc, s)
 
 
-def _valid(side: str) -> str:
+def _valid(side: str, cond: bool = False) -> str:
     maf = eaf_to_maf_sql(f"{side}_eaf")
-    return f"{side}_pval > 0 AND NOT isnan({side}_pval) AND {maf} > 0 AND NOT isnan({maf})"
+    p = f"({side}_pval > 0 AND NOT isnan({side}_pval))"
+    return (f"({side}_zc IS NOT NULL OR {p})" if cond else p) + f" AND {maf} > 0 AND NOT isnan({maf})"
 
 
-register("labf_v", ("shared_first_v",), f"""
-SELECT {_P16}, vid, {_labf('left')} AS l1, {_labf('right')} AS l2
-FROM shared_first_v WHERE {_valid('left')} AND {_valid('right')}""")
+_lh = ["CAST(0.0 AS DOUBLE)", f"({math.log(PRIOR_P1)!r} + L1)", f"({math.log(PRIOR_P2)!r} + L2)",
+       f"({math.log(PRIOR_P1) + math.log(PRIOR_P2)!r} + {log_diff_sql('(L1 + L2)', 'L12')})",
+       f"({math.log(PRIOR_P12)!r} + L12)"]
+_den = log_sum_exp_sql(*[f"lh{i}" for i in range(5)])
+_rename16 = ", ".join(f"{s}_{m} AS {s}_{r}" for s in SIDES for m, r in zip(LOCUS_COLS, RESULT_ID_COLS))
 
-register("labf_max_v", ("labf_v",), f"""
+
+def register_coloc(v: str, stats: str, cond: bool) -> None:
+    """The coloc chain over one view of prepared statistics; view names start with ``v``."""
+    register(f"{v}shared_v", ("tests_v", stats), f"""
+SELECT {', '.join('t.' + c for c in LOC16)}, l.chrom, l.pos, l.ref, l.alt,
+       concat_ws(':', l.chrom, CAST(l.pos AS VARCHAR), l.ref, l.alt) AS vid,
+       {_side_stats('left', 'l', cond)}, {_side_stats('right', 'r', cond)}
+FROM tests_v t
+JOIN {stats} l ON {nse_map('t', 'l', [(f'left_{c}', c) for c in LOCUS_COLS])}
+JOIN {stats} r ON {nse_map('t', 'r', [(f'right_{c}', c) for c in LOCUS_COLS])}
+ AND r.chrom = l.chrom AND r.pos = l.pos AND r.ref = l.ref AND r.alt = l.alt""")
+
+    register(f"{v}shared_first_v", (f"{v}shared_v",), f"SELECT *, {', '.join(_first)} FROM {v}shared_v")
+
+
+    register(f"{v}labf_v", (f"{v}shared_first_v",), f"""
+SELECT {_P16}, vid, {_labf('left', cond)} AS l1, {_labf('right', cond)} AS l2
+FROM {v}shared_first_v WHERE {_valid('left', cond)} AND {_valid('right', cond)}""")
+
+    register(f"{v}labf_max_v", (f"{v}labf_v",), f"""
 SELECT {_P16}, l1, l2, l1 + l2 AS l12,
        max(l1) OVER (PARTITION BY {_P16}) AS m1, max(l2) OVER (PARTITION BY {_P16}) AS m2,
        max(l1 + l2) OVER (PARTITION BY {_P16}) AS m12
-FROM labf_v""")
+FROM {v}labf_v""")
 
-register("coloc_L_v", ("labf_max_v",), f"""
+    register(f"{v}coloc_L_v", (f"{v}labf_max_v",), f"""
 SELECT {_P16}, CAST(count(*) AS INTEGER) AS nsnps,
        max(m1) + ln(sum(exp(l1 - m1))) AS L1, max(m2) + ln(sum(exp(l2 - m2))) AS L2,
        max(m12) + ln(sum(exp(l12 - m12))) AS L12
-FROM labf_max_v GROUP BY {_P16}""")
+FROM {v}labf_max_v GROUP BY {_P16}""")
 
-_lh = ["CAST(0.0 AS DOUBLE)", f"({math.log(PRIOR_P1)!r} + L1)", f"({math.log(PRIOR_P2)!r} + L2)",
-       f"({math.log(PRIOR_P1) + math.log(PRIOR_P2)!r} + {log_diff_sql('(L1 + L2)', 'L12')})",
-       f"({math.log(PRIOR_P12)!r} + L12)"]
-register("coloc_lh_v", ("coloc_L_v",), f"""
-SELECT {_P16}, nsnps, {', '.join(f'{x} AS lh{i}' for i, x in enumerate(_lh))} FROM coloc_L_v""")
+    register(f"{v}coloc_lh_v", (f"{v}coloc_L_v",), f"""
+SELECT {_P16}, nsnps, {', '.join(f'{x} AS lh{i}' for i, x in enumerate(_lh))} FROM {v}coloc_L_v""")
 
-_den = log_sum_exp_sql(*[f"lh{i}" for i in range(5)])
-_rename16 = ", ".join(f"{s}_{m} AS {s}_{r}" for s in SIDES for m, r in zip(LOCUS_COLS, RESULT_ID_COLS))
-register("coloc_raw_v", ("coloc_lh_v",), f"""
+    register(f"{v}coloc_raw_v", (f"{v}coloc_lh_v",), f"""
 SELECT {_rename16}, nsnps, {', '.join(f'exp(lh{i} - {_den}) AS coloc_h{i}' for i in range(5))}
-FROM coloc_lh_v""")
-
-# --- M6 processing ---------------------------------------------------------------
+FROM {v}coloc_lh_v""")
 
-register("coloc_ratio_v", ("coloc_raw_v",), """
+    register(f"{v}coloc_ratio_v", (f"{v}coloc_raw_v",), f"""
 SELECT * EXCLUDE (nsnps), nsnps AS coloc_n_vars,
        coloc_h4 / NULLIF(coloc_h3, 0) AS coloc_h4_h3,
        CASE WHEN coloc_h4 / NULLIF(coloc_h3, 0) > 0 THEN log2(coloc_h4 / NULLIF(coloc_h3, 0)) END AS coloc_log2_h4_h3
-FROM coloc_raw_v""")
+FROM {v}coloc_raw_v""")
 
 
+register_coloc("", "sig_stats_v", False)
+
+# --- M6 processing ---------------------------------------------------------------
+
 def _swap_select(cols_left_right) -> str:
     out = []
     for c in cols_left_right:
@@ -198,31 +208,31 @@ RATIO_COLS = RES16 + ["coloc_h0", "coloc_h1", "coloc_h2", "coloc_h3", "coloc_h4"
                       "coloc_n_vars", "coloc_h4_h3", "coloc_log2_h4_h3"]
 
 
-def min_vars_view(n: int) -> str:
-    name = f"coloc_sym_{n}"
-    register(f"coloc_minvars_{n}", ("coloc_ratio_v",),
-             f"SELECT {', '.join(RATIO_COLS)} FROM coloc_ratio_v WHERE coloc_n_vars >= {n}")
-    register(name, (f"coloc_minvars_{n}",), f"""
-SELECT {', '.join(RATIO_COLS)}, false AS is_flipped FROM coloc_minvars_{n}
+def min_vars_view(n: int, v: str = "") -> str:
+    name = f"{v}coloc_sym_{n}"
+    register(f"{v}coloc_minvars_{n}", (f"{v}coloc_ratio_v",),
+             f"SELECT {', '.join(RATIO_COLS)} FROM {v}coloc_ratio_v WHERE coloc_n_vars >= {n}")
+    register(name, (f"{v}coloc_minvars_{n}",), f"""
+SELECT {', '.join(RATIO_COLS)}, false AS is_flipped FROM {v}coloc_minvars_{n}
 UNION ALL
-SELECT {_swap_select(RATIO_COLS)}, true AS is_flipped FROM coloc_minvars_{n}""")
+SELECT {_swap_select(RATIO_COLS)}, true AS is_flipped FROM {v}coloc_minvars_{n}""")
     dedup_subset = ["left_type", "left_study", "left_phenotype", "left_bio_feature", "left_chrom",
                     "left_pos", "left_ref", "left_alt", "right_type", "right_study",
                     "right_bio_feature", "right_phenotype"]
-    register(f"coloc_dedup_{n}", (name,), f"""
+    register(f"{v}coloc_dedup_{n}", (name,), f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY {', '.join(dedup_subset)}
      ORDER BY round(coloc_h4, 9) DESC NULLS LAST, right_chrom ASC NULLS LAST, right_pos ASC NULLS LAST,
               right_ref ASC NULLS LAST, right_alt ASC NULLS LAST, is_flipped ASC NULLS LAST) AS rn
   FROM {name} WHERE left_type = 'gwas') x WHERE rn = 1""")
-    register(f"coloc_processed_{n}", (f"coloc_dedup_{n}", "pheno_gene"), f"""
+    register(f"{v}coloc_processed_{n}", (f"{v}coloc_dedup_{n}", "pheno_gene"), f"""
 SELECT d.* EXCLUDE (left_phenotype, left_bio_feature),
   CASE WHEN starts_with(coalesce(g.gene_id, d.right_phenotype), 'ENSG')
        THEN coalesce(g.gene_id, d.right_phenotype) END AS right_gene_id
-FROM coloc_dedup_{n} d
+FROM {v}coloc_dedup_{n} d
 LEFT JOIN (SELECT phenotype_id, max(gene_id) AS gene_id FROM pheno_gene
            WHERE starts_with(gene_id, 'ENSG') GROUP BY phenotype_id) g
   ON d.right_phenotype = g.phenotype_id
 WHERE d.coloc_h3 IS NOT NULL AND NOT isnan(d.coloc_h3) AND d.coloc_h4 IS NOT NULL
   AND NOT isnan(d.coloc_h4) AND d.coloc_log2_h4_h3 IS NOT NULL AND NOT isnan(d.coloc_log2_h4_h3)""")
-    return f"coloc_processed_{n}"
+    return f"{v}coloc_processed_{n}"

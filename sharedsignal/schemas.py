@@ -10,27 +10,27 @@ def _st(*fields):
 
 
 CREDSET = _st(("type", S), ("study_id", S), ("phenotype_id", S), ("bio_feature", S),
-              ("lead_chrom", S), ("lead_pos", I), ("lead_ref", S), ("lead_alt", S),
-              ("tag_chrom", S), ("tag_pos", I), ("tag_ref", S), ("tag_alt", S),
+              ("lead_chrom", S), ("lead_pos", L), ("lead_ref", S), ("lead_alt", S),
+              ("tag_chrom", S), ("tag_pos", L), ("tag_ref", S), ("tag_alt", S),
               ("is95_credset", B), ("is99_credset", B), ("multisignal_method", S))
 
 SUMSTATS_COLS = ["study_id", "phenotype_id", "bio_feature", "chrom", "pos", "ref", "alt",
                  "beta", "se", "pval", "n_total", "n_cases", "eaf", "is_cc"]
 
-SUMSTATS = _st(("study_id", S), ("phenotype_id", S), ("bio_feature", S), ("chrom", S), ("pos", I),
+SUMSTATS = _st(("study_id", S), ("phenotype_id", S), ("bio_feature", S), ("chrom", S), ("pos", L),
                ("ref", S), ("alt", S), ("beta", D), ("se", D), ("pval", D), ("n_total", I),
                ("n_cases", I), ("eaf", D), ("is_cc", B))
 
-TOPLOCI = _st(("study_id", S), ("phenotype_id", S), ("bio_feature", S), ("chrom", S), ("pos", I),
+TOPLOCI = _st(("study_id", S), ("phenotype_id", S), ("bio_feature", S), ("chrom", S), ("pos", L),
               ("ref", S), ("alt", S), ("variant_id", S), ("pval", D))
 
 LD_TEXT = _st(("index_variant_id", S), ("tag_variant_id", S), ("R_EUR", D), ("R2_EUR", D))
 
-LD = _st(("lead_chrom", S), ("lead_pos", I), ("lead_ref", S), ("lead_alt", S),
-         ("tag_chrom", S), ("tag_pos", I), ("tag_ref", S), ("tag_alt", S),
+LD = _st(("lead_chrom", S), ("lead_pos", L), ("lead_ref", S), ("lead_alt", S),
+         ("tag_chrom", S), ("tag_pos", L), ("tag_ref", S), ("tag_alt", S),
          ("R_EUR", D), ("R2_EUR", D))
 
-GENOTYPES = _st(("sample_id", L), ("chrom", S), ("pos", I), ("ref", S), ("alt", S), ("dosage", I))
+GENOTYPES = _st(("sample_id", L), ("chrom", S), ("pos", L), ("ref", S), ("alt", S), ("dosage", I))
 
 # Study-locus identity, as named in the overlap table / manifest.
 LOCUS_COLS = ["type", "study_id", "phenotype_id", "bio_feature",

@@ -21,9 +21,10 @@ N_CHROMS = 22
 CREDSET_WINDOW = 500_000
 CREDSET_P95 = 1e-3
 CREDSET_P99 = 1e-2
-TOPLOCI_PER_GROUP = 2
-GENOTYPE_SAMPLES = 100
+LEAD_BIN = 150_000
+LEAD_P = 1e-2
 LD_DECAY = 50_000.0
+NO_LD_STUDY = 6  # a study without an LD reference, so it is never conditioned
 
 
 def _st(col: str = "l_suppkey"):
@@ -43,14 +44,14 @@ def _sumstats_with_st(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.select(
         st,
         F.when(kind == 0, "gwas").when(kind == 1, "eqtl").otherwise("pqtl").alias("type"),
-        F.concat(F.lit("S"), st_s).alias("study_id"),
+        F.when(st == NO_LD_STUDY, F.concat(F.lit("FINNGEN_S"), st_s)).otherwise(F.concat(F.lit("S"), st_s)).alias("study_id"),
         F.when(kind == 0, F.lit(None).cast("string"))
          .when(kind == 1, F.concat(F.lit("ENSG"), F.lpad(st_s, 11, "0")))
          .otherwise(F.concat(F.lit("PROT_"), st_s)).alias("phenotype_id"),
         F.when(kind == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("TISSUE_"), (st % 5).cast("string"))).alias("bio_feature"),
         (pk % N_CHROMS + 1).cast("string").alias("chrom"),
-        (pk * 200).cast("int").alias("pos"),
+        (pk * 200).cast("bigint").alias("pos"),
         F.expr("substr('ACGT', CAST(pk % 4 + 1 AS INT), 1)").alias("ref"),
         F.expr("substr('CGTA', CAST(pk % 4 + 1 AS INT), 1)").alias("alt"),
         (F.col("min_disc") - F.lit(0.05)).cast("double").alias("beta"),
@@ -73,21 +74,25 @@ def sumstats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sumstats_with_st(spark, sf_dir).select(*SUMSTATS_COLS)
 
 
-def toploci(spark: SparkSession, sf_dir: str, per_group: int = TOPLOCI_PER_GROUP) -> DataFrame:
-    """The best ``per_group`` (2) signals per study x phenotype x feature x chromosome."""
-    ss = sumstats(spark, sf_dir)
-    top = top_k_per_group(ss, ["study_id", "phenotype_id", "bio_feature", "chrom"],
-                          [F.col("pval").asc(), F.col("pos").asc()], per_group)
+def toploci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best variant with p <= LEAD_P per study x phenotype x feature x chromosome x LEAD_BIN bases.
+
+    The number of leads grows with the variants; a study has several per window, so
+    conditioning lists hold more than one variant.
+    """
+    ss = sumstats(spark, sf_dir).filter(F.col("pval") <= LEAD_P).withColumn("__bin", F.floor(F.col("pos") / LEAD_BIN))
+    top = top_k_per_group(ss, ["study_id", "phenotype_id", "bio_feature", "chrom", "__bin"],
+                          [F.col("pval").asc(), F.col("pos").asc()], 1)
     return top.select(
         "study_id", "phenotype_id", "bio_feature", "chrom", "pos", "ref", "alt",
         F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt").alias("variant_id"),
         "pval")
 
 
-def credset(spark: SparkSession, sf_dir: str, per_group: int = TOPLOCI_PER_GROUP) -> DataFrame:
+def credset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credible sets: sumstats rows with p <= 1e-2 within 500 kb of a top locus."""
     ss = _sumstats_with_st(spark, sf_dir).filter(F.col("pval") <= CREDSET_P99)
-    leads = toploci(spark, sf_dir, per_group).select(
+    leads = toploci(spark, sf_dir).select(
         "study_id", "phenotype_id", "bio_feature",
         F.col("chrom").alias("lead_chrom"), F.col("pos").alias("lead_pos"),
         F.col("ref").alias("lead_ref"), F.col("alt").alias("lead_alt"))
@@ -113,17 +118,22 @@ def genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     pk = F.col("l_partkey")
-    g = (j.groupBy((F.col("o_custkey") % GENOTYPE_SAMPLES).alias("sample_id"), pk.alias("pk"))
+    g = (j.groupBy(F.col("o_custkey").alias("sample_id"), pk.alias("pk"))
           .agg(F.max(F.col("l_linenumber") % 3).cast("int").alias("dosage")))
     return g.filter(F.col("dosage") > 0).select(
         "sample_id",
         (F.col("pk") % N_CHROMS + 1).cast("string").alias("chrom"),
-        (F.col("pk") * 200).cast("int").alias("pos"),
+        (F.col("pk") * 200).cast("bigint").alias("pos"),
         F.expr("substr('ACGT', CAST(pk % 4 + 1 AS INT), 1)").alias("ref"),
         F.expr("substr('CGTA', CAST(pk % 4 + 1 AS INT), 1)").alias("alt"),
         "dosage")
 
 
+def genotype_samples(spark: SparkSession, sf_dir: str) -> int:
+    """Number of samples with a genotype."""
+    return genotypes(spark, sf_dir).agg(F.count_distinct("sample_id")).first()[0]
+
+
 def pheno_gene(spark: SparkSession, sf_dir: str) -> DataFrame:
     """phenotype -> gene look-up for the protein studies (plus a non-ENSG row per study)."""
     st = _sumstats_with_st(spark, sf_dir).select("st").distinct().filter(F.col("st") % 3 == 2)

@@ -8,6 +8,7 @@ Scratch output goes below the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -39,15 +40,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_root(spark: SparkSession) -> str:
     """Shared scratch folder: ``spark.checkpoint.dir`` if the cluster names one.
 
-    Only when it is unset (local tests) a folder below the warehouse dir is
-    used and registered as the checkpoint dir.
+    A local session without one gets a temporary folder; a cluster must name its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        wh = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-        root = f"{wh.rstrip('/')}/_sharedsignal_scratch"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="sharedsignal-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -97,42 +97,17 @@ def read_credset(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 # --- S2: summary statistics --------------------------------------------------
 
-def load_sumstats(df: DataFrame, study_id: str | None = None, phenotype_id: str | None = None,
-                  bio_feature: str | None = None, chrom: str | None = None,
-                  start: int | None = None, end: int | None = None,
-                  min_maf: float | None = None) -> DataFrame:
-    """Project the sumstats columns and apply the signal predicates.
+def sumstats_region(df: DataFrame, min_maf: float | None = None, **region) -> DataFrame:
+    """Sumstats columns of one region with ``variant_id``; ``region`` as in ``region_filter``.
 
-    ``None`` means *no predicate* (wildcard).  Position bounds are closed.
-    Predicates are plain comparisons on scan columns, so Parquet row-group and
-    partition pruning apply.  Adds ``variant_id = chrom:pos:ref:alt``.
+    The predicates are plain comparisons on scan columns, so row groups and partitions are pruned.
     """
     from ..functions.variants import variant_id
-    from ..operators.sumstats import maf_filter
-
-    out = df.select(*schemas.SUMSTATS_COLS).withColumn("chrom", F.col("chrom").cast("string"))
-    preds: list[Column] = []
-    if study_id:
-        preds.append(F.col("study_id") == study_id)
-    if phenotype_id:
-        preds.append(F.col("phenotype_id") == phenotype_id)
-    if bio_feature:
-        preds.append(F.col("bio_feature") == bio_feature)
-    if chrom:
-        preds.append(F.col("chrom") == str(chrom))
-    if start:
-        preds.append(F.col("pos") >= start)
-    if end:
-        preds.append(F.col("pos") <= end)
-    for p in preds:
-        out = out.filter(p)
-    if min_maf:
-        out = maf_filter(out, min_maf)
-    return out.withColumn("variant_id", variant_id("chrom", "pos", "ref", "alt"))
-
+    from ..operators.sumstats import maf_filter, region_filter
 
-def read_sumstats(spark: SparkSession, path: str | list[str], **filters) -> DataFrame:
-    return load_sumstats(spark.read.parquet(*([path] if isinstance(path, str) else path)), **filters)
+    out = region_filter(df.select(*schemas.SUMSTATS_COLS).withColumn("chrom", F.col("chrom").cast("string")), **region)
+    out = out if min_maf is None else maf_filter(out, min_maf)
+    return out.withColumn("variant_id", variant_id("chrom", "pos", "ref", "alt"))
 
 
 # --- S3 / S4: results ---------------------------------------------------------
@@ -186,9 +161,11 @@ def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").json(path, compression="gzip")
 
 
-def write_compacted(df: DataFrame, path: str, n_files: int = 200) -> None:
-    """Parquet with at most ``n_files`` files (``coalesce`` avoids a shuffle)."""
-    df.coalesce(n_files).write.mode("overwrite").parquet(path, compression="snappy")
+def write_compacted(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
+    """Few larger Parquet files.  Spark rebalances the rows to partitions of the advisory
+    size (hot ones split, small ones merged); the upstream work keeps its own parallelism."""
+    (df.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+       .parquet(path, compression="snappy"))
 
 
 def range_sorted(df: DataFrame, chrom_col: str, pos_col: str, n_parts: int | None = None) -> DataFrame:

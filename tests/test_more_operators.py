@@ -36,7 +36,7 @@ def test_manifest_filters_paths_and_ld(spark):
     # 400 tags > 200; G4: max prop 1/150 < 0.01; FINNGEN: 2/150 >= 0.01 and 200 tags <= 200
     assert set(by) == {"FINNGEN_R5_X", "G2"}
     assert by["FINNGEN_R5_X"].left_ld is None           # no conditioning for FINNGEN
-    assert by["G2"].left_ld.endswith("ukb_v3_chr1.downsampled10k")
+    assert by["G2"].left_ld.endswith("panel_chr1")
     assert by["G2"].left_sumstats.endswith("/gwas/G2.parquet")
     assert by["G2"].right_sumstats.endswith("/molecular_trait/Q1.parquet")
     assert "left_phenotype=None" in by["G2"].out and "right_phenotype=ENSG1" in by["G2"].out
@@ -54,7 +54,7 @@ def test_missing_inputs_reports_absent_paths(spark):
     m = mf.make_manifest(_overlap(spark, [_pair("G1", "Q1", 5, 10, 10)]))
     catalog = spark.createDataFrame([("/data/sumstats/gwas/G1.parquet",)], "path string")
     got = sorted((r.column, r.path.rsplit("/", 1)[1]) for r in mf.missing_inputs(m, catalog).collect())
-    assert got == [("left_ld", "ukb_v3_chr1.downsampled10k.bed"), ("right_ld", "ukb_v3_chr1.downsampled10k.bed"),
+    assert got == [("left_ld", "panel_chr1.bed"), ("right_ld", "panel_chr1.bed"),
                    ("right_sumstats", "Q1.parquet")]
 
 
