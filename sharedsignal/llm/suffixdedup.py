@@ -383,7 +383,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
                                                  + (span - 1)).alias("p2")), "repeated-anchors")
     place = F.struct("h", "p1", "p2", "id")
     classes = scratch(rows.groupBy("g", "d").agg(F.count("*").alias("n"), F.min(place).alias("one")), "classes")
-    several = classes.groupBy("g").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+    # written first, so that the join has nothing but a shuffle under it and an anchor with many contexts can be split
+    several = scratch(classes.groupBy("g").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "several")
     sure = (rows.join(classes.filter("n > 1").select("g", "d"), ["g", "d"], "left_semi")
             .select("id", "h", F.struct("p1", "p2").alias("sure"),
                     F.lit(None).cast("struct<g:bigint,n:bigint,contexts:bigint,p1:bigint,p2:bigint>").alias("asked")))
