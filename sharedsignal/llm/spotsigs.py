@@ -2,10 +2,10 @@
 
 Words are runs of letters, marks and digits of the lower-cased text.  A spot is an
 anchor, a common word of one of four languages, that stands directly before a content
-word, with that word and the content word after it; other common words in between are
-skipped (up to RUN in a row).  A text's signature is its set of hashed spots.  Texts
-without a spot take all pairs of neighbouring content words, texts of one word that
-word, and texts without a word themselves; only the empty text has an empty signature.
+word, with that word and the content word after it; common words in between are
+skipped.  A text's signature is its set of hashed spots.  Texts without a spot take all
+pairs of neighbouring content words, texts of one content word that word, and texts
+without one themselves; only the empty text has an empty signature.
 
 Near duplicates: equal signatures are one class; classes are partitioned by set length
 so that only a partition and the next one can reach the threshold, meet on their
@@ -29,35 +29,34 @@ ANCHORS = ("a an and are as at be but by for from had has have he her his i in i
            "als am auch auf aus bei das dass dem den der des die ein eine einem einen einer er es für hat ich im ist mit "
            "nach nicht oder sein sich sie sind so über um und von war wie wird zu zum zur "
            "al como con del el ella es esta este fue ha la las lo los más muy no o para pero por se sin su sus y ya")
-RUN, SIMILARITY = 4, 0.8
-
-
-def items_of(text: Column, anchors: str = ANCHORS) -> tuple[Column, str]:
-    """The words in one line, and the pattern of a content word with the anchors before it."""
-    line = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", " ")
-    words = "|".join(sorted(set(anchors.split()), key=lambda w: (-len(w), w)))
-    return line, rf"(?:(?:{words}) ){{0,{RUN}}}\S+"
+SIMILARITY = 0.8
 
 
 def with_signature(df: DataFrame, text_col: str, out: str, anchors: str = ANCHORS) -> DataFrame:
     """``df`` and the sorted set of spot hashes (array<int>) of a text column without nulls."""
-    line, pattern = items_of(F.col(text_col), anchors)
-    df = df.withColumn("_line", line).withColumn("_items", F.regexp_extract_all("_line", F.lit(pattern), F.lit(0)))
+    common = sorted(set(anchors.split()))
+    df = df.withColumn("_words", F.array_remove(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{M}\p{N}]+"), ""))
+
+    def word(i):
+        return F.get("_words", i)
+
+    df = df.withColumn("_content", F.filter(
+        F.transform("_words", lambda w, i: F.when(~w.isin(common), i)), lambda i: i.isNotNull()))
 
     def chain(first):
-        def one(x, i):
-            after = F.get("_items", i + 1)
-            return F.when(first(x) & after.isNotNull(),
-                          F.hash(F.substring_index(x, " ", -2), F.substring_index(after, " ", -1)))
-        return F.sort_array(F.array_distinct(F.array_compact(F.transform("_items", one))))
+        def one(p, j):
+            after = F.get("_content", j + 1)
+            return F.when(after.isNotNull(), first(p, word(p), word(after)))
+        return F.sort_array(F.array_distinct(F.array_compact(F.transform("_content", one))))
 
-    df = df.withColumn("_spots", chain(lambda x: F.instr(x, " ") > 0))
+    spot = chain(lambda p, a, b: F.when(word(p - 1).isin(common), F.hash(word(p - 1), a, b)))
+    df = df.withColumn("_spots", spot)
     spots = (F.when(F.size("_spots") > 0, F.col("_spots"))
-             .when(F.size("_items") > 1, chain(lambda x: F.lit(True)))
-             .when(F.size("_items") == 1, F.array(F.hash(F.element_at("_items", 1))))
+             .when(F.size("_content") > 1, chain(lambda p, a, b: F.hash(a, b)))
+             .when(F.size("_content") == 1, F.array(F.hash(word(F.get("_content", F.lit(0))))))
              .when(F.col(text_col) != "", F.array(F.hash(F.col(text_col))))
              .otherwise(F.array().cast("array<int>")))
-    return df.withColumn(out, spots).drop("_line", "_items", "_spots")
+    return df.withColumn(out, spots).drop("_words", "_content", "_spots")
 
 
 def fingerprint(signature: Column) -> Column:
