@@ -134,10 +134,10 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
 def model_shards(probabilities: DataFrame, shard: int = SHARD) -> list:
     """Broadcast shards (sorted grams, their log probabilities) of at most about ``shard`` grams."""
     spark = probabilities.sparkSession
-    n = max(1, -(-probabilities.count() // shard))
+    n = max(1, -(-probabilities.count() // shard)) | 1
     out = []
     for k in range(n):
-        part = probabilities.filter(F.pmod(F.xxhash64("gram"), F.lit(n)) == k) if n > 1 else probabilities
+        part = probabilities.filter(F.pmod("gram", F.lit(n)) == k) if n > 1 else probabilities
         t = part.toArrow()
         gram, logp = t.column("gram").to_numpy(), t.column("logp").to_numpy().astype(np.float32)
         order = np.argsort(gram)
@@ -146,11 +146,16 @@ def model_shards(probabilities: DataFrame, shard: int = SHARD) -> list:
 
 
 def score(docs: DataFrame, shards: list, text_col: str = "text") -> DataFrame:
-    """All columns and _units (code units) and _logp (natural log probability of the text)."""
+    """All columns and _units (code units) and _logp (natural log probability of the text).
+
+    Grams that the shards lack, in texts that were not counted, have probability 1 / VOCABULARY.
+    """
     where = docs.columns.index(text_col)
     schema = T.StructType(docs.schema.fields + [T.StructField("_units", T.LongType()), T.StructField("_logp", T.DoubleType())])
 
-    def adder(shard, first):
+    n, floor = len(shards), -float(np.log(VOCABULARY))
+
+    def adder(shard, number, first):
         def run(batches):
             grams, logp = shard.value
             for b in batches:
@@ -163,7 +168,9 @@ def score(docs: DataFrame, shards: list, text_col: str = "text") -> DataFrame:
                     new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.empty(0, np.int64)
                     at = np.searchsorted(grams, ranked[new])
                     here = np.minimum(at, len(grams) - 1) if len(grams) else at
-                    value = np.where(grams[here] == ranked[new], logp[here], 0.0) if len(grams) else np.zeros(len(new))
+                    known = grams[here] == ranked[new] if len(grams) else np.zeros(len(new), bool)
+                    value = np.where(ranked[new] % n == number, floor, 0.0)
+                    value[known] = logp[here[known]]
                     each = np.empty(len(keys))
                     each[order] = np.repeat(value, np.diff(np.append(new, len(keys))))
                     units[i:j] = sizes
@@ -179,7 +186,7 @@ def score(docs: DataFrame, shards: list, text_col: str = "text") -> DataFrame:
 
     out = docs
     for k, s in enumerate(shards):
-        out = out.mapInArrow(adder(s, k == 0), schema)
+        out = out.mapInArrow(adder(s, k, k == 0), schema)
     return out
 
 
@@ -201,7 +208,7 @@ class QualityModel:
         own = t.filter("not every").select(F.col("lang").alias("_lang"), F.col("low").alias("_low"), F.col("high").alias("_high"))
         scored = score(docs, self.shards, text_col).withColumn(
             "_perplexity", F.when(F.col("_units") > 0, F.exp(-F.col("_logp") / F.col("_units"))))
-        (general,) = every.collect()  # one row
+        general = every.first() or {"_l": None, "_h": None}  # one row, none without trusted texts
         return (scored.join(own, scored[lang_col].eqNullSafe(own["_lang"]), "left")
                 .withColumn("_low", F.coalesce("_low", F.lit(general["_l"]).cast("double")))
                 .withColumn("_high", F.coalesce("_high", F.lit(general["_h"]).cast("double")))
