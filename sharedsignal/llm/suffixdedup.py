@@ -369,7 +369,8 @@ def only(df: DataFrame, keys: DataFrame, key: str, or_all: bool = False) -> Data
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM,
              most: int = MOST) -> DataFrame:
-    """One row per (id, h) with something to remove: n_removed, n_spans, clean (binary), kept_sha256.
+    """One row per (id, h) with something to remove: n_removed, n_spans, kept_sha256, and clean: the
+    remaining bytes as text, without characters that lost some of theirs.
 
     h is ``xxhash64(id, text)`` with null text as empty.  Rows that repeat an id and
     its text are copies of each other like any other two rows.  Texts shorter than
@@ -423,14 +424,14 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
                     stop = max(stop, c["last"])
                     at = stop
                 kept = b"".join([*kept, raw[at:]])
-                out.append((len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
             cols = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-                 pa.array(cols[3], pa.binary())], names=["id", "h", "n_removed", "n_spans", "kept_sha256", "clean"])
+                 pa.array(cols[3], pa.string())], names=["id", "h", "n_removed", "n_spans", "kept_sha256", "clean"])
 
     # rows that repeat a key are equal, and one of them stands for all
-    return both.mapInArrow(run, f"id {kind}, h bigint, n_removed bigint, n_spans bigint, kept_sha256 string, clean binary")
+    return both.mapInArrow(run, f"id {kind}, h bigint, n_removed bigint, n_spans bigint, kept_sha256 string, clean string")
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -439,7 +440,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A character that loses some of its bytes is dropped; ``n_chars``, where it exists, follows the text.
     """
     found = scratch(repeated(docs, id_col, text_col, **options).dropDuplicates(["id", "h"])
-                    .select("id", "h", F.decode("clean", "UTF-8").alias("_clean")), "cleaned")
+                    .select("id", "h", F.col("clean").alias("_clean")), "cleaned")
     h = F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     rest, changed = None, docs.withColumn("_h", h)
     keys = found.select(F.col("h").alias("_h"))
