@@ -1,4 +1,4 @@
-"""sharedsignal: Spark-native genetic colocalisation.
+"""sharedsignal: Spark-native tests of whether two genetic signals are one.
 
 Finds overlapping credible sets, builds the table of tests, extracts the
 summary statistics of every signal, computes approximate Bayes factors and the

@@ -1,4 +1,4 @@
-"""Colocalisation of all tests in one plan.
+"""Shared-signal posteriors of all tests in one plan.
 
 Legacy: one OS process per test (pandas intersection -> R coloc.abf).  Here:
 
@@ -100,9 +100,22 @@ def with_z(stats: DataFrame) -> DataFrame:
              .withColumn("informative", F.coalesce(given.isNotNull() | ((F.col("pval") > 0) & ~F.isnan("pval")), F.lit(False))))
 
 
-def harmonise(tests: DataFrame, stats: DataFrame) -> DataFrame:
+def _test_keys(tests: DataFrame, window_kb: int | None) -> DataFrame:
+    return tests.select("test_id", "left_signal_id", "right_signal_id", *(["right_lead_pos"] if window_kb is not None else []))
+
+
+def _left_rows(t: DataFrame, left: DataFrame, window_kb: int | None) -> DataFrame:
+    """Left rows of each test; those outside the right signal's window match nothing and are
+    dropped before the shuffle to the variant."""
+    x = t.join(left, "left_signal_id")
+    if window_kb is None:
+        return x
+    return x.filter(F.abs(F.col("pos") - F.col("right_lead_pos")) <= 1000 * window_kb).drop("right_lead_pos")
+
+
+def harmonise(tests: DataFrame, stats: DataFrame, window_kb: int | None = None) -> DataFrame:
     """Shared variants of each test (inner join of the two signals on variant)."""
-    t = tests.select("test_id", "left_signal_id", "right_signal_id")
+    t = _test_keys(tests, window_kb)
     # z and MAF depend on the (signal, variant) row only: computed once per prepared
     # row on the scan side, not once per test that reuses the signal.
     pre = with_z(stats.withColumn("maf", eaf_to_maf(F.col("eaf"))))
@@ -114,7 +127,7 @@ def harmonise(tests: DataFrame, stats: DataFrame) -> DataFrame:
                           F.col("n_total").alias(f"{p}_n"), F.col("n_cases").alias(f"{p}_ncases"),
                           F.col("is_cc").alias(f"{p}_cc"))
 
-    return (t.join(side("left"), "left_signal_id")
+    return (_left_rows(t, side("left"), window_kb)
              .join(side("right"), ["right_signal_id", "chrom", "pos", "ref", "alt"]))
 
 
@@ -208,7 +221,7 @@ def uniform_signals(stats: DataFrame) -> DataFrame:
     return stats.groupBy("signal_id").agg(flags.alias("uniform"))
 
 
-def harmonise_labf(tests: DataFrame, stats: DataFrame) -> DataFrame:
+def harmonise_labf(tests: DataFrame, stats: DataFrame, window_kb: int | None = None) -> DataFrame:
     """J10 for uniform study constants: lABF and the usable flag are computed once
     per prepared (signal, variant) row, then the two sides are joined per test."""
     n = F.col("n_total").cast("double")
@@ -219,13 +232,13 @@ def harmonise_labf(tests: DataFrame, stats: DataFrame) -> DataFrame:
     pre = pre.withColumn("usable", F.col("informative") & (F.col("maf") > 0) & ~F.isnan("maf")
                          & usable_constants(F.col("__N"), F.col("__s"), F.col("__cc")))
     pre = with_log_abf(pre, "z", "maf", "__N", "__cc", "__s", "labf")
-    t = tests.select("test_id", "left_signal_id", "right_signal_id")
+    t = _test_keys(tests, window_kb)
 
     def side(p):
         return pre.select(F.col("signal_id").alias(f"{p}_signal_id"), "chrom", "pos", "ref", "alt",
                           F.col("usable").alias(f"{p}_usable"), F.col("labf").alias(f"{p}_l"))
 
-    return (t.join(side("left"), "left_signal_id")
+    return (_left_rows(t, side("left"), window_kb)
              .join(side("right"), ["right_signal_id", "chrom", "pos", "ref", "alt"]))
 
 
@@ -236,7 +249,7 @@ def results_naming(tests: DataFrame) -> list:
 
 
 def run_coloc(tests: DataFrame, stats: DataFrame, p1: float = PRIOR_P1, p2: float = PRIOR_P2,
-              p12: float = PRIOR_P12, window_anchor: str = "own") -> DataFrame:
+              p12: float = PRIOR_P12, window_anchor: str = "own", window_kb: int | None = None) -> DataFrame:
     """M5: raw coloc results, one row per test with at least one usable shared variant.
 
     ``tests`` carries the 16 locus columns (manifest naming); ``stats`` is
@@ -244,21 +257,26 @@ def run_coloc(tests: DataFrame, stats: DataFrame, p1: float = PRIOR_P1, p2: floa
     columns: left_/right_ x (type, study, phenotype, bio_feature, chrom, pos, ref,
     alt), nsnps, coloc_h0..coloc_h4.
 
+    ``window_kb``: the window with which ``stats`` were cut around each signal's own lead;
+    given, rows that cannot be shared are dropped early.
+
     Each test takes the plan that its own signals allow: where both have constant study
     constants, lABF comes from the (signal, variant) rows; else the constants come from
     the test's first shared variant.  Results are identical where both plans apply.
     """
     t = with_test_ids(tests.select(*[f"{s}_{c}" for s in SIDES for c in LOCUS_COLS]).distinct(),
                       window_anchor)
+    if window_anchor != "own":
+        window_kb = None
     flags = uniform_signals(stats)
     routed = t
     for s in SIDES:
         routed = routed.join(flags.select(F.col("signal_id").alias(f"{s}_signal_id"), F.col("uniform").alias(f"__{s}_uniform")),
                              f"{s}_signal_id")
     uniform = F.col("__left_uniform") & F.col("__right_uniform")
-    sh = harmonise_labf(routed.filter(uniform), stats).filter(F.col("left_usable") & F.col("right_usable"))
+    sh = harmonise_labf(routed.filter(uniform), stats, window_kb).filter(F.col("left_usable") & F.col("right_usable"))
     labf = sh.select("test_id", F.col("left_l").alias("l1"), F.col("right_l").alias("l2"))
-    mixed = first_row_labf(harmonise(routed.filter(~uniform), stats))
+    mixed = first_row_labf(harmonise(routed.filter(~uniform), stats, window_kb))
     post = posteriors_from_labf(labf.unionByName(mixed), p1, p2, p12)
     return t.join(post, "test_id").select(*results_naming(t), "nsnps",
                                           *[f"coloc_h{i}" for i in range(5)])
@@ -275,13 +293,6 @@ def coloc_status(tests: DataFrame, raw: DataFrame) -> DataFrame:
                      F.coalesce("status", F.lit("no_intersection")).alias("status")))
 
 
-def colocalise(tests: DataFrame, sumstats: DataFrame, window_kb: int = COLOC_WINDOW_KB,
-               min_maf: float | None = MIN_MAF, window_anchor: str = "own") -> DataFrame:
-    """Convenience: prepare signals (no conditioning) and run coloc for all tests."""
-    stats = prepare_signals(tests, sumstats, window_kb, min_maf, window_anchor)
-    return run_coloc(tests, stats, window_anchor=window_anchor)
-
-
 def side_constants(shared: DataFrame) -> DataFrame:
     """Per test and side, N, cases = min(n_cases, N - n_cases), s = cases / N
     and the cc flag, from the first shared variant in variant-id order."""

@@ -65,7 +65,8 @@ def pval_from_z_np(z):
     return t * np.exp(-x * x + acc)
 
 
-def condition_list(signals: DataFrame, window_stats: DataFrame, toploci: DataFrame) -> DataFrame:
+def condition_list(signals: DataFrame, window_stats: DataFrame, toploci: DataFrame,
+                   window_kb: int = COND_WINDOW_KB) -> DataFrame:
     """(window variants of the signal) n (top loci of the same study /
     phenotype / feature / chromosome) minus the index variant.
 
@@ -77,7 +78,8 @@ def condition_list(signals: DataFrame, window_stats: DataFrame, toploci: DataFra
                         F.col("pos").alias("cond_pos"), F.col("ref").alias("cond_ref"),
                         F.col("alt").alias("cond_alt"))
     cond = ((F.col("study_id") == F.col("__s")) & F.col("phenotype_id").eqNullSafe(F.col("__p"))
-            & F.col("bio_feature").eqNullSafe(F.col("__f")) & (F.col("lead_chrom") == F.col("cond_chrom")))
+            & F.col("bio_feature").eqNullSafe(F.col("__f")) & (F.col("lead_chrom") == F.col("cond_chrom"))
+            & (F.abs(F.col("cond_pos") - F.col("lead_pos")) <= 1000 * window_kb))
     c = signals.join(tl, cond).filter(~((F.col("cond_pos") == F.col("lead_pos"))
                                         & (F.col("cond_ref") == F.col("lead_ref"))
                                         & (F.col("cond_alt") == F.col("lead_alt"))))
@@ -254,7 +256,7 @@ def prepare_signals_conditional(signals: DataFrame, sumstats: DataFrame, toploci
     routed = signals.withColumn("__c", conditionable(signals))
     ws = signal_sumstats_join(routed.select("signal_id", "__c", *SIGNAL_COLS), sumstats, cond_window_kb, min_maf)
     able = ws.filter("__c").select("signal_id", "lead_pos", *STAT_COLS)
-    conds = condition_list(routed.filter("__c"), able.select("signal_id", "chrom", "pos", "ref", "alt"), toploci)
+    conds = condition_list(routed.filter("__c"), able.select("signal_id", "chrom", "pos", "ref", "alt"), toploci, cond_window_kb)
     conditioned = merge_conditional(able, cojo_multi(able.drop("lead_pos"), conds, genotypes, n_samples))
     plain = (ws.select("signal_id", "lead_pos", *STAT_COLS)
              .join(conds.select("signal_id").distinct(), "signal_id", "left_anti")

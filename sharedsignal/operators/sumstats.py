@@ -103,11 +103,7 @@ def signal_sumstats_join(signals: DataFrame, sumstats: DataFrame, window_kb: int
     ss = sumstats.select("study_id", "phenotype_id", "bio_feature", *STAT_COLS)
     if min_maf is not None:
         ss = maf_filter(ss, min_maf)
-    # Studies / chromosomes without any signal never reach the range-join shuffle:
-    # a semi-join on a key set bounded by studies x chromosomes (broadcast by AQE
-    # once measured; dynamic partition pruning on a study/chrom-partitioned table).
-    keys = signals.select("study_id", F.col("lead_chrom").alias("chrom")).distinct()
-    ss = ss.join(keys, ["study_id", "chrom"], "left_semi")
+    # one shuffle: on the range join's own keys, whose bins spread a large study
     return window_join(signals, ss, ["study_id", "phenotype_id", "bio_feature"],
                        "lead_chrom", "lead_pos", "chrom", "pos", 1000 * window_kb)
 

@@ -57,7 +57,7 @@ def coloc_raw(spark: SparkSession, d: str, reuse: bool = True) -> DataFrame:
         return _RAW_CACHE[k]
     t = tests(spark, d)
     stats = materialize(signal_stats(spark, d, t), "signal_stats")
-    out = materialize(abf.run_coloc(t, stats), "coloc_raw")
+    out = materialize(abf.run_coloc(t, stats, window_kb=abf.COLOC_WINDOW_KB), "coloc_raw")
     _RAW_CACHE[k] = out
     return out
 
@@ -81,7 +81,7 @@ def coloc_raw_conditional(spark: SparkSession, d: str) -> DataFrame:
     """Raw results with every signal that has an LD reference conditioned on its neighbours."""
     t = tests(spark, d)
     stats = materialize(conditional_stats(spark, d, t), "signal_stats_conditional")
-    return materialize(abf.run_coloc(t, stats), "coloc_raw_conditional")
+    return materialize(abf.run_coloc(t, stats, window_kb=abf.COLOC_WINDOW_KB), "coloc_raw_conditional")
 
 
 def coloc_processed_conditional(spark: SparkSession, d: str, min_vars: int = QUERY_MIN_VARS) -> DataFrame:

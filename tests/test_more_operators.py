@@ -89,9 +89,16 @@ def test_log_parsing_errors_and_running_mean(spark):
     secs = {r.log_id: r.seconds for r in lg.task_seconds(lines).collect()}
     assert secs == {"a": 70.5, "c": 3600.25}
     assert [r.line for r in lg.error_lines(lines).collect()] == ["ERROR GCTA failed"]
-    seq = spark.createDataFrame([(i, float(i)) for i in range(2500)], "log_seq int, seconds double")
-    rm = [r.mean_seconds for r in lg.running_mean(seq).orderBy("iteration").collect()]
-    assert rm[0] == pytest.approx(sum(range(1000)) / 1000) and rm[-1] == pytest.approx(sum(range(2500)) / 2500)
+    seq = spark.createDataFrame([(10 * i, float(i)) for i in range(2500)], "log_id int, seconds double")
+    rm = [(r.iteration, r.mean_seconds) for r in lg.running_mean(seq).orderBy("iteration").collect()]
+    assert rm == [(1000, pytest.approx(sum(range(1000)) / 1000)), (2000, pytest.approx(sum(range(2000)) / 2000))]
+    bad = spark.createDataFrame([("a", 1, "Time taken: soon"), ("a", 2, "Time taken: 0:00:02.0"), ("a", 3, "Time taken: 0:00:01.0")], lines.schema)
+    assert [r.seconds for r in lg.task_seconds(bad).collect()] == [2.0]
+
+
+def test_logs_keep_their_line_order(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("start\nTime taken: 0:09:00.0\nTime taken: 0:01:00.0\n")
+    assert [r.seconds for r in lg.task_seconds(lg.read_logs(spark, f"{tmp_path}/*.txt")).collect()] == [540.0]
 
 
 def test_ld_overlap_features_thresholds(spark):

@@ -182,3 +182,39 @@ def test_cojo_single_equals_multi_for_one_variant(spark):
         assert a[p].beta_cond == pytest.approx(b[p].beta_cond, rel=1e-9)
         assert a[p].se_cond == pytest.approx(b[p].se_cond, rel=1e-9)
         assert a[p].pval_cond == pytest.approx(math.erfc(abs(a[p].z_cond) / math.sqrt(2)), rel=2e-7)
+
+
+def test_cojo_three_conditioning_variants(spark):
+    """Against loops over the formulas: joint effects of the conditioning variants taken off each variant."""
+    rng = np.random.default_rng(4)
+    n_samples, n_var, ks = 400, 10, [2, 5, 8]
+    g = rng.integers(0, 3, size=(n_samples, n_var))
+    rows = [(int(s), "1", 1000 * (v + 1), "A", "C", int(g[s, v])) for s in range(n_samples) for v in range(n_var) if g[s, v] > 0]
+    f, b, n, se = g.mean(0) / 2, rng.normal(0, 0.1, n_var), 5000.0, 0.02
+    stats = spark.createDataFrame(
+        [(7, "1", 1000 * (v + 1), "A", "C", float(b[v]), se, 1e-3, int(n), None, float(f[v]), False) for v in range(n_var)],
+        "signal_id long, chrom string, pos long, ref string, alt string, beta double, se double, pval double, "
+        "n_total int, n_cases int, eaf double, is_cc boolean")
+    conds = spark.createDataFrame([(7, "1", 1000 * (k + 1), "A", "C") for k in ks],
+                                  "signal_id long, cond_chrom string, cond_pos long, cond_ref string, cond_alt string")
+    got = {r.pos // 1000 - 1: r for r in cd.cojo_multi(stats, conds, spark.createDataFrame(rows, schemas.GENOTYPES), n_samples).collect()}
+    r, v = np.corrcoef(g.T), f * (1 - f)
+    d = 2 * v * n
+    cross = lambda i, j: n * 2 * math.sqrt(v[i] * v[j]) * r[i, j]
+    B = np.array([[d[i] if i == j else cross(i, j) for j in ks] for i in ks])
+    joint = np.linalg.solve(B, d[ks] * b[ks])
+    yy = np.median(d * se ** 2 * (n - 1) + d * b ** 2)
+    assert set(got) == set(range(n_var)) - set(ks)
+    for j in got:
+        c = np.array([cross(j, k) for k in ks])
+        beta = b[j] - c @ joint / d[j]
+        s2 = (yy - joint @ (d[ks] * b[ks]) - d[j] * b[j] * beta) / (n - len(ks) - 1)
+        var = s2 * (d[j] - c @ np.linalg.solve(B, c)) / d[j] ** 2
+        assert got[j].beta_cond == pytest.approx(beta, rel=1e-6)
+        assert got[j].se_cond == pytest.approx(math.sqrt(var), rel=1e-6)
+
+
+def test_signals_without_reference_are_not_conditioned(spark):
+    sig = spark.createDataFrame([(1, "p", "conditional"), (2, None, "conditional"), (3, "p", "distance"), (4, "p", None)],
+                                "signal_id int, ld string, method string")
+    assert [r.signal_id for r in sig.filter(cd.conditionable(sig)).orderBy("signal_id").collect()] == [1, 4]

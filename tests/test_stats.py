@@ -114,7 +114,7 @@ def test_invalid_variants_dropped_but_first_row_constants_kept(spark):
 
 
 def test_uniform_fast_path_equals_first_row_path(spark):
-    from sharedsignal.operators.abf import run_coloc, uniform_study_constants
+    from sharedsignal.operators.abf import coloc_posteriors, harmonise, run_coloc, uniform_signals
     rng = np.random.default_rng(21)
     cols = ("left", "right")
     tests = spark.createDataFrame(
@@ -133,14 +133,28 @@ def test_uniform_fast_path_equals_first_row_path(spark):
             rows.append((sid, "1", 1000 + i, "A", "C", 0.1, 0.01, p, n, nc, float(rng.uniform(0.01, 0.99)), cc))
     stats = spark.createDataFrame(rows, "signal_id long, chrom string, pos int, ref string, alt string, beta double, "
                                         "se double, pval double, n_total int, n_cases int, eaf double, is_cc boolean")
-    assert uniform_study_constants(stats)
-    fast = {r.left_study: r for r in run_coloc(tests, stats, uniform=True).collect()}
-    slow = {r.left_study: r for r in run_coloc(tests, stats, uniform=False).collect()}
+    assert all(r.uniform for r in uniform_signals(stats).collect())
+    fast = {r.left_study: r for r in run_coloc(tests, stats).collect()}
+    t = with_test_ids(tests)
+    study = {r.test_id: r.left_study_id for r in t.collect()}
+    slow = {study[r.test_id]: r for r in coloc_posteriors(harmonise(t, stats)).collect()}
     assert set(fast) == set(slow) == {"G1", "G2"}
     for k in fast:
         assert fast[k].nsnps == slow[k].nsnps == 39
         for i in range(5):
             assert getattr(fast[k], f"coloc_h{i}") == getattr(slow[k], f"coloc_h{i}")
+    # one signal with mixed constants sends only its own test to the first-row plan
     mixed = stats.union(spark.createDataFrame([(ids["G1"][0], "1", 5000, "A", "C", 0.1, 0.01, 0.5, 4999, None, 0.3, False)],
                                               stats.schema))
-    assert not uniform_study_constants(mixed)
+    assert {r.signal_id: r.uniform for r in uniform_signals(mixed).collect()}[ids["G1"][0]] is False
+    again = {r.left_study: r for r in run_coloc(tests, mixed).collect()}
+    assert again["G1"].coloc_h4 == fast["G1"].coloc_h4 and again["G2"].coloc_h4 == fast["G2"].coloc_h4
+
+
+def test_bad_study_constants_lose_only_their_rows(spark):
+    from sharedsignal.operators.abf import abf_per_variant
+    rows = [(1, 0.3, 1000, 0, True), (2, 0.3, 0, None, False), (3, 0.3, 1000, 250, True), (4, 0.3, 1000, 1000, True)]
+    stats = spark.createDataFrame([(i, "1", 5, "A", "C", 0.1, 0.01, 1e-4, n, nc, f, cc) for i, f, n, nc, cc in rows],
+                                  "signal_id long, chrom string, pos long, ref string, alt string, beta double, se double, "
+                                  "pval double, n_total int, n_cases int, eaf double, is_cc boolean")
+    assert [r.signal_id for r in abf_per_variant(stats).collect()] == [3]
