@@ -90,6 +90,15 @@ def lower_table() -> bytes:
     return bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
 
+#: Keys that may be sent to every task to spare a shuffle of rows; beyond it, they are joined by one.
+SEND = 2_000_000
+
+
+def sent(keys: DataFrame) -> DataFrame:
+    """``keys`` (one narrow column, written) marked for a broadcast while they are few."""
+    return F.broadcast(keys.distinct()) if keys.count() <= SEND else keys
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under fixed names, so that extra columns cannot clash."""
     return df.select(*[F.col(f"`{c}`").alias(a) for a, c in columns.items()])

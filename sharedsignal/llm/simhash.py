@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_table, pick, scratch, shuffle_partitions, table, utf8_column
+from .common import lower_table, pick, scratch, sent, shuffle_partitions, table, utf8_column
 from .components import components
 
 SHINGLE, RADIUS = 4, 4
@@ -324,7 +324,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without an id stay: nothing names what they would be a copy of.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    gone = found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("_gone")).distinct()
+    gone = sent(scratch(found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("_gone")).distinct(), "gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
 
 

@@ -34,15 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, scratch, shuffle_partitions, table, utf8_column
+from .common import SEND, pieces, scratch, shuffle_partitions, table, utf8_column
 
 SPAN, GRAM = 400, 80
 #: Bytes whose windows are hashed at once; longer texts are cut into overlapping segments.
 SEGMENT = 1 << 20
 #: Bits of a place that hold the number of windows (at most SPAN - GRAM + 1 of one anchor).
 PLACE = 16
-#: Keys that may be sent to every task to spare a shuffle of rows they would not keep.
-SEND = 2_000_000
 #: Contexts of one anchor that are gathered in a task.
 MOST = 50_000
 #: Windows that a task sorts at once, over several anchors.
