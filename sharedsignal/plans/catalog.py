@@ -136,67 +136,71 @@ def q_ld_scan(spark, d):
     return io.read_ld_tsv(spark, path)
 
 
-@query("results_scan_partitioned")
+@query("results_scan_partitioned", S(rounded_sql("SELECT * FROM coloc_raw_v", RAW_COLS, PP), "coloc_raw_v"))
 def q_results_scan_partitioned(spark, d):
     """S3: JSON results under hive directories (NULL ids as default partition), read
     with basePath; ids restored from the paths."""
     part = ["left_study", "left_type", "right_study", "right_type", "right_phenotype"]
-    path = _read_back(jobs.coloc_raw(spark, d), "results_json",
-                      lambda df, p: df.repartition(*part).write.mode("overwrite").partitionBy(*part).json(p))
-    return io.read_results_dir(spark, path)
+    raw = jobs.coloc_raw(spark, d).select(*RAW_COLS)
+    path = _read_back(raw, "results_json", lambda df, p: df.hint("rebalance").write.mode("overwrite").partitionBy(*part).json(p))
+    return rounded(io.read_results_dir(spark, path, raw.schema).select(*RAW_COLS), PP)
 
 
-@query("overlap_write_json")
+@query("overlap_write_json", S(f"SELECT {', '.join(O.OVERLAP_COLS)} FROM overlap_v", "overlap_v"))
 def q_overlap_write_json(spark, d):
     """Overlap table as gzip JSON lines (distributed write; one file only on request)."""
-    path = _read_back(jobs.overlap_table(spark, d), "overlap_json", lambda df, p: io.write_json(df, p))
-    return spark.read.json(path)
+    table = jobs.overlap_table(spark, d).select(*O.OVERLAP_COLS)
+    return spark.read.schema(table.schema).json(_read_back(table, "overlap_json", io.write_json))
 
 
-@query("compact_results")
+@query("compact_results", S(rounded_sql("SELECT * FROM coloc_raw_v", RAW_COLS, PP), "coloc_raw_v"))
 def q_compact_results(spark, d):
     """Results compacted to Parquet files of the advisory size."""
     path = _read_back(jobs.coloc_raw(spark, d), "raw_compact", io.write_compacted)
-    return spark.read.parquet(path)
+    return rounded(spark.read.parquet(path).select(*RAW_COLS), PP)
 
 
-@query("range_sorted_layout")
+@query("range_sorted_layout", S(rounded_sql(f"SELECT * FROM coloc_processed_{MV}", PROC_COLS, PROC_ROUND), f"coloc_processed_{MV}"))
 def q_range_sorted_layout(spark, d):
     """Processed table range-partitioned and sorted by (left_chrom, left_pos)."""
     path = _read_back(jobs.coloc_processed(spark, d, MV), "processed_sorted", io.write_range_sorted)
-    return spark.read.parquet(path)
+    return rounded(spark.read.parquet(path).select(*PROC_COLS), PROC_ROUND)
 
 
-@query("partition_sumstats")
+@query("partition_sumstats", S(f"SELECT {', '.join(SS_COLS[1:])} FROM sumstats", "sumstats"))
 def q_partition_sumstats(spark, d):
     """Full sumstats in the hive layout, read back whole."""
     path = _read_back(A.sumstats(spark, d).drop("type"), "sumstats_pq2",
                       lambda df, p: io.partition_sumstats(df, p, mode="overwrite"))
-    return spark.read.parquet(path)
+    return spark.read.schema(A.sumstats(spark, d).drop("type").schema).parquet(path).select(*SS_COLS[1:])
 
 
-@query("partition_credset")
+@query("partition_credset", S(f"SELECT {', '.join(CS_COLS)} FROM credset", "credset"))
 def q_partition_credset(spark, d):
     """Credible sets as gzip JSON by study / feature / lead chromosome."""
     path = _read_back(A.credset(spark, d), "credset_part", io.partition_credset)
-    return spark.read.json(path)
+    return io.read_credset(spark, path)
 
 
-@query("partition_toploci")
+@query("partition_toploci", S(f"SELECT {', '.join(TL_COLS)} FROM toploci", "toploci"))
 def q_partition_toploci(spark, d):
     """Top loci by chromosome, read back whole."""
     path = _read_back(A.toploci(spark, d), "toploci_part", io.partition_toploci)
-    return spark.read.json(path)
+    return io.read_toploci(spark, path).select(*TL_COLS)
+
+
+_CONCAT_SQL = ", ".join("CASE WHEN left_lead_pos % 2 = 0 THEN right_num_tags END AS right_num_tags" if c == "right_num_tags" else c
+                        for c in O.OVERLAP_COLS)
 
 
-@query("concat_json")
+@query("concat_json", S(f"SELECT {_CONCAT_SQL} FROM overlap_v", "overlap_v"))
 def q_concat_json(spark, d):
     """Two JSON-lines parts (different columns) concatenated by name."""
     ov_ = jobs.overlap_table(spark, d)
     p1 = _read_back(ov_.filter(F.col("left_lead_pos") % 2 == 0), "cj1", lambda df, p: df.write.mode("overwrite").json(p))
     p2 = _read_back(ov_.filter(F.col("left_lead_pos") % 2 == 1).drop("right_num_tags"), "cj2",
                     lambda df, p: df.write.mode("overwrite").json(p))
-    return io.concat_json(spark, [p1, p2])
+    return io.concat_json(spark, [p1, p2]).select(*O.OVERLAP_COLS)
 
 
 SIGSTAT_COLS = LOCUS_COLS + sm.STAT_COLS
@@ -331,18 +335,13 @@ def q_manifest_dataset(spark, d):
                     "right_study_id", "right_type", mf.dataset_class(F.col("right_type")).alias("right_dataset"))
 
 
-_fin = "CASE WHEN CAST(substr(study_id, 2) AS INTEGER) % 4 = 0 THEN concat('FINNGEN_R5_', study_id) ELSE study_id END"
-
-
 @query("manifest_ld_reference", S(f"""SELECT sid AS study_id, lead_chrom,
   CASE WHEN starts_with(sid, 'FINNGEN') THEN CAST(NULL AS VARCHAR)
        ELSE '/data/ld/panel_chr' || lead_chrom || '' END AS ld
-FROM (SELECT DISTINCT {_fin} AS sid, lead_chrom FROM credset) t""", "credset"))
+FROM (SELECT DISTINCT study_id AS sid, lead_chrom FROM credset) t""", "credset"))
 def q_manifest_ld_reference(spark, d):
-    """P16 on study loci; every fourth study is renamed as a FINNGEN release."""
-    st = F.col("study_id")
-    sid = F.when(F.substring(st, 2, 10).cast("int") % 4 == 0, F.concat(F.lit("FINNGEN_R5_"), st)).otherwise(st)
-    x = A.credset(spark, d).select(sid.alias("study_id"), "lead_chrom").distinct()
+    """P16 on study loci, one study of which has no reference."""
+    x = A.credset(spark, d).select("study_id", "lead_chrom").distinct()
     return x.select("study_id", "lead_chrom", mf.ld_reference(F.col("study_id"), F.col("lead_chrom"), "/data/ld").alias("ld"))
 
 
