@@ -33,7 +33,7 @@ POOL = 1 << 20
 #: Cost of a piece of n tokens: n + QUADRATIC * n * n.
 QUADRATIC = 1 / 12288
 #: Text that is split and looked up at once, and chunks that a task remembers.
-TEXT_BYTES, REMEMBER = 4 << 20, 400_000
+TEXT_BYTES, REMEMBER = 2 << 20, 200_000
 
 
 class ChunkEncoder:
@@ -121,7 +121,9 @@ class ChunkEncoder:
         here[cut] = 1
         moved = np.cumsum(here, dtype=np.int32)
         out = np.full(len(data) + len(cut), 0x20, np.uint8)
-        out[np.arange(len(data)) + moved[:-1]] = data
+        kept = np.ones(len(out), bool)
+        kept[cut + np.arange(len(cut))] = False
+        out[kept] = data
         return out, off + moved[off] - here[off]
 
     def __call__(self, data: np.ndarray, off: np.ndarray):

@@ -38,13 +38,13 @@ from .common import SEND, pieces, scratch, shuffle_partitions, table, utf8_colum
 
 SPAN, GRAM = 400, 80
 #: Bytes whose windows are hashed at once; longer texts are cut into overlapping segments.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 #: Bits of a place that hold the number of windows (at most SPAN - GRAM + 1 of one anchor).
 PLACE = 16
 #: Contexts of one anchor that are gathered in a task.
 MOST = 50_000
 #: Windows that a task sorts at once, over several anchors.
-WINDOWS = 400_000
+WINDOWS = 200_000
 BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 
 
