@@ -34,6 +34,7 @@ def main() -> None:
         t0 = time.time()
         out = fn()
         times[name] = round(time.time() - t0, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
         return out
 
     # warm-up: start the executors and read the tables' footers once
@@ -48,9 +49,9 @@ def main() -> None:
     n_results = raw.count()
     heavy = times["tests"] + times["signal_stats"] + times["coloc"]
 
+    jobs.clear_cache()
     for name in ["overlap_table", "coloc_processed", "join_betas", "ld_pairs", "coloc_features"]:
-        if name in qs:
-            jobs.clear_cache()
+        if name in qs:  # coloc_processed builds the raw results that the later ones read
             timed(name, lambda n=name: qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save())
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
