@@ -42,7 +42,7 @@ def signal_stats(spark: SparkSession, d: str, t: DataFrame | None = None) -> Dat
     return abf.prepare_signals(t, A.sumstats(spark, d))
 
 
-_RAW_CACHE: dict[tuple[int, str], DataFrame] = {}
+_RAW_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def clear_cache() -> None:
@@ -52,7 +52,7 @@ def clear_cache() -> None:
 def coloc_raw(spark: SparkSession, d: str, reuse: bool = True) -> DataFrame:
     """Raw coloc results, written to the scratch folder.  Within one session the
     written table is reused by later queries on the same inputs (``reuse``)."""
-    k = (id(spark._jsparkSession), d)
+    k = (spark.sparkContext.applicationId, d)
     if reuse and k in _RAW_CACHE:
         return _RAW_CACHE[k]
     t = tests(spark, d)

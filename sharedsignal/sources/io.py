@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from .. import schemas
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     footer reads happen once per job instead of once per reference.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    k = (id(spark._jsparkSession), path)
+    k = (spark.sparkContext.applicationId, path)
     if k not in _TABLES:
         _TABLES[k] = spark.read.parquet(path)
     return _TABLES[k]
