@@ -18,8 +18,10 @@ the same stage.  No text is shuffled.
 
 *Decision.*  Per language, quantiles of the held-out trusted texts' log perplexity; a
 text outside [low, high] is rejected: junk is improbable, endless repetition too probable.
-The quantiles of n texts are uncertain, so their distance from the median is widened by
-the factor 1 + MARGIN / sqrt(n).
+The quantiles of n texts are uncertain, so their distance from the median, at least WIDTH,
+is widened by the factor 1 + MARGIN / sqrt(n).  A language with fewer than LEAST held-out
+texts also has at least the widened distances of all languages around its own median, and
+the thresholds over all languages where those are wider.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ ORDER, UNIT = 4, 16
 VOCABULARY = 1 << UNIT
 LOW, HIGH, MARGIN = 0.002, 0.995, 6.0
 HELD_OUT = 5
+#: Held-out texts for a language's own thresholds, and the least distance of a threshold from the median (log perplexity).
+LEAST, WIDTH = 30, 0.1
 #: Grams of a broadcast shard: 12 bytes each.
 SHARD = 2_000_000
 #: Trusted ids that may be sent to every task; more are joined by a shuffle.
@@ -235,10 +239,21 @@ def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     sample = score(slim.join(ids, "_id").filter(held).select("text", "lang"), shards).filter("_units > 0")
     q = F.percentile_approx(-F.col("_logp") / F.col("_units"), F.array(F.lit(low), F.lit(0.5), F.lit(high)), F.lit(10000))
     found = sample.rollup("lang").agg(q.alias("q"), F.count("*").alias("n"), F.grouping("lang").alias("g"))
+    return QualityModel(shards, scratch(limits(scratch(found, "quantiles"), margin), "thresholds"))
+
+
+def limits(found: DataFrame, margin: float = MARGIN) -> DataFrame:
+    """(lang, low, high, every) from written rows (lang, q, n, g): quantiles of log perplexity low, median, high."""
     wider, middle = 1 + margin / F.sqrt("n"), F.col("q")[1]
-    return QualityModel(shards, scratch(found.select(
-        "lang", F.exp(middle + (F.col("q")[0] - middle) * wider).alias("low"),
-        F.exp(middle + (F.col("q")[2] - middle) * wider).alias("high"), (F.col("g") == 1).alias("every")), "thresholds"))
+    own = found.select("lang", "n", "g", middle.alias("m"), (F.greatest(middle - F.col("q")[0], F.lit(WIDTH)) * wider).alias("below"),
+                       (F.greatest(F.col("q")[2] - middle, F.lit(WIDTH)) * wider).alias("above"))
+    low, high = F.col("m") - F.col("below"), F.col("m") + F.col("above")
+    whole = own.filter("g = 1").first()  # one row, none without trusted texts
+    if whole:
+        few = F.col("n") < LEAST
+        low = F.when(few, F.least(low, F.col("m") - whole["below"], F.lit(whole["m"] - whole["below"]))).otherwise(low)
+        high = F.when(few, F.greatest(high, F.col("m") + whole["above"], F.lit(whole["m"] + whole["above"]))).otherwise(high)
+    return own.select("lang", F.exp(low).alias("low"), F.exp(high).alias("high"), (F.col("g") == 1).alias("every"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

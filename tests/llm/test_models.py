@@ -96,6 +96,26 @@ def test_quality_decision(spark, rng, hostile, nothing):
     assert empty.judge(nothing).count() == 0 and empty.judge(docs).filter("_keep").count() == len(rows)
 
 
+def test_languages_with_few_held_out_texts(spark, rng):
+    rows = corpus(rng)
+    ids = spark.range(1000, 2000).select("id", (F.pmod(F.xxhash64("id"), F.lit(Q.HELD_OUT)) == 0).alias("held")).collect()
+    held, other = [r.id for r in ids if r.held], [r.id for r in ids if not r.held]
+    sources = [t for _, t, _, q in corpus(rng, 200) if q]
+    own, trusted = {}, [r[0] for r in rows if r[3]]
+    for n in (1, 2, 3):
+        mine = [held.pop() for _ in range(n)] + [other.pop() for _ in range(30)]
+        own[n] = {i: sources.pop() for i in mine}
+        trusted += mine[:n]
+    junk = {n: f"{sources[n].upper().replace(' ', '!! ')}" for n in own}
+    docs = [r[:3] for r in rows] + [(i, t, f"l{n}") for n, x in own.items() for i, t in x.items()] + [(5000 + n, t, f"l{n}") for n, t in junk.items()]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    model = Q.train(df, spark.createDataFrame([(i,) for i in trusted], "doc_id bigint"))
+    got = {r.doc_id: r for r in model.judge(df).collect()}
+    for n, x in own.items():
+        assert sum(got[i]._keep for i in x) / len(x) > 0.9 and not got[5000 + n]._keep
+        assert got[5000 + n]._low < got[min(x)]._perplexity < got[5000 + n]._high
+
+
 def test_nnpu_learns_toxic_words(spark, rng, hostile, nothing):
     clean = [f"{a}{b}" for a in ("ba", "ne", "ti", "ro") for b in ("sul", "mar", "ken", "dor")]
     toxic = ["grumpf", "zlorg", "snarkel"]
