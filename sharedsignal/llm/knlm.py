@@ -12,9 +12,11 @@ continuation counts.  Discounts come from each order's counts of counts.
 tables of each order, from the shortest up, all keyed by the gram; the result is one
 log probability per distinct 4-gram.
 
-*Scores.*  The table goes to the tasks in shards of at most SHARD grams; each shard
-adds its grams' part to every text's log probability, one pass behind the other in
-the same stage.  No text is shuffled.
+*Scores.*  The most frequent grams, at most SHARD, go to every task, which adds up their
+part of each text's log probability in one pass.  Where the table holds more, the other
+grams stay in Spark: (text, gram, count), with a digest for the text, are joined with the
+table by the gram and added up by the text.  None of those grams has more than about
+2 / SHARD of all occurrences, so the join has no hot key.
 
 *Decision.*  Per language, quantiles of the held-out trusted texts' log perplexity; a
 text outside [low, high] is rejected: junk is improbable, endless repetition too probable.
@@ -40,7 +42,7 @@ LOW, HIGH, MARGIN = 0.002, 0.995, 6.0
 HELD_OUT = 5
 #: Held-out texts for a language's own thresholds, and the least distance of a threshold from the median (log perplexity).
 LEAST, WIDTH = 30, 0.1
-#: Grams of a broadcast shard: 12 bytes each.
+#: Most grams that pass through the driver and go to every task: 12 bytes each.
 SHARD = 2_000_000
 #: Trusted ids that may be sent to every task; more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
@@ -72,7 +74,7 @@ def distinct(keys):
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(gram, c): every 4-gram of ``docs`` (text, train) with its count in the rows to train on."""
+    """(gram, c, n): every 4-gram of ``docs`` (text, train) with its count in the rows to train on and in all rows."""
 
     def run(batches):
         for b in batches:
@@ -82,11 +84,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 keys, sizes = grams_of(texts_of(data, off, i, j))
                 mine = np.repeat(train[i:j], sizes)
                 gram, c = distinct(keys[mine])
-                other = distinct(keys[~mine])[0]
+                other, n = distinct(keys[~mine])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([gram, other])),
-                                                  pa.array(np.concatenate([c, np.zeros(len(other), np.int64)]))], names=["gram", "c"])
+                                                  pa.array(np.concatenate([c, np.zeros(len(other), np.int64)])),
+                                                  pa.array(np.concatenate([c, n]))], names=["gram", "c", "n"])
 
-    return docs.mapInArrow(run, "gram bigint, c bigint").groupBy("gram").agg(F.sum("c").alias("c"))
+    return docs.mapInArrow(run, "gram bigint, c bigint, n bigint").groupBy("gram").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
 def suffix(order: int):
@@ -108,12 +111,12 @@ def discounts(table_of: DataFrame) -> tuple[float, float, float]:
 
 
 def log_probabilities(counts: DataFrame) -> DataFrame:
-    """(gram, logp) for every gram of ``counts`` (gram, c), also those with c = 0."""
+    """(gram, n, logp) for every gram of ``counts`` (gram, c, n), also those with c = 0."""
     tables = {ORDER: counts.filter("c > 0")}
     for k in range(ORDER - 1, 0, -1):
         tables[k] = tables[k + 1].groupBy(suffix(k).alias("gram")).agg(F.count("*").alias("c"))
         tables[k] = scratch(tables[k], f"order{k}")
-    asked = {ORDER: counts.select("gram")}
+    asked = {ORDER: counts.select("gram", "n")}
     for k in range(ORDER - 1, 0, -1):
         asked[k] = scratch(asked[k + 1].select(suffix(k).alias("gram")).distinct(), f"asked{k}")
     lower = None
@@ -131,71 +134,96 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
             rows = rows.withColumn("s", suffix(k - 1)).join(lower.select(F.col("gram").alias("s"), F.col("p").alias("below")), "s")
         p = F.when(F.col("total").isNull(), F.col("below")).otherwise(
             (F.coalesce("top", F.lit(0.0)) + F.col("mass") * F.col("below")) / F.col("total"))
-        lower = scratch(rows.select("gram", p.alias("p")), f"p{k}")
-    return lower.select("gram", F.log("p").alias("logp"))
+        lower = scratch(rows.select(*asked[k].columns, p.alias("p")), f"p{k}")
+    return lower.select("gram", "n", F.log("p").alias("logp"))
 
 
-def model_shards(probabilities: DataFrame, shard: int = SHARD) -> list:
-    """Broadcast shards (sorted grams, their log probabilities) of at most about ``shard`` grams."""
-    spark = probabilities.sparkSession
-    n = max(1, -(-probabilities.count() // shard)) | 1
-    out = []
-    for k in range(n):
-        part = probabilities.filter(F.pmod("gram", F.lit(n)) == k) if n > 1 else probabilities
-        t = part.toArrow()
-        gram, logp = t.column("gram").to_numpy(), t.column("logp").to_numpy().astype(np.float32)
-        order = np.argsort(gram)
-        out.append(spark.sparkContext.broadcast((gram[order], logp[order])))
-    return out
-
-
-def score(docs: DataFrame, shards: list, text_col: str = "text") -> DataFrame:
+def model_shards(probabilities: DataFrame, shard: int = SHARD) -> tuple:
+    """(broadcast, rest): the most frequent grams, sorted, with their log probabilities, at most ``shard`` of them,
+    and the rows (gram, logp) of the others, None if there are none.
+    """
+    spark, rest = probabilities.sparkSession, None
+    if probabilities.count() > shard:
+        size = F.floor(F.log2("n")).cast("int")
+        sizes = probabilities.groupBy(size.alias("size")).count().collect()  # at most 64 rows
+        least = max(r["size"] for r in sizes) + 1
+        while sum(r["count"] for r in sizes if r["size"] >= least - 1) <= shard:
+            least -= 1
+        rest = probabilities.filter(size < least).select("gram", "logp")
+        probabilities = probabilities.filter(size >= least)
+    t = probabilities.select("gram", "logp").toArrow()
+    gram, logp = t.column("gram").to_numpy(), t.column("logp").to_numpy().astype(np.float32)
+    order = np.argsort(gram)
+    return spark.sparkContext.broadcast((gram[order], logp[order])), rest
+
+
+def found_in(grams, keys):
+    """Places of sorted ``keys`` in sorted ``grams`` and whether they are there."""
+    at = np.minimum(np.searchsorted(grams, keys), max(0, len(grams) - 1))
+    return at, grams[at] == keys if len(grams) else np.zeros(len(keys), bool)
+
+
+def score(docs: DataFrame, shards: tuple, text_col: str = "text") -> DataFrame:
     """All columns and _units (code units) and _logp (natural log probability of the text).
 
-    Grams that the shards lack, in texts that were not counted, have probability 1 / VOCABULARY.
+    Grams that the model lacks, in texts that were not counted, have probability 1 / VOCABULARY.
     """
     where = docs.columns.index(text_col)
-    schema = T.StructType(docs.schema.fields + [T.StructField("_units", T.LongType()), T.StructField("_logp", T.DoubleType())])
-
-    n, floor = len(shards), -float(np.log(VOCABULARY))
-
-    def adder(shard, number, first):
-        def run(batches):
-            grams, logp = shard.value
-            for b in batches:
-                data, off = utf8_column(b.column(where))
-                units, sums = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-                for i, j in pieces(off):
-                    keys, sizes = grams_of(texts_of(data, off, i, j))
-                    order = np.argsort(keys)
-                    ranked = keys[order]
-                    new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.empty(0, np.int64)
-                    at = np.searchsorted(grams, ranked[new])
-                    here = np.minimum(at, len(grams) - 1) if len(grams) else at
-                    known = grams[here] == ranked[new] if len(grams) else np.zeros(len(new), bool)
-                    value = np.where(ranked[new] % n == number, floor, 0.0)
-                    value[known] = logp[here[known]]
-                    each = np.empty(len(keys))
-                    each[order] = np.repeat(value, np.diff(np.append(new, len(keys))))
-                    units[i:j] = sizes
-                    total = np.concatenate([[0.0], np.cumsum(each)])
-                    upto = np.concatenate([[0], np.cumsum(sizes)])
-                    sums[i:j] = np.diff(total[upto])
-                if first:
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(units), pa.array(sums)], names=schema.names)
-                else:
-                    sums += b.column(len(b.columns) - 1).to_numpy(zero_copy_only=False)
-                    yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sums)], names=schema.names)
-        return run
-
-    out = docs
-    for k, s in enumerate(shards):
-        out = out.mapInArrow(adder(s, k, k == 0), schema)
-    return out
+    schema = T.StructType(docs.schema.fields + [T.StructField("_units", T.LongType()), T.StructField("_logp", T.DoubleType()),
+                                                T.StructField("_cold", T.LongType())])
+    hot, rest = shards
+    floor = -float(np.log(VOCABULARY))
+    other = floor if rest is None else 0.0
+
+    def add(batches):
+        grams, logp = hot.value
+        for b in batches:
+            data, off = utf8_column(b.column(where))
+            units, sums, cold = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
+            for i, j in pieces(off):
+                keys, sizes = grams_of(texts_of(data, off, i, j))
+                order = np.argsort(keys)
+                ranked, times = distinct(keys[order])
+                at, known = found_in(grams, ranked)
+                value = np.full(len(ranked), other)
+                value[known] = logp[at[known]]
+                each, missing = np.empty(len(keys)), np.empty(len(keys), np.int64)
+                each[order], missing[order] = np.repeat(value, times), np.repeat(~known, times)
+                upto = np.concatenate([[0], np.cumsum(sizes)])
+                units[i:j] = sizes
+                sums[i:j] = np.diff(np.concatenate([[0.0], np.cumsum(each)])[upto])
+                cold[i:j] = np.diff(np.concatenate([[0], np.cumsum(missing)])[upto])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(units), pa.array(sums), pa.array(cold)], names=schema.names)
+
+    def left_out(batches):
+        grams = hot.value[0]
+        for b in batches:
+            data, off = utf8_column(b.column(1))
+            for i, j in pieces(off):
+                keys, sizes = grams_of(texts_of(data, off, i, j))
+                order = np.lexsort((np.repeat(np.arange(i, j), sizes), keys))
+                row, keys = np.repeat(np.arange(i, j), sizes)[order], keys[order]
+                cold = ~found_in(grams, keys)[1]
+                row, keys = row[cold], keys[cold]
+                new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])])) if len(keys) else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[new])), pa.array(keys[new]),
+                                                  pa.array(np.diff(np.append(new, len(keys))))], names=["_digest", "gram", "c"])
+
+    out = docs.mapInArrow(add, schema)
+    if rest is None:
+        return out.drop("_cold")
+    # equal texts share a digest: the mean over all their left-out grams is that of each
+    digest = F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    mean = (docs.select(digest.alias("_digest"), F.col(f"`{text_col}`").alias("text"))
+            .mapInArrow(left_out, "_digest string, gram bigint, c bigint").join(rest, "gram", "left")
+            .groupBy("_digest").agg((F.sum(F.col("c") * F.coalesce("logp", F.lit(floor))) / F.sum("c")).alias("_mean")))
+    return (out.withColumn("_digest", digest).join(mean, "_digest", "left")
+            .withColumn("_logp", F.col("_logp") + F.col("_cold") * F.coalesce("_mean", F.lit(0.0)))
+            .select(*[F.col(f"`{c}`") for c in docs.columns], "_units", "_logp"))
 
 
 class QualityModel:
-    """A trained model: shards of log probabilities and thresholds by language."""
+    """A trained model: log probabilities (broadcast and rest) and thresholds by language."""
 
     def __init__(self, shards, thresholds):
         self.shards, self.thresholds = shards, thresholds

@@ -65,6 +65,22 @@ def test_kneser_ney_equals_the_recursion(spark, rng, shard):
         assert r._logp == pytest.approx(slow.logp(r.text), rel=1e-5, abs=1e-4)
 
 
+def test_only_the_most_frequent_grams_pass_through_the_driver(spark, rng, hostile):
+    texts = ["".join(rng.choice(list("abc é日👍."), rng.integers(0, 60))) for _ in range(60)]
+    df = spark.createDataFrame([(t, k < 40) for k, t in enumerate(texts + texts[:20] * 3)], "text string, train boolean")
+    table = Q.scratch(Q.log_probabilities(Q.scratch(Q.gram_counts(df), "grams")), "table")
+    whole, parts = Q.model_shards(table), Q.model_shards(table, 50)
+    assert whole[1] is None and len(whole[0].value[0]) == table.count()
+    sent = set(parts[0].value[0].tolist())
+    times = {r.gram: r.n for r in table.collect()}
+    assert 0 < len(sent) <= 50 and parts[1].count() == len(times) - len(sent)
+    assert min(times[g] for g in sent) > max(n for g, n in times.items() if g not in sent)
+    for rows in (df, hostile):
+        one, two = ([(r._units, r._logp) for r in sorted(Q.score(rows, m).collect(), key=lambda r: str(r[:-1]))] for m in (whole, parts))
+        assert len(one) == rows.count() and [x[0] for x in one] == [x[0] for x in two]
+        assert np.allclose([x[1] for x in one], [x[1] for x in two], rtol=1e-6)
+
+
 def test_probabilities_sum_to_one():
     slow = SlowKneserNey(["abracadabra", "abacus and cadabra", "a banana"])
     for h in [(0, 0, 0), (97, 98, 114), (1, 2, 3)]:
