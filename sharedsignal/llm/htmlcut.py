@@ -8,8 +8,10 @@ container, with capacities that fall with distance.  Blocks and containers, a so
 (content) and a sink (boilerplate) are a flow network, and its minimum cut is the
 cheapest labelling.
 
-Blocks that can't be text of the article (scripts, styles, forms, navigation, comments
-of readers and so on, by element or by a name on the path) are held to the sink.
+Blocks that can't be text of the article (scripts, styles, forms, navigation and so on,
+by element or by role) are held to the sink.  A class or id that names boilerplate is a
+price, lower where the element also has a good name or holds the page's paragraphs and
+no part with a good name does; words such as no-sidebar are no names.
 """
 
 from __future__ import annotations
@@ -42,19 +44,26 @@ BAD_NAMES = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo
                        r"(?:$|[\s_-])", re.I)
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|post|post-?body|entry|entry-?content|content|main|body-?text|story|text|prose)(?:$|[\s_-])", re.I)
 
+#: Parts of a class that say what the page has or lacks.
+HAS = re.compile(r"(?:^|[-_])(?:no|has|have|with|without|hide|show)[-_].*", re.I)
+
 TAG = re.compile(r"<(?:!--(.*?)(?:-->|$)|([/!?]?)([a-zA-Z][^\s/>]*)?((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPACE = re.compile(r"\s+")
 
 #: Prices of the cut, in thousandths.
 NEXT, NEAR, HELD = 500, 900, 1 << 40
+#: Price of a boilerplate name: in general, and on an element that holds the page's paragraphs.
+NAMED, WRAPPER = 9.0, 1.5
+#: Least words of a paragraph, and of an article.
+PARAGRAPH, ARTICLE = 10, 40
 
 
 class Node:
-    __slots__ = ("tag", "parent", "bad", "good", "links", "depth")
+    __slots__ = ("tag", "parent", "bad", "good", "named", "links", "depth")
 
-    def __init__(self, tag, parent, bad, good):
-        self.tag, self.parent, self.bad, self.good = tag, parent, bad, good
+    def __init__(self, tag, parent, bad, good, named=False):
+        self.tag, self.parent, self.bad, self.good, self.named = tag, parent, bad, good, named
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -147,7 +156,7 @@ def blocks_of(page: str) -> list[Block]:
             close_at = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close_at.end() if close_at else end
             continue
-        bad = good = off = False
+        bad = good = off = named = False
         if attributes:
             for a in ATTRIBUTE.finditer(attributes):
                 key, value = a.group(1).lower(), a.group(2) or a.group(3) or a.group(4) or ""
@@ -157,14 +166,18 @@ def blocks_of(page: str) -> list[Block]:
                     bad |= value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "dialog", "alert")
                     good |= value.lower() in ("main", "article")
                 elif key in ("class", "id"):
-                    bad |= bool(BAD_NAMES.search(value))
-                    good |= bool(GOOD_NAMES.search(value))
+                    for word in value.split():
+                        word = HAS.sub("", word)
+                        if BAD_NAMES.search(word):
+                            named = True
+                        else:
+                            good |= bool(GOOD_NAMES.search(word))
                 elif key == "itemprop":
                     good |= value.lower() == "articlebody"
         parent = stack[-1]
         if name in MAIN or name in ("html", "body"):  # their class names describe the page, not the part
-            bad = False
-        stack.append(Node(name, parent, bad or name in BOILER, (good and not bad) or name in MAIN))
+            bad = named = False
+        stack.append(Node(name, parent, bad or name in BOILER, (good and not bad) or name in MAIN, named))
         if name == "a":
             anchor = 1
         if (name in SKIP or off) and not hidden:
@@ -174,15 +187,42 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def prices(block: Block, inside: bool, any_main: bool) -> tuple[int, int]:
+def name_prices(blocks: list[Block], inside: list[bool]) -> dict:
+    """{element with a boilerplate name: price}.
+
+    An element's price falls with its share of the words in paragraphs, unless parts with
+    a good name and no boilerplate name hold an article, and by half with a good name.
+    """
+    under, every, article = {}, 0, 0
+    for b, within in zip(blocks, inside):
+        words, held, names, node = b.text.count(" ") + 1, False, [], b.node
+        while node is not None:
+            held |= node.bad
+            if node.named:
+                names.append(node)
+            node = node.parent
+        plain = 0 if held or words < PARAGRAPH or b.linked > 0.3 * len(b.text) else words
+        every += plain
+        article += plain if within and not names else 0
+        for node in names:
+            under[node] = under.get(node, 0) + plain
+    out = {}
+    for node, words in under.items():
+        share = words / every if words >= ARTICLE > article else 0.0
+        out[node] = min(NAMED / 2 if node.good else NAMED, NAMED * (1 - share) + WRAPPER * share)
+    return out
+
+
+def prices(block: Block, inside: bool, any_main: bool, names: dict) -> tuple[int, int]:
     """(price of calling it boilerplate, price of calling it content), in thousandths."""
     words = block.text.count(" ") + 1
     share = min(1.0, block.linked / max(1, len(block.text)))
-    bad, good, node, heads = False, False, block.node, False
+    bad, good, node, heads, named = False, False, block.node, False, 0.0
     while node is not None:
         heads |= node.tag == "header" and not bad
         bad |= node.bad and node.tag != "header"
         good |= node.good
+        named = max(named, names.get(node, 0.0))
         node = node.parent
     bad |= heads and not good  # a header inside the article heads the article, not the site
     if bad:
@@ -191,7 +231,7 @@ def prices(block: Block, inside: bool, any_main: bool) -> tuple[int, int]:
     score += 2.5 if good else -1.5 if any_main else 0.0
     score += 1.2 if block.leaf in ("p", "h1", "h2", "h3", "blockquote", "pre") else 0.0
     score += 0.5 if block.text[-1] in ".!?:;…。”\"" else 0.0
-    score = max(-6.0, min(6.0, score))
+    score = max(-6.0, min(6.0, score - named))
     return (int(1000 * score), 0) if score > 0 else (0, int(-1000 * score))
 
 
@@ -275,6 +315,7 @@ def label(blocks: list[Block]) -> list[bool]:
 
     inside = [within_main(b.node) for b in blocks]
     any_main = any(inside)
+    names = name_prices(blocks, inside)
     number = {}
     for b in blocks:  # containers that hold blocks, up to the root
         node = b.node
@@ -284,7 +325,7 @@ def label(blocks: list[Block]) -> list[bool]:
     flow = Flow(2 + len(blocks) + len(number))
     held = []
     for k, b in enumerate(blocks):
-        keep, drop = prices(b, inside[k], any_main)
+        keep, drop = prices(b, inside[k], any_main, names)
         held.append(drop == HELD)
         if keep:
             flow.add(0, 2 + k, keep)

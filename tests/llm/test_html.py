@@ -23,6 +23,19 @@ def test_edge_pages():
     assert len(H.main_text("<article>" + "<div>" * 5000 + "<p>deep text in the page here.</p>")) == 27
 
 
+def test_articles_in_wrappers_with_listed_names():
+    long = "This paragraph of the article tells a long story with many words, which goes on for a while and then ends here."
+    body = f"<h1>A title of the story</h1><p>{long}</p><p>{long}</p><p>{long}</p>"
+    want = " ".join(["A title of the story", *[long] * 3])
+    ad = '<div class="ad">Buy this now and save money.</div><div class="sidebar"><p>Other stories of the week, which you may like.</p></div>'
+    for name in ("content-with-sidebar", "entry-content no-sidebar", "post has-social", "post-content legal", "elementor-widget-container"):
+        for attribute in ("class", "id"):
+            assert H.main_text(f'<body><nav>Home</nav>{ad}<div {attribute}="{name}">{body}</div>{ad}<footer>(c)</footer></body>') == want, name
+    thread = f'<section class="comments"><p>{long}</p><p>{long}</p><p>{long}</p><p>{long}</p></section><div class="post-comments"><p>{long}</p></div>'
+    assert H.main_text(f"<body><article>{body}{thread}</article></body>") == want
+    assert H.main_text(f'<body><div class="post-content legal">{body}</div><div role="complementary"><p>{long}</p></div></body>') == want
+
+
 def brute(n, edges):
     best, sides = None, None
     for bits in product((0, 1), repeat=n):
