@@ -5,8 +5,10 @@ All templates (notices and short phrases) go into one suffix automaton.  A file'
 words are streamed through it, which gives its matching statistics: at each word
 the longest match that ends there and occurs in a template.  Phrases are read off
 the states.  Matches of at least LONG words that cannot be extended are chained
-per template, in the order of both, over gaps of at most GAP words; a chain that
-covers at least COVER of its template is a span with the template's label.
+per template, in the order of both, over gaps of at most GAP words.  A template is a
+whole text of one or more paragraphs (lines).  A chain is a span; it has the template's
+label where it covers at least COVER of one of its paragraphs and no other label's
+paragraph matches more of the same words.  Its share is that of the whole template.
 
 Only stretches whose neighbouring words are neighbours in some template are
 streamed: elsewhere every match is shorter than two words.
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import licensetexts as X
 from .common import ascii_word_table, pick, pieces, table, utf8_column
 
 LONG, GAP, COVER = 4, 24, 0.75
@@ -30,26 +33,27 @@ SHARD_BYTES = 4 << 20
 # Phrases and their labels, as the query's contract states them.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-# Opening words of widely published licence notices, and usual short notices.
+# Whole texts and notices of widely published licences, and usual short notices.
 NOTICES = [
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-     "documentation files the software to deal in the software without restriction including without limitation the "
-     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software", "mit"),
+    (X.MIT, "mit"),
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
     ("licensed under the apache license version 2 0", "apache"),
-    ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
-     "the license you may obtain a copy of the license at", "apache"),
-    ("this program is free software you can redistribute it and or modify it under the terms of the gnu general "
-     "public license as published by the free software foundation", "gpl"),
+    (X.APACHE_NOTICE, "apache"),
+    (X.APACHE_BODY, "apache"),
+    (X.GPL_NOTICE, "gpl"),
+    (X.GPL2_BODY, "gpl"),
+    (X.GPL3_BODY, "gpl"),
     ("this work is licensed under the gnu general public license version 3", "gpl"),
     ("under the terms of the gnu lesser general public license", "lgpl"),
-    ("redistribution and use in source and binary forms with or without modification are permitted provided that the "
-     "following conditions are met", "bsd"),
-    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-     "granted provided that the above copyright notice and this permission notice appear in all copies", "isc"),
-    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl"),
-    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    (X.LGPL_NOTICE, "lgpl"),
+    (X.LGPL21_BODY, "lgpl"),
+    (X.LGPL3_BODY, "lgpl"),
+    (X.BSD, "bsd"),
+    (X.ISC, "isc"),
+    (X.MPL_NOTICE, "mpl"),
+    (X.MPL_BODY, "mpl"),
+    (X.UNLICENSE, "unlicense"),
     ("licensed under cc by 4 0", "cc-by"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
@@ -157,6 +161,13 @@ def chains(matches, lengths, gap: int = GAP):
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
+def best_paragraphs(found, labels):
+    """Chains of paragraphs [(paragraph, first, last, matched words)] without those inside the words of a chain
+    of another label that matches more.
+    """
+    return [x for x in found if not any(y[1] <= x[1] and x[2] <= y[2] and y[3] > x[3] and labels[y[0]] != labels[x[0]] for y in found)]
+
+
 REPORT = ("n_words bigint, places array<struct<start:bigint,label:string>>, "
           "spans array<struct<first:bigint,last:bigint,label:string,covered:double>>")
 
@@ -164,8 +175,8 @@ REPORT = ("n_words bigint, places array<struct<start:bigint,label:string>>, "
 def scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, notices=NOTICES, long: int = LONG, gap: int = GAP,
          cover: float = COVER) -> DataFrame:
     """All columns of ``docs`` and ``_report``: n_words, places of phrases (start word, label) and spans
-    of notices (first word, last word exclusive, label, covered share of the notice; spans below
-    ``cover`` are reported with label null).
+    of notices (first word, last word exclusive, label, covered share of the whole notice; spans that
+    cover less than ``cover`` of every paragraph are reported with label null).
 
     One row per input row; null text is empty and has no words.
     """
@@ -178,11 +189,18 @@ def scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, notices=NOTIC
     def run(batches):
         words = ascii_word_table()
         vocabulary = {}
-        sequences = [[vocabulary.setdefault(w, len(vocabulary) + 1) for w in t.encode().translate(words).split()]
-                     for t, _ in [*phrases, *notices]]
-        labels = [x for _, x in [*phrases, *notices]]
-        lengths = [len(s) for s in sequences]
-        automaton = SuffixAutomaton(sequences, range(len(phrases)))
+        split_words = lambda t: [vocabulary.setdefault(w, len(vocabulary) + 1) for w in t.encode().translate(words).split()]
+        sequences, notice, before, labels, lengths = [split_words(t) for t, _ in phrases], [], [], [x for _, x in phrases], []
+        for k, (t, label) in enumerate(notices):  # a sequence per paragraph: its notice and its place there
+            lengths.append(0)
+            for paragraph in filter(None, map(split_words, t.split("\n"))):
+                sequences.append(paragraph)
+                notice.append(k)
+                before.append(lengths[k])
+                labels.append(label)
+                lengths[k] += len(paragraph)
+        n_phrases, of_sequence = len(phrases), [len(x) for x in sequences]
+        automaton = SuffixAutomaton(sequences, range(n_phrases))
         neighbours = np.zeros((len(vocabulary) + 1, len(vocabulary) + 1), bool)
         for s in sequences:
             neighbours[s[:-1], s[1:]] = True
@@ -199,9 +217,13 @@ def scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, notices=NOTIC
                             places.append((a + i + 1 - n, labels[k]))
                     if size >= long and (i + 1 == len(told) or told[i + 1][1] <= size):
                         for k, e in automaton.ends[v].items():
-                            if k >= len(phrases):
+                            if k >= n_phrases:
                                 matches.append((a + i + 1 - size, a + i + 1, k, e - size))
-            spans = [(a, z, labels[k] if share >= cover else None, share) for k, a, z, share in chains(matches, lengths, gap)]
+            told = best_paragraphs([(k, a, z, share * of_sequence[k]) for k, a, z, share in chains(matches, of_sequence, gap)
+                                    if share >= cover], labels) if matches else []
+            whole = [(a, z, notice[k - n_phrases], before[k - n_phrases] + s) for a, z, k, s in matches]
+            spans = [(a, z, notices[k][1] if any(notice[x[0] - n_phrases] == k and a <= x[1] and x[2] <= z for x in told) else None, share)
+                     for k, a, z, share in chains(whole, lengths, gap)]
             return sorted(places), spans
 
         def shard(texts):
@@ -236,7 +258,7 @@ def scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, notices=NOTIC
 def query(spark, sf_dir):
     """op10: base phrases (counts, places, labels), all labels and a score.
 
-    The score is 1 where a phrase stands, else the largest covered share of a notice.
+    The score is 1 where a phrase stands, else the largest covered share of a whole notice.
     """
     found = scan(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text"))
     base = F.array_sort(F.array_distinct("_report.places.label"))

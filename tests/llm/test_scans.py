@@ -109,3 +109,26 @@ def test_license_scan(spark, hostile, nothing):
     assert [(s.label, s.first) for s in got[2].spans if s.label] == [("mit", 1)] and got[2].spans[0].covered == 1.0
     assert [s.label for s in got[4].spans] == ["cc-by-nc"] and not [s for s in got[3].spans if s.label] and 0 < got[3].spans[0].covered < 1
     assert L.scan(hostile).count() == 9 and L.scan(nothing).count() == 0
+
+
+def test_later_paragraphs_of_licences(spark):
+    texts = [("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+              "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+              "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+              "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+             ("bsd", "* Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+              "disclaimer in the documentation and/or other materials provided with the distribution."),
+             ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+              "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+             ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+              "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.")]
+    texts += [(label, t.splitlines()[-1]) for t, label in L.NOTICES if "\n" in t]
+    texts += [(label, t.splitlines()[t.count("\n") // 2]) for t, label in L.NOTICES if t.count("\n") > 5]
+    df = spark.createDataFrame([(k, "Some words. " + t + " And more.") for k, (_, t) in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r._report.spans for r in L.scan(df).collect()}
+    for k, (label, t) in enumerate(texts):
+        assert label in {s.label for s in got[k]} and all(s.covered < 1 for s in got[k]), (k, label, t[:60])
+    assert [{s.label for s in got[k]} - {None} for k in (0, 1)] == [{"mit"}, {"bsd"}]
+    first = L.NOTICES[0][0].split("\n")[0]
+    alone = L.scan(spark.createDataFrame([(1, first)], "doc_id bigint, text string")).first()._report.spans[0]
+    assert alone.label == "mit" and alone.covered == len(first.split()) / len(L.NOTICES[0][0].split())
