@@ -19,7 +19,8 @@ table by the gram and added up by the text.  None of those grams has more than a
 2 / SHARD of all occurrences, so the join has no hot key.
 
 *Decision.*  Per language, quantiles of the held-out trusted texts' log perplexity; a
-text outside [low, high] is rejected: junk is improbable, endless repetition too probable.
+text outside [low, high] is rejected.  Four units see no more than a short word, so a
+word repeated without end has about the perplexity of its grams and often passes.
 The quantiles of n texts are uncertain, so their distance from the median, at least WIDTH,
 is widened by the factor 1 + MARGIN / sqrt(n).  A language with fewer than LEAST held-out
 texts also has at least the widened distances of all languages around its own median, and
