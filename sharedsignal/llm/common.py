@@ -7,6 +7,7 @@ the UTF-8 buffers of Arrow batches, cut into pieces of bounded size.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def ensure_scratch(spark: SparkSession) -> None:
     """Local sessions without a checkpoint folder get one; a cluster must name its own."""
     if spark.conf.get("spark.checkpoint.dir", None):
         return
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="text-scratch-"))
 

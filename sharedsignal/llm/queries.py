@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import costpack, fmindex, htmlcut, knlm, licenses, nnpu, simhash, spotsigs, suffixdedup, tokencounts
+from . import costpack, covertree, filteraudit, fmindex, htmlcut, knlm, licenses, nnpu, simhash, spotsigs, suffixdedup, tokencounts, warc
 from .common import ensure_scratch
 
 
@@ -29,6 +29,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity_nnpu": nnpu.query,
         "op9_suffix_array_dedup": suffixdedup.query,
         "op10_license_scan": licenses.query,
+        "op11_warc_segments": warc.query,
+        "op12_cover_tree_negatives": covertree.query,
+        "op13_filter_audit": filteraudit.query,
     }
     import corpus_pipeline
 
@@ -37,4 +40,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": fmindex.SQL}
+    return {"op7_benchmark_decontamination": fmindex.SQL, "op11_warc_segments": warc.SQL, "op12_cover_tree_negatives": covertree.SQL,
+            "op13_filter_audit": filteraudit.SQL}
