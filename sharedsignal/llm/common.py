@@ -103,3 +103,17 @@ def sent(keys: DataFrame) -> DataFrame:
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under fixed names, so that extra columns cannot clash."""
     return df.select(*[F.col(f"`{c}`").alias(a) for a, c in columns.items()])
+
+
+def unused(df: DataFrame, *bases: str) -> list[str]:
+    """Column names that ``df`` does not have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for base in bases:
+        name, k = f"_{base}", 0
+        while name.lower() in taken:
+            k += 1
+            name = f"_{base}_{k}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -147,7 +147,7 @@ def passages(rng):
     return rows + [(100, "a" * 300), (101, None), (102, ""), (5, rows[5][1]), (None, rows[7][1]), (None, "q" * 20)]
 
 
-@pytest.mark.parametrize("span, gram, most, segment", [(40, 10, 50_000, 1 << 20), (40, 10, 2, 1 << 20), (30, 8, 50_000, 100)])
+@pytest.mark.parametrize("span, gram, most, segment", [(40, 10, 50_000, 1 << 20), (40, 10, 2, 1 << 20), (30, 8, 50_000, 100), (45, 12, 3, 1 << 20)])
 def test_repeated_bytes_equal_brute_force(spark, rng, monkeypatch, span, gram, most, segment):
     monkeypatch.setattr(D, "SEGMENT", segment)
     rows = passages(rng)
@@ -160,6 +160,62 @@ def test_repeated_bytes_equal_brute_force(spark, rng, monkeypatch, span, gram, m
     assert sorted(map(tuple, got), key=str) == slow_repeated(rows, span)
 
 
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def without_repeated_words(rows, span):
+    """Texts' words left, by counting all windows of ``span`` words."""
+    texts = [words(t or "") for _, t in rows]
+    seen = collections.Counter(tuple(w[p:p + span]) for w in texts for p in range(len(w) - span + 1))
+    out = []
+    for w in texts:
+        gone = np.zeros(len(w), bool)
+        for p in range(len(w) - span + 1):
+            if seen[tuple(w[p:p + span])] > 1:
+                gone[p:p + span] = True
+        out.append([x for x, g in zip(w, gone) if not g])
+    return out
+
+
+@pytest.mark.parametrize("span, gram, most, segment", [(12, 3, 256, 1 << 20), (12, 3, 2, 1 << 20), (50, 10, 256, 300), (7, 2, 1, 1 << 20)])
+def test_repeated_words_equal_brute_force(spark, rng, monkeypatch, span, gram, most, segment):
+    monkeypatch.setattr(D, "SEGMENT", segment)
+    text = lambda n: " ".join(rng.choice(["the", "of", "zé", "\u3000", "x", "ab\u00a0c"], n))
+    base = [text(120) for _ in range(3)]
+    rows = []
+    for i in range(60):
+        w = words(base[i % 3])
+        x = rng.integers(0, 80)
+        rows.append((i, text(rng.integers(0, 30)) + "\n\t " + "  ".join(w[x:x + rng.integers(3, 90)]) + " " + text(rng.integers(0, 30)) + " "))
+    rows += [(70, None), (71, ""), (72, " \n "), (73, "a " * 200), (74, rows[3][1]), (None, rows[5][1]), (75, rows[8][1].replace(" ", "\r\n"))]
+    docs = spark.createDataFrame([(i, t, 1, "k", "c") for i, t in rows], "doc_id bigint, text string, h bigint, _key string, _Clean string")
+    out = D.remove_repeated_words(docs, span=span, gram=gram, most=most)
+    assert out.columns == docs.columns
+    got = sorted(([str(r.doc_id), words(r.text or "")] for r in out.collect()))
+    assert got == sorted([str(i), w] for (i, _), w in zip(rows, without_repeated_words(rows, span)))
+    assert {(r.h, r._key, r._Clean) for r in out.collect()} == {(1, "k", "c")}
+
+
+def test_a_hot_anchor_is_sorted_in_small_groups(spark, rng, monkeypatch):
+    """One passage in thousands of different surroundings: no key gathers more than ``most`` contexts."""
+    phrase, letters = "".join(rng.choice(list("abcdefgh"), 34)), list("abcdefghijklmnopqrstuvwxyz")
+    rows = [(i, "".join(rng.choice(letters, 40)) + phrase + "".join(rng.choice(letters, 40))) for i in range(3000)]
+    rows += [(5000 + i, "#" + rows[i][1][20:90] + "#") for i in range(20)]
+    sizes = []
+    judge = D.judge
+
+    def watched(contexts, span, unit="byte"):
+        sizes.append(max([r["count"] for r in contexts.groupBy("g").count().collect()], default=0))
+        return judge(contexts, span, unit)
+
+    monkeypatch.setattr(D, "judge", watched)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.id: r.n_removed for r in D.repeated(docs, span=40, gram=30, most=50).collect()}
+    assert found == {r[0]: r[2] for r in slow_repeated(rows, 40) if r[2]}
+    assert len(sizes) > 1 and max(sizes) <= 50
+
+
 def test_merge_sort_is_the_suffix_order(rng):
     data = rng.integers(97, 99, 300).astype(np.uint8)
     raw, x = data.tobytes(), np.arange(0, 300, 2)
