@@ -31,8 +31,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of strings of 400 bytes that also start elsewhere."""
-    return suffixdedup.remove_repeated(docs)
+    """Documents without the passages of 50 words or more that also stand elsewhere."""
+    return suffixdedup.remove_repeated_words(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
