@@ -2,17 +2,27 @@
 
 Identity joins are null-safe (the legacy job filled NULL with the text
 'None' to make '==' match; that is the same relation).
+
+Overlap counts depend on the two lead variants alone, so they are made once per distinct
+*pair of lead variants*: each lead keeps its tags once, as a sorted array of dense tag
+ids with a code 0-14, the number of thresholds that R2 reaches.  A pair's arrays are
+merged, one histogram of min(left code, right code) is taken, and its suffix sums are the
+counts of all thresholds.  Loci get the numbers by joins on 64-bit ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dictionary import dictionary, encode
 from ..functions.stats import NEG_LOG10_MIN_DOUBLE
 from ..schemas import RESULT_ID_COLS
+from ..sources.io import materialize
 
 # --- Fixed values: LD thresholds of the overlap-proportion features ----------
 R2_THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 0.975, 1.0)
@@ -25,6 +35,7 @@ FEATURE_COLS = (["total_overlap"] + [f"prop_overlap_{t}" for t in R2_THRESHOLDS]
                 + ["left_num_tags", "right_num_tags", "left_prop_total_overlap",
                    "right_prop_total_overlap", "abs_distance", "left_log_pval", "right_log_pval",
                    "left_is_gwas", "right_is_gwas"])
+FEATURE_COLS_ESCAPED = [f"`{c}`" for c in FEATURE_COLS]
 
 
 def join_null_safe(df: DataFrame, other: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
@@ -56,14 +67,84 @@ def locus_ld_tags(coloc: DataFrame, ld: DataFrame, side: str) -> DataFrame:
 def ld_tag_intersection(left: DataFrame, right: DataFrame, pairs: DataFrame | None) -> DataFrame:
     """LD tags that the left and right locus of a pair share.
 
-    ``pairs`` (16 ids) are joined to the left tags and then to the right tags on the
-    right locus and the tag, so rows grow with the pairs.  ``None`` is the legacy
+    ``pairs`` (16 ids) meet the left tags and then the right tags on dense ids of loci and
+    tags, so rows grow with the pairs and are narrow until the end.  ``None`` is the legacy
     join of all loci on the tag, whose rows grow with the square of a region's loci.
     """
     if pairs is None:
         return left.join(right, TAG_COLS)
-    x = join_null_safe(pairs.select(*ID16).distinct(), left, [f"left_{c}" for c in RESULT_ID_COLS])
-    return join_null_safe(x, right, [f"right_{c}" for c in RESULT_ID_COLS] + TAG_COLS)
+    tags = dictionary(left.select(*TAG_COLS).union(right.select(*TAG_COLS)).na.drop("any"), TAG_COLS, "__tag")
+    narrow, loci = {}, {}
+    for side, table in (("left", left), ("right", right)):
+        ids = [f"{side}_{c}" for c in RESULT_ID_COLS]
+        loci[side] = dictionary(table, ids, f"__{side}")
+        x = encode(encode(table, loci[side], dict(zip(ids, ids)), f"__{side}"), tags, dict(zip(TAG_COLS, TAG_COLS)), "__tag")
+        narrow[side] = x.select(f"__{side}", "__tag", f"{side}_R2_EUR")
+        pairs = encode(pairs.select(*ID16).distinct() if side == "left" else pairs, loci[side], dict(zip(ids, ids)), f"__{side}")
+    shared = (pairs.select("__left", "__right").join(narrow["left"], "__left").join(narrow["right"], ["__right", "__tag"]))
+    return (shared.join(loci["left"], "__left").join(loci["right"], "__right").join(tags, "__tag")
+            .drop("__left", "__right", "__tag"))
+
+
+def threshold_code(r2: Column) -> Column:
+    """How many of the ascending thresholds R2 reaches (0-14); -1 for NULL."""
+    return F.when(r2.isNull(), -1).otherwise(sum((F.when(r2 >= t, 1).otherwise(0) for t in R2_THRESHOLDS), F.lit(0)))
+
+
+def lead_tags(ld: DataFrame, leads: DataFrame) -> DataFrame:
+    """Per lead variant (``leads``: chrom, pos, ref, alt, lead) its tags once: sorted dense ids, codes and their number."""
+    key = ["chrom", "pos", "ref", "alt"]
+    x = encode(ld, leads, {f"lead_{c}": c for c in key}, "lead")
+    ids = dictionary(x.na.drop("any", subset=TAG_COLS), TAG_COLS, "tag")
+    x = encode(x, ids, {c: c for c in TAG_COLS}, "tag", how="left")
+    known = F.col("tag").isNotNull()
+    return (x.select("lead", "tag", F.col("tag_chrom").isNotNull().cast("int").alias("counts"), threshold_code(F.col("R2_EUR")).alias("code"))
+             .groupBy("lead").agg(F.sum("counts").alias("num_tags"),
+                                  F.sort_array(F.collect_list(F.when(known, F.struct("tag", "code")))).alias("x"))
+             .select("lead", "num_tags", F.transform("x", lambda e: e["tag"]).alias("tags"), F.transform("x", lambda e: e["code"]).alias("codes")))
+
+
+def _merged(left_tags, left_codes, right_tags, right_codes):
+    """(total, [counts per threshold], left counts, rows) per pair from list columns of sorted ids and codes."""
+    n = len(left_tags)
+    sizes = [np.asarray(x.value_lengths()) for x in (left_tags, right_tags)]
+    owner = [np.repeat(np.arange(n), k) for k in sizes]
+    codes = [np.asarray(x.flatten()) for x in (left_codes, right_codes)]
+    tags = np.concatenate([np.asarray(x.flatten()) for x in (left_tags, right_tags)])
+    unique, rank = np.unique(tags, return_inverse=True)
+    key = [o * len(unique) + r for o, r in zip(owner, np.split(rank, [len(owner[0])]))]  # both ascending
+    lo, hi = np.searchsorted(key[0], key[1], "left"), np.searchsorted(key[0], key[1], "right")
+    times = hi - lo  # over one only where a table repeats a lead's tag
+    r = np.repeat(np.arange(len(times)), times)
+    at = np.arange(len(r)) - np.repeat(np.cumsum(times) - times, times) + lo[r]
+    a, z, pair = codes[0][at], codes[1][r], owner[1][r]
+    levels = len(R2_THRESHOLDS) + 2
+    histogram = np.bincount(pair * levels + np.minimum(a, z) + 1, minlength=n * levels).reshape(n, levels)
+    reached = np.cumsum(histogram[:, :0:-1], 1)[:, ::-1]  # [pair, code]: shared tags with at least that code on both sides
+    return reached, np.bincount(pair[a >= 0], minlength=n), np.bincount(pair, minlength=n)
+
+
+def pair_overlaps(pairs: DataFrame, tags: DataFrame, rows_at_once: int = 1000) -> DataFrame:
+    """(left_lead, right_lead, total_overlap, prop_overlap_*) of distinct pairs of leads that share a tag."""
+    sided = {s: tags.select(F.col("lead").alias(f"{s}_lead"), F.col("tags").alias(f"{s}_tags"), F.col("codes").alias(f"{s}_codes")) for s in SIDES}
+    x = pairs.select("left_lead", "right_lead").distinct().join(sided["left"], "left_lead").join(sided["right"], "right_lead")
+    props = [f"prop_overlap_{t}" for t in R2_THRESHOLDS]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows_at_once):
+                b = batch.slice(at, rows_at_once)
+                reached, base, rows = _merged(*(b.column(k) for k in range(2, 6)))
+                keep = np.flatnonzero(rows)
+                share = np.divide(reached, base[:, None], out=np.zeros(reached.shape), where=base[:, None] > 0)[keep]
+                empty = base[keep] == 0
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(keep)), b.column(1).take(pa.array(keep)), pa.array(reached[keep, 0].astype(np.int64))]
+                    + [pa.array(share[:, k + 1], mask=empty) for k in range(len(props))], names=["left_lead", "right_lead", "total_overlap", *props])
+
+    ordered = x.select("left_lead", "right_lead", "left_tags", "left_codes", "right_tags", "right_codes")
+    return ordered.mapInArrow(run, "left_lead bigint, right_lead bigint, total_overlap bigint, "
+                              + ", ".join(f"`{c}` double" for c in props))
 
 
 def ld_overlap_features(intersection: DataFrame) -> DataFrame:
@@ -108,21 +189,102 @@ def pair_scalar_features(df: DataFrame) -> DataFrame:
         "right_is_gwas": F.when(F.col("right_type") == "gwas", 1).otherwise(0)})
 
 
+def _locus_table(c: DataFrame, leads: DataFrame, tags: DataFrame, toploci: DataFrame, side: str) -> DataFrame:
+    """Loci of one side: 8 ids, lead id, number of tags (type not in the key) and the -log10 p of their top-locus rows."""
+    ids = [f"{side}_{x}" for x in RESULT_ID_COLS]
+    seven = [x for x in ids if not x.endswith("_type")]
+    loci = encode(c.select(*ids).distinct(), leads, {f"{side}_{x}": x for x in ("chrom", "pos", "ref", "alt")}, "lead", f"{side}_lead")
+    types = loci.groupBy(*seven).agg(F.count(F.lit(1)).alias("__types"))
+    pv = lead_log_pvals(toploci)
+    pv = pv.select(*[F.col(a).alias(b) for a, b in zip(("study_id", "phenotype_id", "bio_feature", "chrom", "pos", "ref", "alt"),
+                                                       (f"{side}_{x}" for x in RESULT_ID_COLS if x != "type"))],
+                   F.col("log_pval")).groupBy(*seven).agg(F.collect_list("log_pval").alias(f"{side}_log_pvals"))
+    numbers = tags.select(F.col("lead").alias(f"{side}_lead"), "num_tags")
+    return (join_null_safe(join_null_safe(loci, types, seven), pv, seven).join(numbers, f"{side}_lead")
+            .withColumn(f"{side}_num_tags", F.col("num_tags") * F.col("__types")).drop("num_tags", "__types"))
+
+
+def _tagged_loci(ld: DataFrame, c: DataFrame, toploci: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Tags of the lead variants of ``c``, written, and the loci of both sides."""
+    key = ["chrom", "pos", "ref", "alt"]
+    both = c.select(*[F.col(f"left_{x}").alias(x) for x in key]).union(c.select(*[F.col(f"right_{x}").alias(x) for x in key]))
+    leads = dictionary(both.na.drop("any"), key, "lead")
+    tags = materialize(lead_tags(ld, leads), "lead-tags")
+    return tags, {s: _locus_table(c, leads, tags, toploci, s) for s in SIDES}
+
+
+def pair_features(c: DataFrame, ld: DataFrame, toploci: DataFrame) -> DataFrame:
+    """All features of the distinct tested pairs of ``c`` whose leads share a tag and have top-locus rows."""
+    tags, loci = _tagged_loci(ld, c, toploci)
+    x = c.select(*ID16).distinct()
+    for s in SIDES:
+        x = join_null_safe(x, loci[s], [f"{s}_{k}" for k in RESULT_ID_COLS])
+    x = materialize(x, "feature-pairs")
+    x = x.join(pair_overlaps(x, tags), ["left_lead", "right_lead"]).drop("left_lead", "right_lead")
+    x = x.withColumn("left_log_pval", F.explode("left_log_pvals")).withColumn("right_log_pval", F.explode("right_log_pvals"))
+    x = x.withColumns({f"{s}_prop_total_overlap": F.col("total_overlap") / F.col(f"{s}_num_tags") for s in SIDES})
+    return pair_scalar_features(x.drop("left_log_pvals", "right_log_pvals"))
+
+
+def locus_pair_overlaps(c: DataFrame, ld: DataFrame) -> DataFrame:
+    """A7 of the distinct tested pairs: 16 ids, total overlap and the 14 thresholded proportions."""
+    key = ["chrom", "pos", "ref", "alt"]
+    both = c.select(*[F.col(f"left_{x}").alias(x) for x in key]).union(c.select(*[F.col(f"right_{x}").alias(x) for x in key]))
+    leads = dictionary(both.na.drop("any"), key, "lead")
+    x = c.select(*ID16).distinct()
+    for s in SIDES:
+        x = encode(x, leads, {f"{s}_{k}": k for k in key}, "lead", f"{s}_lead")
+    x = materialize(x, "feature-pairs")
+    overlaps = pair_overlaps(x, materialize(lead_tags(ld, leads), "lead-tags"))
+    return x.join(overlaps, ["left_lead", "right_lead"]).drop("left_lead", "right_lead")
+
+
 def build_features(ld: DataFrame, coloc: DataFrame, toploci: DataFrame,
                    min_vars_exclusive: int = MIN_VARS_EXCLUSIVE, all_pairs: bool = False) -> DataFrame:
-    """M9: features x coloc outcomes, full outer on the 16 ids (J16): of the tested pairs, or of all loci."""
+    """M9: features x coloc outcomes, full outer on the 16 ids (J16): of the tested pairs, or of all loci.
+
+    Features of tested pairs have a row of ``coloc`` each, so there the full join is a left one.
+    """
     c = coloc_for_features(coloc, min_vars_exclusive)
+    keep = c.select(*[x for x in c.columns if x not in ("coloc_h0", "coloc_h1", "coloc_h2", "coloc_h4_h3", "coloc_n_vars", "is_flipped",
+                                                        "left_sumstat", "right_sumstat")])
+    if not all_pairs:
+        out = join_null_safe(keep, pair_features(c, ld, toploci), ID16, "left")
+        return out.select(*ID16, *FEATURE_COLS_ESCAPED, *[x for x in keep.columns if x not in ID16])
     left, right = locus_ld_tags(c, ld, "left"), locus_ld_tags(c, ld, "right")
-    inter = ld_tag_intersection(left, right, None if all_pairs else c.select(*ID16))
-    f = ld_overlap_features(inter)
+    f = ld_overlap_features(ld_tag_intersection(left, right, None))
     for s, t in (("left", left), ("right", right)):
         f = join_null_safe(f, ld_num_tags(t, s), [f"{s}_{x}" for x in RESULT_ID_COLS if x != "type"])
     f = f.withColumns({"left_prop_total_overlap": F.col("total_overlap") / F.col("left_num_tags"),
                        "right_prop_total_overlap": F.col("total_overlap") / F.col("right_num_tags")})
     f = pair_scalar_features(attach_lead_pvals(f, toploci))
-    keep = [x for x in c.columns if x not in ("coloc_h0", "coloc_h1", "coloc_h2", "coloc_h4_h3",
-                                                "coloc_n_vars", "is_flipped", "left_sumstat", "right_sumstat")]
-    return join_null_safe(f, c.select(*keep), ID16, "full")
+    return join_null_safe(f, keep, ID16, "full")
+
+
+def match_counts(ld: DataFrame, coloc: DataFrame, toploci: DataFrame, min_vars_exclusive: int = MIN_VARS_EXCLUSIVE) -> DataFrame:
+    """A10 over all loci that share an LD tag: LD only / coloc only / both, without building their pairs.
+
+    Loci are counted per lead variant first; distinct lead variants meet on their tags, and a
+    pair of leads stands for the product of its sides' loci.  Only tested pairs are built.
+    """
+    c = coloc_for_features(coloc, min_vars_exclusive)
+    tags, loci = _tagged_loci(ld, c, toploci)
+    weight = {s: loci[s].groupBy(f"{s}_lead").agg(F.sum(F.size(f"{s}_log_pvals")).alias(f"{s}_rows")) for s in SIDES}
+    known = tags.select("lead", F.explode(F.array_distinct(F.array_compact("tags"))).alias("tag"))
+    met = (known.join(weight["left"].select(F.col("left_lead").alias("lead")), "lead", "left_semi").withColumnRenamed("lead", "left_lead")
+           .join(known.join(weight["right"].select(F.col("right_lead").alias("lead")), "lead", "left_semi").withColumnRenamed("lead", "right_lead"), "tag")
+           .select("left_lead", "right_lead").distinct())
+    everything = (met.join(weight["left"], "left_lead").join(weight["right"], "right_lead")
+                  .agg(F.coalesce(F.sum(F.col("left_rows") * F.col("right_rows")), F.lit(0)).alias("pairs")))
+    features = materialize(pair_features(c, ld, toploci).select(*ID16, "total_overlap"), "tested-features")
+    outcome = c.select(*ID16, "coloc_log2_h4_h3")
+    joined = join_null_safe(outcome, features, ID16, "left")
+    ld_there, co = F.col("total_overlap").isNotNull(), F.col("coloc_log2_h4_h3").isNotNull()
+    counts = joined.agg(F.count_if(ld_there & ~co).alias("tested_ld_only"), F.count_if(~ld_there & co).alias("coloc_only"),
+                        F.count_if(ld_there & co).alias("both"))
+    tested = features.agg(F.count(F.lit(1)).alias("tested"))
+    one = counts.crossJoin(tested).crossJoin(everything)  # three one-row tables
+    return one.select((F.col("pairs") - F.col("tested") + F.col("tested_ld_only")).alias("ld_only"), "coloc_only", "both")
 
 
 def feature_match_counts(features: DataFrame) -> DataFrame:

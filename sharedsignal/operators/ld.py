@@ -6,21 +6,31 @@ moments and one cross moment:
 
   r = (N Sxy - Sx Sy) / sqrt((N Sxx - Sx^2)(N Syy - Sy^2))
 
-Pairs come from a variant-level range join (so pairs without a common carrier
-are kept with Sxy = 0); Sxy from a sample-level range join keyed by
-(sample, chrom, bin), so neither one sample nor one chromosome is one task.
+Cross moments are blocked products of bit planes: a variant's carriers of dosage 1
+and of dosage 2 are bits in 64-sample lanes, and only lanes with a carrier are
+stored.  Leads of a bin of the
+chromosome meet the variants of the neighbouring bins, one block of lanes at a time,
+and Sxy = sum of dosage products is four AND-and-count passes over the planes.  Pairs
+without a common carrier are kept with Sxy = 0.  No shuffle is keyed by the sample and no row is made per sample and pair.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import parse_variant_id, variant_id
-from .sumstats import window_join
+from ..sources.io import materialize
+from .dictionary import dictionary, encode
 
 LD_WINDOW_KB = 500
 MIN_R2 = 0.05
+#: Lanes of 64 samples that one block of the products covers (65,536 samples).
+BLOCK_LANES = 1024
+#: Words of two planes that are multiplied at once.
+_WORDS_AT_ONCE = 1 << 22
 VCOLS = ["chrom", "pos", "ref", "alt"]
 
 
@@ -33,42 +43,114 @@ def distinct_lead_variants(results: DataFrame, sides=("left", "right")) -> DataF
     return out.distinct()
 
 
-def variant_moments(genotypes: DataFrame) -> DataFrame:
-    """Per variant: Sx = sum(dosage), Sxx = sum(dosage^2) over carriers."""
-    return genotypes.groupBy(*VCOLS).agg(
-        F.sum("dosage").cast("double").alias("sx"),
-        F.sum(F.col("dosage") * F.col("dosage")).cast("double").alias("sxx"))
+def variant_planes(genotypes: DataFrame, block_lanes: int = BLOCK_LANES) -> DataFrame:
+    """(chrom, pos, ref, alt, block, sx, sxx, lanes: array of (lane, ones, twos)): bits of carriers with dosage 1 and 2.
+
+    ``genotypes`` has one row per (sample, variant).  A whole-number sample id is its
+    place in the planes; others are numbered by a dictionary.  Carriers are merged into
+    lanes in every task before the shuffle.  sx and sxx are sums over the block's carriers.
+    """
+    if dict(genotypes.dtypes)["sample_id"] in ("tinyint", "smallint", "int", "bigint"):
+        x = genotypes.withColumn("__s", F.col("sample_id").cast("bigint"))
+    else:
+        x = encode(genotypes, dictionary(genotypes, ["sample_id"], "__s"), {"sample_id": "sample_id"}, "__s")
+    bit = F.expr("shiftleft(1L, cast(__s & 63 as int))")
+    none = F.lit(0).cast("bigint")
+    lanes = (x.groupBy(*VCOLS, F.shiftright("__s", 6).alias("lane"))
+              .agg(F.coalesce(F.bit_or(F.when(F.col("dosage") == 1, bit)), none).alias("ones"),
+                   F.coalesce(F.bit_or(F.when(F.col("dosage") == 2, bit)), none).alias("twos")))
+    one, two = F.bit_count("ones").cast("double"), F.bit_count("twos").cast("double")
+    return (lanes.groupBy(*VCOLS, F.floor(F.col("lane") / block_lanes).alias("block"))
+                 .agg(F.sum(one + 2 * two).alias("sx"), F.sum(one + 4 * two).alias("sxx"),
+                      F.collect_list(F.struct(F.pmod("lane", F.lit(block_lanes)).cast("int").alias("lane"), "ones", "twos")).alias("lanes")))
+
+
+def _planes(table: pa.Table, lanes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Dense planes (variants x lanes) of the lanes that occur, or of the given ascending ones."""
+    column = table.column("lanes").combine_chunks()
+    row = np.repeat(np.arange(len(column)), np.asarray(column.value_lengths()))
+    flat = column.flatten()
+    lane = np.asarray(flat.field("lane"))
+    lanes = np.unique(lane) if lanes is None else lanes
+    at = np.searchsorted(lanes, lane)
+    inside = np.flatnonzero(lanes[np.minimum(at, len(lanes) - 1)] == lane)
+    out = np.zeros((2, len(column), len(lanes)), np.uint64)
+    for k, plane in enumerate(("ones", "twos")):
+        out[k, row[inside], at[inside]] = np.asarray(flat.field(plane))[inside].view(np.uint64)
+    return lanes, out[0], out[1]
+
+
+def cross_moments(planes: DataFrame, leads: DataFrame, window: int) -> DataFrame:
+    """(lead, tag, sxy) of every lead and every variant within +-``window``; ids of variants.
+
+    ``planes``: (variant, chrom, pos, block, lanes), written.  Bins are as wide as the
+    window, so a lead's partners lie in three bins: tags are sent to their own bin and both
+    neighbours.  A group is the variants of three bins in one block of lanes, whatever the
+    number of samples.  Every variant takes part once in block -1, without lanes, which
+    gives the pairs that share no carrier.
+    """
+    all_blocks = planes.select("variant", "chrom", "pos", "block", "lanes")
+    every = (planes.groupBy("variant", "chrom", "pos").agg(F.count(F.lit(1)).alias("n"))
+             .select("variant", "chrom", "pos", F.lit(-1).cast("bigint").alias("block"), F.array().cast(planes.schema["lanes"].dataType).alias("lanes")))
+    low, high = planes.agg(F.min("block"), F.max("block")).first()
+    if low != high:
+        all_blocks = all_blocks.withColumn("block", F.col("block") - F.lit(low)).union(every)
+    binned = all_blocks.withColumn("bin", F.floor(F.col("pos") / window))
+    lead = binned.join(leads.select("variant").distinct(), "variant", "left_semi")
+    tag = binned.withColumn("bin", F.explode(F.array(*[F.col("bin") + k for k in (-1, 0, 1)])))
+    tag = tag.toDF(*tag.columns)  # both sides read one table; new column ids keep them apart
+    keys = ["chrom", "bin", "block"]
+    several = low != high
+
+    def block(a: pa.Table, b: pa.Table) -> pa.Table:
+        out = []
+        if a.num_rows and b.num_rows:
+            complete = not several or b.column("block")[0].as_py() < 0  # this block gives every pair
+            lanes, a1, a2 = _planes(a)
+            _, b1, b2 = _planes(b, lanes)
+            apos, bpos = (np.asarray(t.column("pos")) for t in (a, b))
+            aid, bid = (np.asarray(t.column("variant")) for t in (a, b))
+            order = np.argsort(bpos, kind="stable")
+            bpos, bid, b1, b2 = bpos[order], bid[order], b1[order], b2[order]
+            step = max(1, _WORDS_AT_ONCE // max(1, len(lanes)))
+            for k in range(len(aid)):
+                lo, hi = np.searchsorted(bpos, [apos[k] - window, apos[k] + window + 1])
+                own = np.flatnonzero(a1[k] | a2[k])  # lanes in which the lead has a carrier
+                x1, x2 = a1[k, own], a2[k, own]
+                for at in range(lo, hi, step):
+                    y1, y2 = b1[at:min(hi, at + step)][:, own], b2[at:min(hi, at + step)][:, own]
+                    count = lambda m: np.bitwise_count(m).sum(1, dtype=np.int64)
+                    sxy = count(x1 & y1) + 2 * (count(x1 & y2) + count(x2 & y1)) + 4 * count(x2 & y2)
+                    hit = np.arange(len(sxy)) if complete else np.flatnonzero(sxy)
+                    out.append((np.full(len(hit), aid[k]), bid[at + hit], sxy[hit]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 3
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["lead", "tag", "sxy"])
+
+    found = lead.groupBy(*keys).cogroup(tag.groupBy(*keys)).applyInArrow(block, "lead bigint, tag bigint, sxy bigint")
+    return found.groupBy("lead", "tag").agg(F.sum("sxy").alias("sxy")) if several else found
 
 
 def ld_pairs(genotypes: DataFrame, leads: DataFrame, n_samples: int,
-             window_kb: int = LD_WINDOW_KB) -> DataFrame:
+             window_kb: int = LD_WINDOW_KB, block_lanes: int = BLOCK_LANES) -> DataFrame:
     """R and r^2 between every genotyped lead and every variant within
     +-window_kb (the lead itself included).  Leads absent from the genotypes
     give no rows (PLINK: no valid --ld-snp)."""
-    w = 1000 * window_kb
-    mom = variant_moments(genotypes)
-    lead_m = (leads.select(*[f"lead_{c}" for c in VCOLS]).distinct()
-              .join(mom.select(*[F.col(c).alias(f"lead_{c}") for c in VCOLS],
-                               F.col("sx").alias("lsx"), F.col("sxx").alias("lsxx")),
-                    [f"lead_{c}" for c in VCOLS]))
-    tag_m = mom.select(*[F.col(c).alias(f"tag_{c}") for c in VCOLS],
-                       F.col("sx").alias("tsx"), F.col("sxx").alias("tsxx"))
-    pairs = window_join(lead_m, tag_m, [], "lead_chrom", "lead_pos", "tag_chrom", "tag_pos", w)
-    # cross moments from carriers of both variants
-    g_lead = (genotypes.join(lead_m.select(*[F.col(f"lead_{c}").alias(c) for c in VCOLS]), VCOLS, "left_semi")
-              .select("sample_id", *[F.col(c).alias(f"lead_{c}") for c in VCOLS], F.col("dosage").alias("xd")))
-    g_tag = genotypes.select("sample_id", *[F.col(c).alias(f"tag_{c}") for c in VCOLS],
-                             F.col("dosage").alias("yd"))
-    cross = (window_join(g_lead, g_tag, ["sample_id"], "lead_chrom", "lead_pos", "tag_chrom", "tag_pos", w)
-             .groupBy(*[f"lead_{c}" for c in VCOLS], *[f"tag_{c}" for c in VCOLS])
-             .agg(F.sum(F.col("xd") * F.col("yd")).cast("double").alias("sxy")))
-    keys = [f"lead_{c}" for c in VCOLS] + [f"tag_{c}" for c in VCOLS]
-    j = pairs.join(cross, keys, "left").withColumn("sxy", F.coalesce("sxy", F.lit(0.0)))
-    n = F.lit(float(n_samples))
-    j = j.withColumn("__num", n * F.col("sxy") - F.col("lsx") * F.col("tsx"))
+    planes = materialize(variant_planes(genotypes, block_lanes), "planes")
+    variants = dictionary(planes, VCOLS, "variant")
+    planes = materialize(encode(planes, variants, {c: c for c in VCOLS}, "variant"), "planes")
+    mom = materialize(planes.groupBy("variant", *VCOLS).agg(F.sum("sx").alias("sx"), F.sum("sxx").alias("sxx")), "moments")
+    asked = encode(leads, mom, {f"lead_{c}": c for c in VCOLS}, "variant")
+    cross = cross_moments(planes, asked, 1000 * window_kb)
+    j = cross
+    for s, k in (("lead", "l"), ("tag", "t")):
+        j = j.join(mom.select(F.col("variant").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in VCOLS],
+                              F.col("sx").alias(f"{k}sx"), F.col("sxx").alias(f"{k}sxx")), s)
+    n, sxy = F.lit(float(n_samples)), F.col("sxy").cast("double")
+    j = j.withColumn("__num", n * sxy - F.col("lsx") * F.col("tsx"))
     j = j.withColumn("__den", F.sqrt((n * F.col("lsxx") - F.col("lsx") * F.col("lsx"))
                                      * (n * F.col("tsxx") - F.col("tsx") * F.col("tsx"))))
     r = F.when(F.col("__den") > 0, F.col("__num") / F.col("__den"))
+    keys = [f"lead_{c}" for c in VCOLS] + [f"tag_{c}" for c in VCOLS]
     return j.select(*keys, r.alias("R_EUR")).withColumn("R2_EUR", F.col("R_EUR") * F.col("R_EUR"))
 
 

@@ -550,7 +550,7 @@ FROM (SELECT a.total_overlap, c.coloc_log2_h4_h3 FROM (
     "inter_all_v", "coloc_f_v", "lead_pv_v"))
 def q_feature_match_counts(spark, d):
     """A10: LD only / coloc only / both, over all loci that share an LD tag."""
-    return ft.feature_match_counts(jobs.coloc_features(spark, d, all_pairs=True))
+    return jobs.feature_match_counts(spark, d)
 
 
 def _ld_feat(spark, d):
@@ -588,9 +588,7 @@ _A7 = RES16 + ["total_overlap"] + [f"prop_overlap_{t}" for t in ft.R2_THRESHOLDS
 @query("ld_overlap_features", S(rounded_sql("SELECT * FROM feat_a7_v", _A7, _A7[17:]), "feat_a7_v"))
 def q_ld_overlap_features(spark, d):
     """Total overlap and thresholded overlap proportions."""
-    c, ld = _coloc_f(spark, d), _ld_feat(spark, d)
-    x = ft.ld_tag_intersection(ft.locus_ld_tags(c, ld, "left"), ft.locus_ld_tags(c, ld, "right"), c)
-    return rounded(_fcols(ft.ld_overlap_features(x), _A7), _A7[17:])
+    return rounded(_fcols(ft.locus_pair_overlaps(_coloc_f(spark, d), _ld_feat(spark, d)), _A7), _A7[17:])
 
 
 @query("ld_num_tags", S("SELECT * FROM left_ntags_v", "left_ntags_v"))

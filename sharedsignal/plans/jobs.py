@@ -128,6 +128,13 @@ def coloc_features(spark: SparkSession, d: str, all_pairs: bool = False) -> Data
     return build_features(ld_for_features(spark, d, raw), coloc, A.toploci(spark, d), FEATURE_MIN_VARS, all_pairs)
 
 
+def feature_match_counts(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.features import match_counts
+    raw = coloc_raw(spark, d)
+    coloc = rs.make_symmetric(rs.add_ratios(rs.rename_raw(raw)))
+    return match_counts(ld_for_features(spark, d, raw), coloc, A.toploci(spark, d), FEATURE_MIN_VARS)
+
+
 def previous_release(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """Earlier release: raw results with even left_pos, carrying a legacy extra column."""
     raw = coloc_raw(spark, d) if raw is None else raw
