@@ -357,10 +357,12 @@ def q_signals_to_prepare(spark, d):
     return mf.signals_to_prepare(jobs.manifest(spark, d))
 
 
+_LOCUS_TEXT = "concat_ws('|', " + ", ".join(f"coalesce(CAST({{0}}{c} AS VARCHAR), '~')" for c in LOCUS_COLS) + ")"
+
+
 @query("coloc_tests", S(f"""SELECT t.* FROM tests_v t
-WHERE EXISTS (SELECT 1 FROM sig_stats_v l WHERE {' AND '.join(f't.left_{c} IS NOT DISTINCT FROM l.{c}' for c in LOCUS_COLS)})
-  AND EXISTS (SELECT 1 FROM sig_stats_v r WHERE {' AND '.join(f't.right_{c} IS NOT DISTINCT FROM r.{c}' for c in LOCUS_COLS)})""",
-                        "tests_v", "sig_stats_v"))
+WHERE {_LOCUS_TEXT.format('t.left_')} IN (SELECT DISTINCT {_LOCUS_TEXT.format('')} FROM sig_stats_v)
+  AND {_LOCUS_TEXT.format('t.right_')} IN (SELECT DISTINCT {_LOCUS_TEXT.format('')} FROM sig_stats_v)""", "tests_v", "sig_stats_v"))
 def q_coloc_tests(spark, d):
     """Tests whose two signals both have prepared statistics."""
     prepared = _signal_stats_named(spark, d).select(*LOCUS_COLS).distinct()
@@ -630,11 +632,63 @@ def q_feature_vectors(spark, d):
     return v.select(*RES16, vector_to_array("features").alias("features"))
 
 
-@query("impute_ols")
+def _ids_md5(seed):
+    text = " || '|' || ".join([f"'{seed}'"] + [f"coalesce(CAST({c} AS VARCHAR), '')" for c in RES16])
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+def _ols_sql(select: str) -> str:
+    """All OLS fits by Gauss-Jordan steps over the correlations of each training set; R^2 from the rows' predictions."""
+    x, y = [f'CAST("{c}" AS DOUBLE)' for c in im.FEATURE_COLS], [f"CAST({c} AS DOUBLE)" for c in im.OUTCOMES.values()]
+    n, m = len(x), len(y)
+    cov = ", ".join("[" + ", ".join(f"covar_pop(v[{i}], v[{j}])" for j in range(1, n + m + 1)) + "]" for i in range(1, n + 1))
+    sizes = ", ".join(f"({s!r})" for s in im.TRAIN_SIZES)
+    head = "WITH RECURSIVE" + with_adapters("", "features_v").strip()[len("WITH"):]
+    return f"""{head},
+r AS MATERIALIZED (
+  SELECT [{', '.join(x + y)}] AS v, right_type, {_ids_md5(123)} % 5 AS fold, ({_ids_md5(124)} % 10000) / 10000.0 AS u
+  FROM features_v WHERE total_overlap IS NOT NULL AND coloc_log2_h4_h3 IS NOT NULL),
+s AS MATERIALIZED (SELECT subset, r.* FROM r JOIN (VALUES ('all'), ('gwas'), ('molecular_trait')) t(subset)
+      ON subset = 'all' OR (subset = 'gwas' AND right_type = 'gwas') OR (subset = 'molecular_trait' AND right_type <> 'gwas')),
+sets AS (SELECT k.k, z.z FROM (SELECT unnest([0, 1, 2, 3, 4]) AS k) k, (VALUES {sizes}) z(z)),
+train AS (SELECT subset, k, z, v FROM s JOIN sets ON fold <> k AND u < z),
+g AS (SELECT subset, k, z, count(*) AS n_train, [{', '.join(f'avg(v[{i}])' for i in range(1, n + m + 1))}] AS mean, [{cov}] AS c,
+             [{', '.join(f'CASE WHEN stddev_pop(v[{i}]) > 1e-9 THEN stddev_pop(v[{i}]) ELSE 0 END' for i in range(1, n + 1))}] AS sd
+      FROM train GROUP BY ALL HAVING count(*) > 1),
+scaled AS (SELECT subset, k, z, list_transform(c, lambda row, i: list_transform(row, lambda e, j:
+             CASE WHEN sd[i] = 0 OR (j <= {n} AND sd[j] = 0) THEN 0.0 WHEN j <= {n} THEN e / sd[i] / sd[j] ELSE e / sd[i] END)) AS a FROM g),
+steps AS (
+  SELECT subset, k, z, 1 AS p, a FROM scaled
+  UNION ALL
+  SELECT subset, k, z, p + 1, list_transform(a, lambda row, i: CASE
+    WHEN a[p][p] <= 1e-9 THEN CASE WHEN i = p THEN list_transform(row, lambda e: 0.0) ELSE row END
+    WHEN i = p THEN list_transform(row, lambda e: e / a[p][p])
+    ELSE list_transform(row, lambda e, j: e - row[p] * (a[p][j] / a[p][p])) END)
+  FROM steps WHERE p <= {n}),
+coefs AS (SELECT g.subset, g.k, g.z, n_train, o, mean, list_transform(a, lambda row, i: CASE WHEN sd[i] = 0 THEN 0.0 ELSE row[{n} + o] / sd[i] END) AS b
+          FROM g JOIN steps ON steps.subset = g.subset AND steps.k = g.k AND steps.z = g.z AND p = {n + 1}, (SELECT unnest([1, 2, 3]) AS o)),
+pred AS (SELECT c.subset, c.k, c.z, n_train, o, fold = k AS test, v[{n} + o] AS y,
+                mean[{n} + o] + list_sum(list_transform(b, lambda e, i: e * (v[i] - mean[i]))) AS f
+         FROM coefs c JOIN s ON s.subset = c.subset AND (fold = k OR u < z)),
+score AS (SELECT subset, k, z, n_train, o, test, 1 - sum((y - f) * (y - f)) / nullif(var_pop(y) * count(*), 0) AS r2 FROM pred GROUP BY ALL),
+fits AS (SELECT 'OLS' AS model, ['h3', 'h4', 'log_h4_h3'][o] AS outcome, subset, CAST(k AS INTEGER) AS fold, CAST(z AS DOUBLE) AS train_size, n_train,
+                max(r2) FILTER (WHERE NOT test) AS train_r2, max(r2) FILTER (WHERE test) AS test_r2 FROM score GROUP BY ALL)
+{select}"""
+
+
+_R2_DIGITS = 5  # sums of two engines, divided by pivots of correlated features
+
+
+def _ols(spark, d):
+    return im.ols_fits(im.model_rows(_features(spark, d)))
+
+
+@query("impute_ols", _ols_sql(f"""SELECT model, outcome, subset, round(avg(test_r2), {_R2_DIGITS}) AS r2_mean,
+  round(stddev_pop(test_r2), {_R2_DIGITS}) AS r2_sd, count(*) AS n_folds FROM fits WHERE train_size = 1.0 GROUP BY ALL"""))
 def q_impute_ols(spark, d):
     """I3 + I5: OLS, 5-fold CV R^2 mean / sd over outcomes and subsets."""
-    scores, _, _ = im.cross_validate(_features(spark, d), models=["OLS"])
-    return im.summarise_scores(scores)
+    out = im.summarise_scores(im.ols_scores(_ols(spark, d)))
+    return out.withColumns({c: F.round(c, _R2_DIGITS) for c in ("r2_mean", "r2_sd")})
 
 
 @query("impute_rf")
@@ -647,15 +701,16 @@ def q_impute_rf(spark, d):
 @query("impute_cv")
 def q_impute_cv(spark, d):
     """Per-fold R^2 of both models, every outcome and subset."""
-    scores, _, _ = im.cross_validate(_features(spark, d))
-    return scores
+    features = _features(spark, d)
+    scores, _, _ = im.cross_validate(features, models=["RandomForest_100"])
+    return im.ols_scores(im.ols_fits(im.model_rows(features))).unionByName(scores)
 
 
 @query("impute_predictions")
 def q_impute_predictions(spark, d):
-    """Out-of-fold predictions (OLS, all rows)."""
-    _, preds, _ = im.cross_validate(_features(spark, d), models=["OLS"], subsets=["all"])
-    return preds
+    """Out-of-fold OLS predictions, every outcome and subset."""
+    rows = im.model_rows(_features(spark, d))
+    return im.ols_predictions(rows, im.ols_fits(rows))
 
 
 @query("impute_importance")
@@ -665,10 +720,15 @@ def q_impute_importance(spark, d):
     return im.summarise_importance(imps)
 
 
-@query("impute_learning_curve")
+_CURVE_R2 = ["train_r2", "test_r2"]
+
+
+@query("impute_learning_curve", _ols_sql("SELECT model, outcome, subset, train_size, fold, n_train, " + ", ".join(
+    f"round({c}, {_R2_DIGITS}) AS {c}" for c in _CURVE_R2) + " FROM fits"))
 def q_impute_learning_curve(spark, d):
-    """I8: learning curve at 5 training fractions (OLS, h4, all rows)."""
-    return im.learning_curve(_features(spark, d))
+    """I8: OLS learning curves at 5 training fractions, every outcome and subset."""
+    out = im.learning_curve(_features(spark, d))
+    return out.withColumns({c: F.round(c, _R2_DIGITS) for c in _CURVE_R2})
 
 
 # ============================================================================
