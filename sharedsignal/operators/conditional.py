@@ -11,11 +11,14 @@ variants, the effect of variant j conditional on the set K is
   s2 = (y'y - b_K*' D_K b_K - D_j b_j b_j|K) / (N_j - |K| - 1),
   y'y = median_j (D_j se_j^2 (N_j - 1) + D_j b_j^2)
 
-k = 1 is closed-form Column arithmetic (``cojo_single``); k > 1 runs one
-``applyInPandas`` call per signal with a k x k NumPy solve (``cojo_multi``);
-a signal's window is bounded, so no group grows with the data.  Variants
-without LD information, the conditioning variants themselves and variants
-collinear with K (R^2 > 0.9) are dropped, as the tool does.
+k = 1 is closed-form Column arithmetic (``cojo_single``); any k runs one k x k NumPy
+solve per signal (``cojo_solve``) over rows made by Spark, one per window variant with
+the array of its r to the numbered conditioning variants; a signal's window is bounded,
+so no group grows with the data.  Variants without LD information, the conditioning
+variants themselves and variants collinear with K (R^2 > 0.9) are dropped, as the tool
+does.  Conditioning variants without genotypes are left out, and of collinear ones a
+pivoted Cholesky factorisation of their LD matrix keeps those that add to the others;
+what was left out is a status row of the same pass.
 """
 
 from __future__ import annotations
@@ -23,13 +26,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .ld import ld_pairs
-from .sumstats import COND_WINDOW_KB, MIN_MAF, signal_sumstats_join
+from .sumstats import COND_WINDOW_KB, MIN_MAF, signal_sumstats_join, window_join
 
 COLLINEAR_R2 = 0.9
 
@@ -73,16 +75,12 @@ def condition_list(signals: DataFrame, window_stats: DataFrame, toploci: DataFra
     ``signals``: signal_id + locus columns; ``window_stats``: signal_id +
     chrom/pos/ref/alt.  Output: signal_id, cond_chrom/pos/ref/alt.
     """
-    tl = toploci.select(F.col("study_id").alias("__s"), F.col("phenotype_id").alias("__p"),
-                        F.col("bio_feature").alias("__f"), F.col("chrom").alias("cond_chrom"),
-                        F.col("pos").alias("cond_pos"), F.col("ref").alias("cond_ref"),
-                        F.col("alt").alias("cond_alt"))
-    cond = ((F.col("study_id") == F.col("__s")) & F.col("phenotype_id").eqNullSafe(F.col("__p"))
-            & F.col("bio_feature").eqNullSafe(F.col("__f")) & (F.col("lead_chrom") == F.col("cond_chrom"))
-            & (F.abs(F.col("cond_pos") - F.col("lead_pos")) <= 1000 * window_kb))
-    c = signals.join(tl, cond).filter(~((F.col("cond_pos") == F.col("lead_pos"))
-                                        & (F.col("cond_ref") == F.col("lead_ref"))
-                                        & (F.col("cond_alt") == F.col("lead_alt"))))
+    keys = ["study_id", "phenotype_id", "bio_feature"]
+    tl = toploci.select(*keys, *[F.col(c).alias(f"cond_{c}") for c in ("chrom", "pos", "ref", "alt")])
+    c = window_join(signals.select("signal_id", *keys, *[f"lead_{c}" for c in ("chrom", "pos", "ref", "alt")]), tl, keys,
+                    "lead_chrom", "lead_pos", "cond_chrom", "cond_pos", 1000 * window_kb)
+    c = c.filter(~((F.col("cond_pos") == F.col("lead_pos")) & (F.col("cond_ref") == F.col("lead_ref"))
+                   & (F.col("cond_alt") == F.col("lead_alt"))))
     w = window_stats.select("signal_id", F.col("chrom").alias("cond_chrom"), F.col("pos").alias("cond_pos"),
                             F.col("ref").alias("cond_ref"), F.col("alt").alias("cond_alt"))
     return (c.select("signal_id", "cond_chrom", "cond_pos", "cond_ref", "cond_alt")
@@ -134,7 +132,8 @@ def cojo_single(window_stats: DataFrame, conds: DataFrame, genotypes: DataFrame,
     x = x.withColumn("yy", F.median("yy_j").over(Window.partitionBy("signal_id")))
     is_k = ((F.col("pos") == F.col("cond_pos")) & (F.col("ref") == F.col("cond_ref"))
             & (F.col("alt") == F.col("cond_alt")) & (F.col("chrom") == F.col("cond_chrom")))
-    x = x.filter(~is_k & (F.col("r") * F.col("r") <= COLLINEAR_R2))
+    # a frequency of 0 or 1 leaves no variance: neither to condition on nor to condition
+    x = x.filter(~is_k & (F.col("r") * F.col("r") <= COLLINEAR_R2) & (F.col("d_j") > 0) & (F.col("d_k") > 0))
     x = x.withColumn("beta_cond", F.col("beta") - F.col("c_jk") / F.col("d_j") * F.col("b_k"))
     x = x.withColumn("s2", (F.col("yy") - F.col("d_k") * F.col("b_k") * F.col("b_k")
                             - F.col("d_j") * F.col("beta") * F.col("beta_cond")) / (F.col("n_j") - F.lit(2.0)))
@@ -146,73 +145,112 @@ def cojo_single(window_stats: DataFrame, conds: DataFrame, genotypes: DataFrame,
     return x.select("signal_id", "chrom", "pos", "ref", "alt", "beta_cond", "se_cond", "pval_cond", "z_cond")
 
 
-COJO_OUT = T.StructType([T.StructField("signal_id", T.LongType()), T.StructField("chrom", T.StringType()),
-                         T.StructField("pos", T.LongType()), T.StructField("ref", T.StringType()),
-                         T.StructField("alt", T.StringType()), T.StructField("beta_cond", T.DoubleType()),
-                         T.StructField("se_cond", T.DoubleType()), T.StructField("pval_cond", T.DoubleType()),
-                         T.StructField("z_cond", T.DoubleType())])
-
-
-def _cojo_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One signal: rows = (window variant j) x (conditioning variant k) with r."""
-    cols = ["signal_id", "chrom", "pos", "ref", "alt", "beta_cond", "se_cond", "pval_cond", "z_cond"]
-    keys = sorted(set(zip(pdf.cond_chrom, pdf.cond_pos, pdf.cond_ref, pdf.cond_alt)), key=lambda t: (t[1], t[2], t[3]))
-    kidx = {k: i for i, k in enumerate(keys)}
-    pdf = pdf.assign(__k=[kidx[t] for t in zip(pdf.cond_chrom, pdf.cond_pos, pdf.cond_ref, pdf.cond_alt)])
-    var_keys = ["chrom", "pos", "ref", "alt"]
-    wide = pdf.pivot_table(index=var_keys, columns="__k", values="r", aggfunc="first")
-    stats = pdf.drop_duplicates(var_keys).set_index(var_keys)[["beta", "se", "eaf", "n_total"]]
-    stats = stats.loc[wide.index]
-    k = len(keys)
-    if any(kk not in wide.columns for kk in range(k)):
-        return pd.DataFrame(columns=cols)
-    R = wide[list(range(k))].to_numpy(dtype=float)
-    f = stats.eaf.to_numpy(float)
-    n = stats.n_total.to_numpy(float)
-    b = stats.beta.to_numpy(float)
-    se = stats.se.to_numpy(float)
-    v = f * (1 - f)
-    d = 2 * v * n
-    yy = float(np.median(d * se * se * (n - 1) + d * b * b))
-    pos_of = {key: i for i, key in enumerate(wide.index)}
-    kpos = [pos_of.get(key) for key in keys]
-    if any(p is None for p in kpos):
-        return pd.DataFrame(columns=cols)
-    kpos = np.array(kpos)
-    Rkk = R[kpos, :]
-    nk, vk, dk, bk = n[kpos], v[kpos], d[kpos], b[kpos]
-    B = np.minimum.outer(nk, nk) * 2 * np.sqrt(np.outer(vk, vk)) * Rkk
-    np.fill_diagonal(B, dk)
-    try:
-        Binv = np.linalg.inv(B)
-        Rinv = np.linalg.inv(Rkk)
-    except np.linalg.LinAlgError:
-        return pd.DataFrame(columns=cols)
-    bstar = Binv @ (dk * bk)
-    C = np.minimum.outer(n, nk) * 2 * np.sqrt(np.outer(v, vk)) * R
-    bc = b - (C @ bstar) / d
-    s2 = (yy - float(bstar @ (dk * bk)) - d * b * bc) / (n - k - 1)
-    var = s2 * (d - np.einsum("ij,jk,ik->i", C, Binv, C)) / (d * d)
-    r2 = np.einsum("ij,jk,ik->i", R, Rinv, R)
-    keep = np.ones(len(b), bool)
-    keep[kpos] = False
-    keep &= r2 <= COLLINEAR_R2
-    sec = np.where(var > 0, np.sqrt(np.where(var > 0, var, 1.0)), np.nan)
-    z = bc / sec
-    idx = wide.index.to_frame(index=False)
-    out = pd.DataFrame({"signal_id": pdf.signal_id.iloc[0], "chrom": idx.chrom, "pos": idx.pos,
-                        "ref": idx.ref, "alt": idx.alt, "beta_cond": bc, "se_cond": sec,
-                        "pval_cond": pval_from_z_np(z), "z_cond": z})
-    return out[keep][cols]
+COJO_COLS = ["signal_id", "chrom", "pos", "ref", "alt", "beta_cond", "se_cond", "pval_cond", "z_cond"]
+STATUS_COLS = ["n_requested", "n_genotyped", "n_used", "reason"]
+_SOLVED = ("signal_id bigint, chrom string, pos bigint, ref string, alt string, beta_cond double, se_cond double, pval_cond double, "
+           "z_cond double, n_requested int, n_genotyped int, n_used int, reason string")
+
+
+def pivoted_choice(r: np.ndarray, limit: float = COLLINEAR_R2) -> list[int]:
+    """Rows of a correlation matrix picked by a pivoted Cholesky factorisation, in ascending order.
+
+    The next pivot is the row with the largest variance not explained by those before it
+    (the first of equals); it stops where less than 1 - ``limit`` of every row is left.
+    """
+    left, chosen, factors = np.array(np.diag(r), float), [], np.zeros(r.shape)
+    for step in range(len(r)):
+        open_ = np.where(np.isin(np.arange(len(r)), chosen), -np.inf, left)
+        k = int(np.argmax(open_ > open_.max() - 1e-9))
+        if not open_[k] >= 1 - limit:
+            break
+        factors[:, step] = (r[:, k] - factors[:, :step] @ factors[k, :step]) / math.sqrt(left[k])
+        left = left - factors[:, step] ** 2
+        chosen.append(k)
+    return sorted(chosen)
+
+
+def _cojo_group(t: pa.Table) -> pa.Table:
+    """One signal: rows = window variants, ``r`` to conditioning variants 0 .. k-1 (NaN: none), ``own`` the number of
+    the conditioning variant that the row itself is (or -1)."""
+    signal, requested = t.column("signal_id")[0].as_py(), t.column("k")[0].as_py()
+    R = np.array(t.column("r").combine_chunks().flatten(), float).reshape(t.num_rows, requested)
+    own = np.asarray(t.column("own"))
+    place = {int(k): i for i, k in enumerate(own) if k >= 0}
+    genotyped = [k for k in range(requested) if k in place and not np.isnan(R[place[k], k])]
+    at = np.array([place[k] for k in genotyped], int)
+    chosen = pivoted_choice(R[np.ix_(at, genotyped)]) if genotyped else []
+    K, at = [genotyped[i] for i in chosen], at[chosen]
+    reason = ("no genotypes" if not genotyped else "no usable variant" if not K else "collinear variants left out" if len(K) < len(genotyped)
+              else "variants without genotypes left out" if len(K) < requested else None)
+    f, n, b, se = (np.asarray(t.column(c)).astype(float) for c in ("eaf", "n_total", "beta", "se"))
+    rows = np.flatnonzero(~np.isnan(R[:, K]).any(1)) if K else np.empty(0, int)
+    cols = [np.empty(0)] * 4
+    keep = np.empty(0, int)
+    if K:
+        R = R[:, K]
+        v = f * (1 - f)
+        d = 2 * v * n
+        yy = float(np.median((d * se * se * (n - 1) + d * b * b)[rows]))
+        nk, vk, dk, bk = n[at], v[at], d[at], b[at]
+        B = np.minimum.outer(nk, nk) * 2 * np.sqrt(np.outer(vk, vk)) * R[at]
+        np.fill_diagonal(B, dk)
+        try:
+            Binv, Rinv = np.linalg.inv(B), np.linalg.inv(R[at])
+        except np.linalg.LinAlgError:  # a frequency of 0 or 1: no variance to condition on
+            reason, K = "singular", []
+    if K:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bstar = Binv @ (dk * bk)
+            C = np.minimum.outer(n, nk) * 2 * np.sqrt(np.outer(v, vk)) * R
+            bc = b - (C @ bstar) / d
+            s2 = (yy - float(bstar @ (dk * bk)) - d * b * bc) / (n - len(K) - 1)
+            var = s2 * (d - np.einsum("ij,jk,ik->i", C, Binv, C)) / (d * d)
+            sec = np.where(var > 0, np.sqrt(np.where(var > 0, var, 1.0)), np.nan)
+            z = bc / sec
+        r2 = np.einsum("ij,jk,ik->i", R, Rinv, R)
+        dropped = np.zeros(len(b), bool)
+        dropped[[i for i in place.values()]] = True  # every conditioning variant, used or not
+        keep = rows[(r2[rows] <= COLLINEAR_R2) & ~dropped[rows] & (d[rows] > 0)]
+        cols = [x[keep] for x in (bc, sec, pval_from_z_np(z), z)]
+    m = len(keep)
+    stats = t.select(["signal_id", "chrom", "pos", "ref", "alt"]).take(pa.array(keep, pa.int64()))
+    status = [pa.array([x], pa.int32()) for x in (requested, len(genotyped), len(K))] + [pa.array([reason], pa.string())]
+    both = [pa.concat_arrays([c.combine_chunks().cast(k) if hasattr(c, "combine_chunks") else c, pa.nulls(1, k)])
+            for c, k in zip(stats.columns, (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()))]
+    both[0] = pa.array(both[0].to_pylist()[:m] + [signal], pa.int64())
+    both += [pa.concat_arrays([pa.array(c, pa.float64()), pa.nulls(1, pa.float64())]) for c in cols]
+    both += [pa.concat_arrays([pa.nulls(m, c.type), c]) for c in status]
+    return pa.table(both, names=[x.split()[0] for x in _SOLVED.split(", ")])
+
+
+def cojo_solve(window_stats: DataFrame, conds: DataFrame, genotypes: DataFrame, n_samples: int,
+               window_kb: int = 2 * COND_WINDOW_KB) -> DataFrame:
+    """C1 + C2 in one pass: conditional statistics (``COJO_COLS``) and one status row per signal with a list.
+
+    A status row has NULL in the variant columns and ``STATUS_COLS`` filled: how many
+    conditioning variants were asked for, have genotypes and were used, and why some or
+    all were not (NULL: all were used).
+    """
+    var = ["chrom", "pos", "ref", "alt"]
+    number = Window.partitionBy("signal_id").orderBy("cond_pos", "cond_ref", "cond_alt", "cond_chrom")
+    listed = conds.withColumns({"k": F.row_number().over(number) - 1})
+    r = ld_pairs(genotypes, conds.select(*[F.col(f"cond_{c}").alias(f"lead_{c}") for c in var]).distinct(), n_samples, window_kb).select(
+        *[F.col(f"lead_{c}").alias(f"cond_{c}") for c in var], *[F.col(f"tag_{c}").alias(c) for c in var], F.col("R_EUR").alias("r"))
+    x = window_stats.join(listed, "signal_id").join(r, [f"cond_{c}" for c in var] + var, "left")
+    itself = F.lit(True)
+    for c in var:
+        itself = itself & (F.col(c) == F.col(f"cond_{c}"))
+    x = (x.groupBy("signal_id", *var).agg(
+            *[F.first(c).alias(c) for c in ("beta", "se", "eaf", "n_total")], F.max(F.when(itself, F.col("k")).otherwise(-1)).alias("own"),
+            F.count(F.lit(1)).cast("int").alias("k"),
+            F.transform(F.sort_array(F.collect_list(F.struct("k", F.coalesce("r", F.lit(float("nan"))).alias("r")))), lambda e: e["r"]).alias("r")))
+    return x.groupBy("signal_id").applyInArrow(_cojo_group, _SOLVED)
 
 
 def cojo_multi(window_stats: DataFrame, conds: DataFrame, genotypes: DataFrame, n_samples: int,
                window_kb: int = 2 * COND_WINDOW_KB) -> DataFrame:
-    """C1, any k >= 1: grouped NumPy solve per signal (Arrow batches)."""
-    x = _with_r(window_stats, conds, genotypes, n_samples, window_kb).select(
-        "signal_id", "chrom", "pos", "ref", "alt", "beta", "se", "eaf", "n_total",
-        "cond_chrom", "cond_pos", "cond_ref", "cond_alt", "r")
-    return x.groupBy("signal_id").applyInPandas(_cojo_group, COJO_OUT)
+    """C1, any k >= 1: the statistics of ``cojo_solve``."""
+    return cojo_solve(window_stats, conds, genotypes, n_samples, window_kb).filter("chrom is not null").select(*COJO_COLS)
 
 
 def merge_conditional(window_stats: DataFrame, cond: DataFrame) -> DataFrame:
@@ -222,12 +260,14 @@ def merge_conditional(window_stats: DataFrame, cond: DataFrame) -> DataFrame:
         {"beta_cond": "beta", "se_cond": "se", "pval_cond": "pval"})
 
 
-def conditioning_failures(signals: DataFrame, conds: DataFrame, cond_stats: DataFrame) -> DataFrame:
-    """Signals with a conditioning list but no conditional output."""
-    need = conds.select("signal_id").distinct()
-    got = cond_stats.select("signal_id").distinct()
-    return (signals.join(need, "signal_id", "left_semi").join(got, "signal_id", "left_anti")
-                   .withColumn("status", F.lit("conditioning_failed")))
+def conditioning_status(signals: DataFrame, solved: DataFrame) -> DataFrame:
+    """The signals with a conditioning list and what became of it, from the rows of ``cojo_solve``."""
+    return signals.join(solved.filter("chrom is null").select("signal_id", *STATUS_COLS), "signal_id")
+
+
+def conditioning_failures(signals: DataFrame, solved: DataFrame) -> DataFrame:
+    """Signals that could not be conditioned at all, with the reason."""
+    return conditioning_status(signals, solved).filter("n_used = 0")
 
 
 def conditionable(signals: DataFrame) -> Column:

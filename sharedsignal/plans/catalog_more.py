@@ -899,12 +899,38 @@ def q_merge_conditional(spark, d):
     return rounded(out.join(sig, "signal_id").select(*_MERGED), _MERGED_ROUND, _COJO_DIGITS)
 
 
-@query("conditioning_failures")
-def q_conditioning_failures(spark, d):
-    """Signals with a condition list but no conditional output (no genotypes)."""
+_STATUS = LOCUS_COLS + cd.STATUS_COLS
+
+
+def _status_sql(where: str) -> str:
+    """Lists of one or two variants: genotyped ones, and of two with r^2 > 0.9 one, are used."""
+    return f"""SELECT {_LOC}, CAST(k AS INTEGER) AS n_requested, CAST(n_g AS INTEGER) AS n_genotyped, CAST(n_g - coll AS INTEGER) AS n_used,
+  CASE WHEN n_g = 0 THEN 'no genotypes' WHEN coll > 0 THEN 'collinear variants left out'
+       WHEN n_g < k THEN 'variants without genotypes left out' END AS reason
+FROM (SELECT {', '.join('c.' + c for c in LOCUS_COLS)}, max(c.k) AS k, count(DISTINCT m.lead_pos) AS n_g, max(CASE WHEN l.R_EUR * l.R_EUR > 0.9 THEN 1 ELSE 0 END) AS coll
+  FROM cr_v c LEFT JOIN (SELECT DISTINCT lead_chrom, lead_pos, lead_ref, lead_alt FROM ld_v) m
+    ON m.lead_chrom = c.cond_chrom AND m.lead_pos = c.cond_pos AND m.lead_ref = c.cond_ref AND m.lead_alt = c.cond_alt
+  LEFT JOIN cr_v d ON d.i > c.i AND {nse_cols('c', 'd', LOCUS_COLS)}
+  LEFT JOIN ld_v l ON l.lead_chrom = c.cond_chrom AND l.lead_pos = c.cond_pos AND l.lead_ref = c.cond_ref AND l.lead_alt = c.cond_alt
+    AND l.tag_chrom = d.cond_chrom AND l.tag_pos = d.cond_pos AND l.tag_ref = d.cond_ref AND l.tag_alt = d.cond_alt
+  GROUP BY ALL) x {where}"""
+
+
+def _solved(spark, d):
     sig, ws, conds = _cond_inputs(spark, d)
-    out = cd.cojo_multi(ws, conds, A.genotypes(spark, d), A.genotype_samples(spark, d))
-    return cd.conditioning_failures(sig, conds, out)
+    return sig, cd.cojo_solve(ws, conds, A.genotypes(spark, d), A.genotype_samples(spark, d))
+
+
+@query("conditioning_status", S(_status_sql(""), "cr_v", "ld_v"))
+def q_conditioning_status(spark, d):
+    """Per signal with a condition list, variants asked for, genotyped and used, and why some were not."""
+    return cd.conditioning_status(*_solved(spark, d)).select(*_STATUS)
+
+
+@query("conditioning_failures", S(_status_sql("WHERE n_g = 0"), "cr_v", "ld_v"))
+def q_conditioning_failures(spark, d):
+    """Signals that could not be conditioned, with the reason."""
+    return cd.conditioning_failures(*_solved(spark, d)).select(*_STATUS)
 
 
 @query("signal_stats_conditional", S(rounded_sql("SELECT * FROM sig_stats_routed_v", _MERGED, _MERGED_ROUND, _COJO_DIGITS),

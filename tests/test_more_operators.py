@@ -1,5 +1,6 @@
 """Manifest, variant ids, releases, logs and feature operators on hand-written rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,56 @@ def test_window_anchor_left_cuts_right_side_around_left_lead(spark):
     n_own = abf.run_coloc(tests, own).first().nsnps
     n_left = abf.run_coloc(tests, left, window_anchor="left").first().nsnps
     assert (n_own, n_left) == (2, 3)
+
+
+def _conditioning(spark, g, conds, f=None):
+    """Statistics and a solve of one signal over genotypes g (samples x variants at 1000, 2000, ...)."""
+    from sharedsignal.operators import conditional as cd
+    n, v = g.shape
+    rows = [(int(s), "1", 1000 * (k + 1), "A", "C", int(g[s, k])) for s in range(n) for k in range(v) if g[s, k] > 0]
+    geno = spark.createDataFrame(rows, schemas.GENOTYPES)
+    stats = spark.createDataFrame([(7, "1", 1000 * (k + 1), "A", "C", 0.05 * (k + 1), 0.02, 1e-3, 5000, None,
+                                    float(f[k] if f else max(g[:, k].mean() / 2, 0.2)), False) for k in range(v)],
+                                  "signal_id long, chrom string, pos int, ref string, alt string, beta double, se double, pval double, "
+                                  "n_total int, n_cases int, eaf double, is_cc boolean")
+    listed = spark.createDataFrame([(7, "1", 1000 * (k + 1), "A", "C") for k in conds],
+                                   "signal_id long, cond_chrom string, cond_pos int, cond_ref string, cond_alt string")
+    solved = cd.cojo_solve(stats, listed, geno, n)
+    single = cd.cojo_single(stats, listed.limit(1), geno, n)
+    rows = solved.collect()
+    status = [tuple(r[c] for c in cd.STATUS_COLS) for r in rows if r.chrom is None]
+    return status, {r.pos: r for r in rows if r.chrom is not None}, {r.pos: r for r in single.collect()}
+
+
+def test_collinear_and_missing_conditions(spark):
+    rng = np.random.default_rng(4)
+    g = rng.integers(0, 3, size=(120, 7))
+    g[:, 1] = g[:, 0]  # the same variant twice
+    g[:, 6] = 0  # no genotypes
+    # two perfectly correlated conditions: the first is used, as if it were alone; neither is reported
+    status, both, one = _conditioning(spark, g, [0, 1])
+    assert status == [(2, 2, 1, "collinear variants left out")]
+    assert set(both) == {3000, 4000, 5000, 6000}
+    for p in both:
+        assert both[p].beta_cond == pytest.approx(one[p].beta_cond) and both[p].z_cond == pytest.approx(one[p].z_cond)
+    status, some, one = _conditioning(spark, g, [2, 6])
+    assert status == [(2, 1, 1, "variants without genotypes left out")]
+    assert set(some) == {1000, 2000, 4000, 5000, 6000} and some[1000].beta_cond == pytest.approx(one[1000].beta_cond)
+    status, none, _ = _conditioning(spark, g, [6])
+    assert status == [(1, 0, 0, "no genotypes")] and none == {}
+    status, fine, _ = _conditioning(spark, g, [2, 3])
+    assert status == [(2, 2, 2, None)] and set(fine) == {1000, 2000, 5000, 6000}
+    status, odd, _ = _conditioning(spark, g, [2], f=[0.3, 0.3, 0.0, 0.3, 0.3, 0.3, 0.3])
+    assert status == [(1, 1, 0, "singular")] and odd == {}
+
+
+def test_pivoted_choice_keeps_what_adds_information():
+    from sharedsignal.operators.conditional import pivoted_choice
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 6))
+    x[:, 2] = x[:, 0] + x[:, 1]
+    x[:, 4] = -x[:, 3]
+    r = np.corrcoef(x.T)
+    chosen = pivoted_choice(r)
+    assert chosen == [0, 1, 3, 5] or (len(chosen) == 4 and 5 in chosen and len({3, 4} & set(chosen)) == 1)
+    assert pivoted_choice(np.eye(3)) == [0, 1, 2] and pivoted_choice(np.zeros((2, 2))) == []
