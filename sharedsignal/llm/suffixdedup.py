@@ -21,8 +21,8 @@ the input and never cross a document.  Below, "bytes" holds for words too.
 4. *Second keys.*  Equal windows have their anchor at an equal place, so windows are cut
    into ranges of places.  All windows of a range share its core (what the first and the
    last of them both cover), and equal windows equal cores: (anchor, range, digest of the
-   core) is the next key.  Ranges are a tenth of the places, then a hundredth, then one
-   place; there the core is the window itself, so nothing is left to sort, and 128-bit
+   core) is the next key.  Ranges are a quarter of the places, then a ninth of that, then
+   one place; there the core is the window itself, so nothing is left to sort, and 128-bit
    digests of the windows are counted.
 
 Only rows of repeated anchors carry text, and identical contexts count once, so a
@@ -50,7 +50,7 @@ WORD_SPAN, WORD_GRAM = 50, 10
 #: Bits of a place: the number of windows of a run (at most SPAN - GRAM + 1), and the anchor's distance from the first.
 PLACE = 16
 #: Contexts that are sorted together under one key.
-MOST = 256
+MOST = 128
 #: Windows that a task sorts at once, over several anchors.
 WINDOWS = 200_000
 BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
@@ -414,7 +414,7 @@ def judge_all(contexts: DataFrame, several: DataFrame, span: int, gram: int, mos
     ``several``: the keys g with their number of contexts, written.
     """
     found, places = [], span - gram + 1
-    widths = [w for w in (-(-places // 10), -(-places // 100)) if 1 < w < places]
+    widths = [w for w in (-(-places // 4), -(-places // 36)) if 1 < w < places]
     for width in [*dict.fromkeys(widths), 1]:
         found.append(judge(contexts.filter(F.col("contexts") <= most).drop("contexts", "off"), span, unit))
         if several.filter(F.col("contexts") > most).isEmpty():
