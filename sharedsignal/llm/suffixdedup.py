@@ -181,20 +181,23 @@ def anchor_rows(docs: DataFrame, span: int, gram: int, unit: str = "byte") -> Da
 
     def run(batches):
         for b in batches:
-            data, off = units(*utf8_column(b.column(2)), unit)
-            width = data.itemsize
-            for i, starts, ends, base, part in segments(data, off, span, SEGMENT // width):
-                text, a, p1, p2, g = anchors_of(part, starts, ends, span, gram)
-                if not len(a):
-                    continue
-                raw = part.tobytes()
-                digest = xxhash.xxh3_64_intdigest
-                # the anchor's place in the context is part of what is digested
-                d = np.array([digest(raw[x * width:(z + span) * width], y - x) for x, z, y in zip(p1.tolist(), p2.tolist(), a.tolist())], np.uint64)
-                rows = pa.array(i + text)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(rows), b.column(1).take(rows), pa.array(g.view(np.int64)), pa.array(d.view(np.int64)),
-                     pa.array((p1 + base - starts[text] << 2 * PLACE) | (a - p1 << PLACE) | (p2 - p1 + 1))], names=names)
+            data, off = utf8_column(b.column(2))
+            # words need several arrays of their text's size, so they are made of few texts at a time
+            for lo, hi in pieces(off) if unit == "word" else [(0, len(off) - 1)]:
+                symbols, cut = units(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], unit)
+                width = symbols.itemsize
+                for i, starts, ends, base, part in segments(symbols, cut, span, SEGMENT // width):
+                    text, a, p1, p2, g = anchors_of(part, starts, ends, span, gram)
+                    if not len(a):
+                        continue
+                    raw = part.tobytes()
+                    digest = xxhash.xxh3_64_intdigest
+                    # the anchor's place in the context is part of what is digested
+                    d = np.array([digest(raw[x * width:(z + span) * width], y - x) for x, z, y in zip(p1.tolist(), p2.tolist(), a.tolist())], np.uint64)
+                    rows = pa.array(lo + i + text)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(rows), b.column(1).take(rows), pa.array(g.view(np.int64)), pa.array(d.view(np.int64)),
+                         pa.array((p1 + base - starts[text] << 2 * PLACE) | (a - p1 << PLACE) | (p2 - p1 + 1))], names=names)
 
     return docs.mapInArrow(run, f"id {kind}, h bigint, g bigint, d bigint, place bigint")
 
