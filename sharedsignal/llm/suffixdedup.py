@@ -21,9 +21,10 @@ the input and never cross a document.  Below, "bytes" holds for words too.
 4. *Second keys.*  Equal windows have their anchor at an equal place, so windows are cut
    into ranges of places.  All windows of a range share its core (what the first and the
    last of them both cover), and equal windows equal cores: (anchor, range, digest of the
-   core) is the next key.  Ranges are a quarter of the places, then a ninth of that, then
-   one place; there the core is the window itself, so nothing is left to sort, and 128-bit
-   digests of the windows are counted.
+   core) is the next key.  Contexts that are equal after the cut count once again (2).
+   Ranges are a quarter of the places, then a ninth of that, then one place; there the core
+   is the window itself, so nothing is left to sort, and 128-bit digests of the windows are
+   counted.
 
 Only rows of repeated anchors carry text, and identical contexts count once, so a
 passage in a third of all documents is a few contexts with a large count.
@@ -411,6 +412,23 @@ def split_contexts(contexts: DataFrame, span: int, gram: int, width: int, unit:
     return contexts.mapInArrow(run, CONTEXT.format(kind=kind))
 
 
+def merge_equal(cut: DataFrame, unit: str) -> tuple[DataFrame, DataFrame]:
+    """(contexts, intervals): equal contexts of a key become one with their summed n, as in step 2.
+
+    Near copies differ in few ranges, so most of what was cut is equal.  All windows of
+    equal contexts are repeated: (id, h, first, last) of those that stood for one place.
+    """
+    size = 8 if unit == "word" else 1
+    keys = ["g", "off", "d1", "d2"]
+    keyed = cut.withColumns({"d1": F.xxhash64("ctx"), "d2": F.xxhash64(F.lit(1), "ctx")})
+    classes = scratch(keyed.groupBy(*keys).agg(F.sum("n").alias("n"), F.min(F.struct("h", "p1", "id")).alias("one"), F.first("ctx").alias("ctx")),
+                      "second-classes")
+    sure = (keyed.filter("n = 1").select(*keys, "id", "h", "p1", (F.col("p1") + F.expr(f"octet_length(ctx) div {size}")).alias("last"))
+            .join(classes.filter("n > 1").select(*keys), keys, "left_semi")
+            .select("id", "h", F.col("p1").alias("first"), "last"))
+    return classes.select("g", "n", "one.id", "one.h", "one.p1", "off", "ctx"), sure
+
+
 def judge_all(contexts: DataFrame, several: DataFrame, span: int, gram: int, most: int, unit: str) -> DataFrame:
     """Intervals (id, h, first, last) of repeated windows of single contexts (g, n, id, h, p1, off, ctx, contexts).
 
@@ -427,6 +445,8 @@ def judge_all(contexts: DataFrame, several: DataFrame, span: int, gram: int, mos
         if width == 1:
             found.append(judge_by_counts(cut, span))
             break
+        cut, sure = merge_equal(cut, unit)
+        found.append(sure)
         # a key with one context shares no window
         several = scratch(cut.groupBy("g").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "several")
         contexts = scratch(cut.join(several, "g").select(*cut.columns, "contexts"), "dealt-again")
