@@ -16,22 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sharedsignal.llm import costpack, fmindex, knlm, simhash, suffixdedup
-from sharedsignal.llm.common import ensure_scratch, scratch, table
+from sharedsignal.llm.common import ensure_scratch, scratch, small_batches, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity lies within their language's thresholds."""
+    small_batches(spark)
     model = knlm.train(docs, knlm.trusted_ids(table(spark, sf_dir, "labels")))
     return model.judge(docs).filter("_keep").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the least id."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words or more that also stand elsewhere."""
+    small_batches(spark)
     return suffixdedup.remove_repeated_words(docs)
 
 
