@@ -43,10 +43,10 @@ def rounded_sql(body: str, all_cols, cols, digits: int = DIGITS) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalog, catalog_anchor, catalog_io, catalog_more  # noqa: F401  (registers everything)
+    from . import catalog, catalog_anchor, catalog_io, catalog_more, catalog_store  # noqa: F401  (registers everything)
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog, catalog_anchor, catalog_io, catalog_more  # noqa: F401
+    from . import catalog, catalog_anchor, catalog_io, catalog_more, catalog_store  # noqa: F401
     return dict(_SQL)
