@@ -4,8 +4,10 @@ Plan shape: the self-join on tag variant is rewritten as GWAS-side x all, so
 molecular x molecular pairs are never produced; it joins narrow rows
 (locus id, key, type, study, lead position, tag) and counts per locus pair;
 descriptive columns are re-attached afterwards from a locus dimension, and
-tag totals from a per-key count.  Shuffles: the tag join, the pair count,
-and the dimension joins (small, broadcast by AQE once measured).
+tag totals from a per-key count.  Loci are numbered by a written dictionary,
+so no two of them can share an id, and the numbered tag rows are written once
+for all branches that read them.  Shuffles: the numbering, the tag join, the
+pair count, and the dimension joins (small, broadcast by AQE once measured).
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LOCUS_COLS
+from ..sources.io import materialize
+from .dictionary import dictionary, encode
 
 MAX_DIST = 500_000
 TAG_COLS = ["tag_chrom", "tag_pos", "tag_ref", "tag_alt"]
@@ -58,19 +62,26 @@ def prepare_credset(credset: DataFrame, which_set="95", which_method="all") -> D
     return df.select(*LOCUS_COLS, *TAG_COLS).withColumn("key", study_locus_key())
 
 
+def number_loci(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the rows with ``id``, the loci: id and its 8 columns): ids are dense numbers, NULL equals NULL."""
+    loci = dictionary(prepared, LOCUS_COLS, "id")
+    rows = encode(prepared, loci, {c: c for c in LOCUS_COLS}, "id")
+    return materialize(rows, "numbered-credset"), loci
+
+
 def tag_counts(prepared: DataFrame) -> DataFrame:
     """A2: number of tag rows per locus key."""
     return prepared.groupBy("key").agg(F.count("tag_chrom").alias("num_tags"))
 
 
-def overlap_pairs(prepared: DataFrame, max_dist: int | None = MAX_DIST) -> DataFrame:
+def overlap_pairs(numbered: DataFrame, max_dist: int | None = MAX_DIST) -> DataFrame:
     """J1 + J2: one row per shared tag hit, oriented so that left_key > right_key.
 
+    ``numbered`` are the rows of ``number_loci``.
     Columns: left_id, right_id, left_key, right_key.  Multiplicity equals the
     legacy inner self-join (duplicate tags multiply).
     """
-    narrow = prepared.select(
-        locus_id().alias("id"), "key", "type", "study_id", "lead_pos", *TAG_COLS)
+    narrow = numbered.select("id", "key", "type", "study_id", "lead_pos", *TAG_COLS)
     g = narrow.filter(F.col("type") == "gwas")
     a_is_gwas = F.coalesce(F.col("a.type") == "gwas", F.lit(False))
     cond = [F.col(f"g.{c}") == F.col(f"a.{c}") for c in TAG_COLS]
@@ -96,10 +107,6 @@ def overlap_counts(pairs: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("num_overlapping")))
 
 
-def locus_dimension(prepared: DataFrame) -> DataFrame:
-    return prepared.select(locus_id().alias("id"), *LOCUS_COLS).dropDuplicates(["id"])
-
-
 def find_overlaps(credset: DataFrame, which_set="95", which_method="all",
                   max_dist: int | None = MAX_DIST, keep_keys: bool = False) -> DataFrame:
     """M1: the overlap table.
@@ -107,10 +114,9 @@ def find_overlaps(credset: DataFrame, which_set="95", which_method="all",
     Output: left_/right_ x 8 locus columns, num_overlapping, left_num_tags,
     right_num_tags, left_overlap_prop, right_overlap_prop.
     """
-    prepared = prepare_credset(credset, which_set, which_method)
-    counts = overlap_counts(overlap_pairs(prepared, max_dist))
-    dim = locus_dimension(prepared)
-    tc = tag_counts(prepared)
+    numbered, dim = number_loci(prepare_credset(credset, which_set, which_method))
+    counts = overlap_counts(overlap_pairs(numbered, max_dist))
+    tc = tag_counts(numbered)
     out = (counts
            .join(prefix_columns(dim, "left_", ["id", *LOCUS_COLS]), "left_id")
            .join(prefix_columns(dim, "right_", ["id", *LOCUS_COLS]), "right_id")

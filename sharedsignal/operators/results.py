@@ -118,23 +118,42 @@ def process_results(raw: DataFrame, lut: DataFrame, make_symmetric_: bool = True
     return drop_null_stats(df)
 
 
-def stage_audit(raw: DataFrame, lut: DataFrame,
-                min_overlapping_vars: int | None = MIN_OVERLAPPING_VARS,
+AUDIT_STAGES = ["0_loaded", "1_min_vars", "2_symmetric", "3_left_gwas", "4_dedup_right", "5_non_null"]
+
+
+def _first_key(order_digits: int | None):
+    """The order of ``dedup_right`` as a struct whose least value is the kept row (NULLs last, NaN above all numbers)."""
+    h4 = F.col("coloc_h4") if order_digits is None else F.round("coloc_h4", order_digits)
+    ties = [x for c in DEDUP_TIEBREAK for x in (F.col(c).isNull(), F.col(c))]
+    return F.struct(*[x.alias(f"k{i}") for i, x in enumerate([h4.isNull(), ~F.isnan(h4), -h4, *ties])])
+
+
+def stage_audit(raw: DataFrame, min_overlapping_vars: int | None = MIN_OVERLAPPING_VARS,
                 order_digits: int | None = None) -> DataFrame:
     """Rows after each processing step, as one (stage, n_rows) table.
 
-    One job: each stage is a branch of a union over the same (cacheable) input.
+    One scan and one aggregation: every row carries the steps that it passes, and the
+    groups of the de-duplication count them.  A group keeps one row, so its steps 4 and 5
+    need only its first row in order, which a least struct finds before the shuffle;
+    no window sorts whole rows.  The gene join keeps every row once and is left out.
+    Observed metrics of the processing job would count a task's rows again when a lost
+    executor makes it run twice; an aggregation does not.
     """
-    s0 = add_ratios(rename_raw(raw))
-    s1 = filter_min_vars(s0, min_overlapping_vars)
-    s2 = make_symmetric(s1)
-    s3 = filter_left_gwas(s2)
-    s4 = dedup_right(s3, order_digits)
-    s5 = drop_null_stats(map_gene_id(s4, lut))
-    stages = [("0_loaded", s0), ("1_min_vars", s1), ("2_symmetric", s2), ("3_left_gwas", s3),
-              ("4_dedup_right", s4), ("5_non_null", s5)]
-    out = None
-    for name, d in stages:
-        c = d.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    narrow = [*DEDUP_SUBSET, *DEDUP_TIEBREAK[:-1], "coloc_h3", "coloc_h4", "coloc_log2_h4_h3"]
+    base = add_ratios(rename_raw(raw))
+    enough = F.lit(True) if min_overlapping_vars is None else F.coalesce(F.col("coloc_n_vars") >= min_overlapping_vars, F.lit(False))
+    rows = make_symmetric(base.select(*narrow, enough.alias("__enough"))).filter("__enough OR NOT is_flipped")
+    rows = rows.withColumn("__gwas", F.col("__enough") & F.coalesce(F.col("left_type") == "gwas", F.lit(False)))
+    known = F.lit(True)
+    for c in ("coloc_h3", "coloc_h4", "coloc_log2_h4_h3"):
+        known = known & F.col(c).isNotNull() & ~F.isnan(c)
+    # rows that stop before the de-duplication share one group, which partial sums keep small
+    keys = [F.when(F.col("__gwas"), F.col(c)).alias(c) for c in DEDUP_SUBSET]
+    groups = rows.select(*keys, "__gwas", "__enough", "is_flipped", F.struct(_first_key(order_digits).alias("key"), known.alias("known")).alias("__row"))
+    counts = groups.groupBy("__gwas", *DEDUP_SUBSET).agg(
+        F.count_if(~F.col("is_flipped")).alias("n0"), F.count_if(F.col("__enough") & ~F.col("is_flipped")).alias("n1"),
+        F.count_if("__enough").alias("n2"), F.count_if("__gwas").alias("n3"), F.min("__row").alias("first"))
+    totals = counts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(4)],
+                        F.count_if("__gwas").alias("n4"), F.count_if(F.col("__gwas") & F.col("first.known")).alias("n5"))
+    return totals.select(F.explode(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(f"n{i}").alias("n_rows"))
+                                             for i, s in enumerate(AUDIT_STAGES)])).alias("r")).select("r.*")

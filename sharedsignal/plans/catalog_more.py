@@ -46,7 +46,7 @@ def _prepared(spark, d):
 @query("overlap_join", S("SELECT left_key, right_key FROM overlap_hits", "overlap_hits"))
 def q_overlap_join(spark, d):
     """Oriented tag hits (GWAS side x all, rewritten upper triangle)."""
-    return ov.overlap_pairs(_prepared(spark, d)).select("left_key", "right_key")
+    return ov.overlap_pairs(ov.number_loci(_prepared(spark, d))[0]).select("left_key", "right_key")
 
 
 @query("overlap_distance", S("""SELECT l.key AS left_key, r.key AS right_key FROM cs95 l JOIN cs95 r
@@ -55,7 +55,7 @@ WHERE l.study_id <> r.study_id AND (l.type = 'gwas' OR r.type = 'gwas') AND l.ke
   AND abs(l.lead_pos - r.lead_pos) <= 100000""", "cs95"))
 def q_overlap_distance(spark, d):
     """Lead distance <= 100 kb as a join residual."""
-    return ov.overlap_pairs(_prepared(spark, d), 100_000).select("left_key", "right_key")
+    return ov.overlap_pairs(ov.number_loci(_prepared(spark, d))[0], 100_000).select("left_key", "right_key")
 
 
 def _overlap_keys(spark, d):
@@ -280,7 +280,7 @@ UNION ALL SELECT '5_non_null', count(*) FROM coloc_processed_{MV}"""
 @query("stage_audit", S(_audit_sql, f"coloc_processed_{MV}"))
 def q_stage_audit(spark, d):
     """Rows after each processing step."""
-    return rs.stage_audit(jobs.coloc_raw(spark, d), A.pheno_gene(spark, d), MV, jobs.ORDER_DIGITS)
+    return rs.stage_audit(jobs.coloc_raw(spark, d), MV, jobs.ORDER_DIGITS)
 
 
 _SYM_COLS = O.RATIO_COLS + ["is_flipped"]

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,6 +129,60 @@ def read_results_dir(spark: SparkSession, path: str, schema: T.StructType | None
     return none_to_null(df, id_cols)
 
 
+_LINE = "_line"
+
+
+def _gzip_ends():
+    """Column function: whether every gzip member of a file's bytes reaches its checked end."""
+    def ends(data: bytes) -> bool:
+        while data:
+            part = zlib.decompressobj(wbits=31)
+            try:
+                part.decompress(data, 1 << 20)  # what comes out is dropped, 1 MB at a time
+                while part.unconsumed_tail:
+                    part.decompress(part.unconsumed_tail, 1 << 20)
+            except zlib.error:
+                return False
+            if not part.eof:
+                return False
+            data = part.unused_data
+        return True
+
+    @F.pandas_udf(T.BooleanType())
+    def whole(content: pd.Series) -> pd.Series:
+        return content.map(ends)
+    return whole
+
+
+def results_file_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S3: one row per file below ``path``: file, n_bytes, rows_read, rows_bad, status.
+
+    ``read_results_dir`` skips what it cannot read; here it stays visible.  ``rows_read`` are
+    the lines that hold something, ``rows_bad`` those of them that are no JSON object of
+    ``schema``.  Status, the first that applies: ``empty`` (no bytes), ``broken`` (a gzip file
+    that does not reach its end: its later rows are lost), ``no rows``, ``bad rows``, ``read``.
+    Result files hold one test or one task's rows; a gzip file of 2 GB or more is an error.
+    Spark's scans leave empty files out, so the names come from the listing that any read
+    of the folder holds on the driver.
+    """
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    names = (spark.createDataFrame([(n,) for n in read.inputFiles()], "file string")
+             .withColumn("file", F.regexp_replace("file", "^file:/+", "file:/")))  # as _metadata writes local names
+    files = read.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("n_bytes"), "content")
+    zipped = files.filter("file LIKE '%.gz' AND n_bytes > 0").select("file", _gzip_ends()("content").alias("__ends"))
+    lines = (spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias(_LINE)).filter(F.trim(_LINE) != ""))
+    marked = T.StructType(schema.fields + [T.StructField("__bad", T.StringType())])
+    parsed = F.from_json(_LINE, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    counts = (lines.select("file", parsed["__bad"].isNotNull().alias("__bad")).groupBy("file")
+              .agg(F.count(F.lit(1)).alias("rows_read"), F.count_if("__bad").alias("rows_bad")))
+    out = (names.join(files.select("file", "n_bytes"), "file", "left").join(zipped, "file", "left").join(counts, "file", "left")
+           .fillna(0, ["n_bytes", "rows_read", "rows_bad"]))
+    status = (F.when(F.col("n_bytes") == 0, "empty").when(~F.col("__ends"), "broken").when(F.col("rows_read") == 0, "no rows")
+              .when(F.col("rows_bad") > 0, "bad rows").otherwise("read"))
+    return out.select("file", "n_bytes", "rows_read", "rows_bad", status.alias("status"))
+
+
 # --- S5 / S6 / S7 / S9: delimited text and top loci ---------------------------
 
 def read_ld_tsv(spark: SparkSession, pattern: str) -> DataFrame:
