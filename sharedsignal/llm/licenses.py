@@ -16,7 +16,8 @@ streamed: elsewhere every match is shorter than two words.
 
 from __future__ import annotations
 
-from itertools import repeat
+from bisect import bisect_right
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -161,11 +162,64 @@ def chains(matches, lengths, gap: int = GAP):
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
+class EndsBeyond:
+    """Most matched words among the chains that reach to a place or beyond, for all labels but one (a Fenwick tree).
+
+    A node holds the two best (words, label) of different labels, so asking costs a logarithm of the places.
+    """
+
+    def __init__(self, places):
+        self.rank = {p: i for i, p in enumerate(sorted(set(places), reverse=True), 1)}
+        self.best = [((0, None), (0, None))] * (len(self.rank) + 1)
+
+    def add(self, place, words, label):
+        i = self.rank[place]
+        while i < len(self.best):
+            first, second = self.best[i]
+            if words > first[0]:
+                self.best[i] = (words, label), (second if label == first[1] else first)
+            elif label != first[1] and words > second[0]:
+                self.best[i] = first, (words, label)
+            i += i & -i
+
+    def most(self, place, label):
+        i, top = self.rank[place], 0
+        while i:
+            first, second = self.best[i]
+            top = max(top, second[0] if first[1] == label else first[0])
+            i -= i & -i
+        return top
+
+
 def best_paragraphs(found, labels):
     """Chains of paragraphs [(paragraph, first, last, matched words)] without those inside the words of a chain
-    of another label that matches more.
+    of another label that matches more, in the given order.  One sweep by first word, n log n for n chains.
     """
-    return [x for x in found if not any(y[1] <= x[1] and x[2] <= y[2] and y[3] > x[3] and labels[y[0]] != labels[x[0]] for y in found)]
+    tree, kept = EndsBeyond([x[2] for x in found]), [True] * len(found)
+    order = sorted(range(len(found)), key=lambda i: found[i][1])
+    for _, same in groupby(order, key=lambda i: found[i][1]):
+        same = list(same)
+        for i in same:
+            tree.add(found[i][2], found[i][3], labels[found[i][0]])
+        for i in same:
+            kept[i] = tree.most(found[i][2], labels[found[i][0]]) <= found[i][3]
+    return [x for x, k in zip(found, kept) if k]
+
+
+class Inside:
+    """Whether an interval of a key lies inside asked words: starts sorted, with the least end from each start on."""
+
+    def __init__(self, intervals):
+        self.by = {}
+        for key, first, last in sorted(intervals, reverse=True):
+            starts, ends = self.by.setdefault(key, ([], []))
+            starts.append(-first)
+            ends.append(min(last, ends[-1]) if ends else last)
+
+    def has(self, key, first, last):
+        starts, ends = self.by.get(key, ((), ()))
+        n = bisect_right(starts, -first)  # those that start at ``first`` or later
+        return n > 0 and ends[n - 1] <= last
 
 
 REPORT = ("n_words bigint, places array<struct<start:bigint,label:string>>, "
@@ -222,7 +276,8 @@ def scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, notices=NOTIC
             told = best_paragraphs([(k, a, z, share * of_sequence[k]) for k, a, z, share in chains(matches, of_sequence, gap)
                                     if share >= cover], labels) if matches else []
             whole = [(a, z, notice[k - n_phrases], before[k - n_phrases] + s) for a, z, k, s in matches]
-            spans = [(a, z, notices[k][1] if any(notice[x[0] - n_phrases] == k and a <= x[1] and x[2] <= z for x in told) else None, share)
+            inside = Inside([(notice[k - n_phrases], a, z) for k, a, z, _ in told])
+            spans = [(a, z, notices[k][1] if inside.has(k, a, z) else None, share)
                      for k, a, z, share in chains(whole, lengths, gap)]
             return sorted(places), spans
 

@@ -132,3 +132,31 @@ def test_later_paragraphs_of_licences(spark):
     first = L.NOTICES[0][0].split("\n")[0]
     alone = L.scan(spark.createDataFrame([(1, first)], "doc_id bigint, text string")).first()._report.spans[0]
     assert alone.label == "mit" and alone.covered == len(first.split()) / len(L.NOTICES[0][0].split())
+
+
+def test_paragraph_sweep_equals_all_pairs(rng):
+    for _ in range(300):
+        labels = [f"l{k % 4}" for k in range(8)]
+        found = []
+        for _ in range(int(rng.integers(0, 25))):
+            a = int(rng.integers(0, 12))
+            found.append((int(rng.integers(0, 8)), a, a + int(rng.integers(1, 8)), float(rng.integers(1, 5))))
+        want = [x for x in found if not any(y[1] <= x[1] and x[2] <= y[2] and y[3] > x[3] and labels[y[0]] != labels[x[0]] for y in found)]
+        assert L.best_paragraphs(found, labels) == want
+        inside = L.Inside([x[:3] for x in found])
+        for k in range(8):
+            for a in range(13):
+                for z in range(a, 20):
+                    assert inside.has(k, a, z) == any(x[0] == k and a <= x[1] and x[2] <= z for x in found)
+
+
+def test_thousands_of_notices_in_one_text(spark):
+    import time
+    line = "Released under the MIT license. Some other words stand here between two of them. Licensed under CC BY-NC 4.0.\n"
+    few, many = (spark.createDataFrame([(1, line * n)], "doc_id bigint, text string") for n in (100, 25_000))
+    each = [s.label for s in L.scan(few).first()._report.spans]
+    assert each.count("mit") == each.count("cc-by-nc") == 100
+    start = time.time()
+    labels = [s.label for s in L.scan(many).first()._report.spans]
+    assert labels.count("mit") == labels.count("cc-by-nc") == 25_000 and len(labels) == 250 * len(each)
+    assert time.time() - start < 120  # all pairs of 50,000 chains took many times this
