@@ -230,7 +230,7 @@ class QualityModel:
         self.shards, self.thresholds = shards, thresholds
 
     def judge(self, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-        """All columns and _units, _perplexity, _low, _high, _keep.
+        """All columns and _units, _perplexity, _low, _high, _keep (``kept`` is for rows that may have columns of these names).
 
         Null and empty texts have no perplexity and are rejected.  A language without
         held-out trusted texts (null too) takes the thresholds over all languages;
@@ -249,6 +249,16 @@ class QualityModel:
                                                 & (F.col("_perplexity") <= F.coalesce("_high", F.lit(float("inf")))), F.lit(False)))
                 .drop("_lang", "_logp"))
 
+    def kept(self, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+        """The rows that ``judge`` keeps, with the columns of ``docs`` and no others.
+
+        The columns go through under numbered names, so those that are called like a
+        column of ``judge`` or of its joins keep their values.
+        """
+        names = [f"c{i}" for i in range(len(docs.columns))]
+        text, lang = (names[docs.columns.index(c)] for c in (text_col, lang_col))
+        return self.judge(docs.toDF(*names), text, lang).filter("_keep").select(*names).toDF(*docs.columns)
+
 
 def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           low: float = LOW, high: float = HIGH, margin: float = MARGIN, shard: int = SHARD) -> QualityModel:

@@ -132,6 +132,18 @@ def test_languages_with_few_held_out_texts(spark, rng):
         assert got[5000 + n]._low < got[min(x)]._perplexity < got[5000 + n]._high
 
 
+def test_kept_rows_with_clashing_names(spark, rng):
+    rows = [(k, "plain words of a trusted text " * 5 if k % 3 else "", "en" if k % 2 else None) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = Q.train(docs, spark.createDataFrame([(k,) for k in range(0, 60)], "doc_id bigint"))
+    want = {r.doc_id for r in model.judge(docs).filter("_keep").collect()}
+    names = ["_keep", "_units", "_low", "_high", "_lang", "_logp", "_digest", "_cold", "_mean", "_perplexity", "c", "c0", "gram", "logp", "low"]
+    extra = docs.selectExpr(*[f"concat('{n}', doc_id) AS {n}" for n in names], "*")
+    got = model.kept(extra).collect()
+    assert {r.doc_id for r in got} == want and len(got) == len(want) and want
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names) and model.kept(extra).columns == extra.columns
+
+
 def test_nnpu_learns_toxic_words(spark, rng, hostile, nothing):
     clean = [f"{a}{b}" for a in ("ba", "ne", "ti", "ro") for b in ("sul", "mar", "ken", "dor")]
     toxic = ["grumpf", "zlorg", "snarkel"]
