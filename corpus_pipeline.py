@@ -7,13 +7,13 @@ the last return the columns of ``documents``.
 
 Defined cases: an empty table passes through as an empty table; null and empty texts
 are rejected by the quality stage; rows that repeat an id are judged each by their text,
-and near-duplicate groups keep all rows of the kept id; extra columns pass through.
+and near-duplicate groups keep all rows of the kept id; extra columns pass through,
+whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sharedsignal.llm import costpack, fmindex, knlm, simhash, suffixdedup
 from sharedsignal.llm.common import ensure_scratch, scratch, small_batches, table
@@ -23,7 +23,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents whose perplexity lies within their language's thresholds."""
     small_batches(spark)
     model = knlm.train(docs, knlm.trusted_ids(table(spark, sf_dir, "labels")))
-    return model.judge(docs).filter("_keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return model.kept(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
