@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sharedsignal import schemas
-from sharedsignal.operators import abf, overlap as ov, regions as rg
+from sharedsignal.operators import abf, features as ft, overlap as ov, regions as rg, sumstats as sm
 
 LOCUS = ("type", "study_id", "phenotype_id", "bio_feature", "lead_chrom", "lead_pos", "lead_ref", "lead_alt")
 TESTS = ", ".join(f"{s}_{c} {'int' if c == 'lead_pos' else 'string'}" for s in ("left", "right") for c in LOCUS)
@@ -83,3 +83,26 @@ def test_no_join_of_tests_on_variants(no_broadcast):
 def test_codes_are_read_back():
     for chrom, ref, alt in (("1", "A", "C"), ("", "1:A", "2"), ("X:1", "", "")):
         assert rg.variant_text(f"{len(chrom)}:{chrom}{len(ref)}:{ref}{alt}", 5) == f"{chrom}:5:{ref}:{alt}"
+
+
+def test_pairs_of_leads_meet_by_region(no_broadcast):
+    spark = no_broadcast
+    tags = spark.createDataFrame([(i, [10, 11, 12 + i], [3, 14, 1]) for i in range(6)], "lead long, tags array<long>, codes array<int>")
+    pairs = spark.createDataFrame([(i, j, "1", i * 700_000) for i in range(7) for j in range(7)] + [(0, 1, "1", 0)],
+                                  "left_lead long, right_lead long, left_chrom string, left_pos long")
+    df = ft.pair_overlaps(pairs, tags)
+    got = {(r.left_lead, r.right_lead): (r.total_overlap, r["prop_overlap_0.3"], r["prop_overlap_0.4"]) for r in df.collect()}
+    assert len(got) == 36 == df.count()  # lead 6 has no tags
+    assert got[0, 1] == (2, 1.0, 0.5) and got[2, 2] == (3, pytest.approx(2 / 3), pytest.approx(1 / 3))
+    joins = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert joins and not [x for x in joins if "left_lead" in x or "right_lead" in x]  # tags are not copied to every pair
+
+
+def test_named_statistics_need_no_join_back(no_broadcast):
+    _, stats = _case(no_broadcast)
+    signals = no_broadcast.createDataFrame([(1, "gwas", "G1", None, None, "1", 1000, "A", "C")], "signal_id long, " + ", ".join(
+        f"{c} {'int' if c == 'lead_pos' else 'string'}" for c in LOCUS))
+    ss = stats.drop("signal_id").withColumns({"study_id": F.lit("G1"), "phenotype_id": F.lit(None).cast("string"), "bio_feature": F.lit(None).cast("string")})
+    df = sm.signal_stats(signals, ss, 500, named=True)
+    assert df.columns == ["signal_id", *sm.SIGNAL_COLS, *sm.STAT_COLS] and df.count() == sm.signal_stats(signals, ss, 500).count() > 0
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
