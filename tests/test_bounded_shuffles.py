@@ -1,8 +1,9 @@
 """LD, conditioning and coloc of many variants: the same results without a shuffled row per pair of variants or per signal and variant."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from sharedsignal.operators import conditional as cd, ld as ldm
+from sharedsignal.operators import abf, conditional as cd, ld as ldm, regions as rg
 
 GENO = "sample_id bigint, chrom string, pos int, ref string, alt string, dosage int"
 STATS = ("signal_id long, chrom string, pos int, ref string, alt string, beta double, se double, pval double, n_total int, "
@@ -65,3 +66,49 @@ def test_repeated_conditioning_rows_multiply(spark):
     got = sorted(r.pos for r in cd.cojo_single(stats, conds, geno, 300).collect())
     assert got and all(got.count(p) == 2 for p in got) and 4000 not in got
     assert cd.cojo_single(stats, conds, geno.limit(0), 300).count() == 0 and cd.cojo_single(stats.filter("pos < 4000"), conds, geno, 300).count() == 0
+
+
+LOCUS = ("type", "study_id", "phenotype_id", "bio_feature", "lead_chrom", "lead_pos", "lead_ref", "lead_alt")
+TESTS = ", ".join(f"{s}_{c} {'int' if c == 'lead_pos' else 'string'}" for s in ("left", "right") for c in LOCUS)
+SUMSTATS = "study_id string, phenotype_id string, bio_feature string, " + STATS.removeprefix("signal_id long, ")
+
+
+def _coloc_case(spark):
+    """Overlapping windows, statistics on their very edge, repeated and incomplete rows, constants that vary between blocks."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for study, ph, n, nc, cc in (("G1", None, 5000, None, False), ("G2", None, 3000, 900, True), ("Q1", "P", 800, None, None), ("Q1", "R", 700, 50, True)):
+        for pos in [*range(0, 3_000_001, 20_000), 1_100_000, 1_100_001]:
+            p = [0.0, float("nan"), None][pos // 20_000 - 40] if 40 <= pos // 20_000 < 43 and study == "G2" else float(10 ** -rng.uniform(0, 6))
+            eaf = None if pos == 500_000 else float("nan") if pos == 520_000 else float(rng.uniform(0, 1))
+            rows.append((study, ph, None, "1", pos, "A", "C" if pos % 60_000 else "GT", 0.1, 0.01, p, n - (pos > 1_000_000) * (ph == "R"), nc, eaf, cc))
+    rows += rows[5:9] + [("G1", None, None, None, 400_000, "A", "C", 0.1, 0.01, 0.1, 5000, None, 0.2, False),
+                         ("G1", None, None, "1", None, "A", "C", 0.1, 0.01, 0.1, 5000, None, 0.2, False), ("G9", None, None, "1", 7, "A", "C", 0.1, 0.01, 0.1, 5000, None, 0.2, False)]
+    locus = lambda k, study, ph, pos, chrom="1": (k, study, ph, None, chrom, pos, "A", "C")
+    pairs = [(locus("gwas", "G1", None, a), locus("gwas", "G2", None, b)) for a in (600_000, 750_000, 1_600_000) for b in (600_001, 900_000)]
+    pairs += [(locus("gwas", "G1", None, 600_000), locus("eqtl", "Q1", x, y)) for x in ("P", "R") for y in (600_000, 1_000_000)]
+    pairs += [(locus("gwas", "G2", None, 2_900_000), locus("eqtl", "Q1", "R", 2_900_000)), (locus("gwas", "G1", None, None), locus("eqtl", "Q1", "P", 5)),
+              (locus("gwas", "G3", None, 5), locus("eqtl", "Q1", "P", 5)), (locus("gwas", "G1", None, 5, "2"), locus("eqtl", "Q1", "P", 5, "2"))]
+    return spark.createDataFrame([a + b for a, b in pairs], TESTS), spark.createDataFrame(rows, SUMSTATS)
+
+
+@pytest.mark.parametrize("anchor,group_signals", [("own", 256), ("own", 1), ("left", 256)])
+def test_windows_cut_in_groups_give_what_prepared_signals_give(spark, anchor, group_signals, monkeypatch):
+    monkeypatch.setattr(rg.window_sums, "__defaults__", (group_signals,))
+    tests, ss = _coloc_case(spark)
+    key = lambda df: {(r.left_study, r.left_pos, r.right_study, r.right_phenotype, r.right_pos): r for r in df.collect()}
+    want = key(abf.run_coloc(tests, abf.prepare_signals(tests, ss, window_anchor=anchor), window_anchor=anchor))
+    got = key(abf.run_coloc_windows(tests, ss, window_anchor=anchor))
+    assert set(got) == set(want) and len(got) >= 9
+    for k, r in want.items():
+        assert got[k].nsnps == r.nsnps
+        assert [got[k][f"coloc_h{i}"] for i in range(5)] == pytest.approx([r[f"coloc_h{i}"] for i in range(5)], rel=1e-12)
+    assert abf.run_coloc_windows(tests, ss.limit(0), window_anchor=anchor).count() == 0
+
+
+def test_blocks_hold_each_statistic_once(spark):
+    tests, ss = _coloc_case(spark)
+    signals = abf.signals_with_ids(tests).filter("lead_chrom is not null")
+    tracks = rg.dictionary(signals, ["study_id", "phenotype_id", "bio_feature", "lead_chrom"], "track")
+    blocks = rg.window_blocks(abf.with_z(ss.withColumn("maf", abf.eaf_to_maf(F.col("eaf")))), tracks, 250_000)
+    assert blocks.agg(F.sum(F.size("pos"))).first()[0] == ss.filter("study_id <> 'G9' and chrom is not null and pos is not null").count()
