@@ -112,3 +112,14 @@ def test_blocks_hold_each_statistic_once(spark):
     tracks = rg.dictionary(signals, ["study_id", "phenotype_id", "bio_feature", "lead_chrom"], "track")
     blocks = rg.window_blocks(abf.with_z(ss.withColumn("maf", abf.eaf_to_maf(F.col("eaf")))), tracks, 250_000)
     assert blocks.agg(F.sum(F.size("pos"))).first()[0] == ss.filter("study_id <> 'G9' and chrom is not null and pos is not null").count()
+
+
+def test_carriers_without_a_sample_id(spark):
+    """They are a block of their own: pairs of variants that both have such carriers occur twice, as ``ld_pairs`` gives them."""
+    g, geno = genotypes(spark)
+    geno = geno.union(spark.createDataFrame([(None, "1", 1000 * k, "A", "C", 1) for k in (4, 6)], GENO))
+    stats = spark.createDataFrame([(1, "1", 1000 * k, "A", "C", 0.01 * k, 0.02, 1e-3, 5000, None, 0.3, False) for k in range(1, 10)], STATS)
+    conds = spark.createDataFrame([(1, "1", 4000, "A", "C")], "signal_id long, cond_chrom string, cond_pos int, cond_ref string, cond_alt string")
+    got = [r.pos for r in cd.cojo_single(stats, conds, geno, 300).collect()]
+    pairs = [r.tag_pos for r in ldm.ld_pairs(geno, conds.select(*[F.col(f"cond_{c}").alias(f"lead_{c}") for c in cd.VAR]), 300).collect()]
+    assert got.count(6000) == pairs.count(6000) == 2 and got.count(5000) == pairs.count(5000) == 1
