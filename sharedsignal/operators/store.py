@@ -66,6 +66,11 @@ class SignalStore:
             raise ValueError("the store holds statistics of another window or MAF filter")
         return anti_join_null_safe(signals, held, SIGNAL_COLS)
 
+    def prepared(self, new: DataFrame, sumstats: DataFrame, part: str) -> DataFrame:
+        """The rows that a run writes.  Every task of the range join writes its share of the buckets itself, so rows, of which
+        there is one per signal and statistic, are not shuffled once more; a bucket may have several files."""
+        return signal_stats(new, sumstats, self.window_kb, self.min_maf).withColumn("run", F.lit(part))
+
     def prepare(self, signals: DataFrame, sumstats: DataFrame, run: str) -> DataFrame:
         """Prepare the missing ones of ``signals`` (signal_id and the signal columns) as ``run``.
 
@@ -78,8 +83,7 @@ class SignalStore:
         wanted = materialize(signals.select("signal_id", *SIGNAL_COLS).distinct(), "requested-signals")
         new = materialize(self.missing(wanted), "new-signals")
         if not new.isEmpty():
-            stats = signal_stats(new, sumstats, self.window_kb, self.min_maf).withColumn("run", F.lit(part))
-            (stats.repartition(self.buckets, "signal_id").write.format("parquet").mode("append").option("path", f"{self.path}/stats")
+            (self.prepared(new, sumstats, part).write.format("parquet").mode("append").option("path", f"{self.path}/stats")
              .partitionBy("run").bucketBy(self.buckets, "signal_id").sortBy("signal_id", "pos").saveAsTable(self.table))
             counts = spark.table(self.table).filter(F.col("run") == part).groupBy("signal_id").agg(F.count(F.lit(1)).alias("n_stats"))
             index = new.join(counts, "signal_id", "left").select(

@@ -126,3 +126,38 @@ def test_carriers_without_a_sample_id(spark):
     want = sorted((r.tag_pos, r.R_EUR) for r in pairs.collect())
     assert [p for p, _ in got] == [p for p, _ in want] == [1000, 2000, 3000, 4000, 4000, 5000, 6000, 6000, 7000, 8000, 9000]
     assert [r for _, r in got] == pytest.approx([r for _, r in want], rel=1e-12)
+
+
+def test_stored_statistics_are_not_shuffled_again(spark):
+    """Rows leave the range join as they are written; a bucket of several files is read whole, each signal in one task."""
+    from sharedsignal.operators.store import new_store
+    from sharedsignal.sources.io import scratch_root
+
+    tests, ss = _coloc_case(spark)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = [spark.conf.get(x) for x in names]
+    for x, value in zip(names, ("-1", "false")):
+        spark.conf.set(x, value)
+    try:
+        store, signals = new_store(scratch_root(spark), buckets=2), abf.signals_with_ids(tests)
+        plan = store.prepared(signals, ss, "run")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == 1 and "Repartition" not in plan
+        store.prepare(signals.filter("lead_pos % 3 = 0"), ss, "one")
+        store.prepare(signals, ss, "two")
+        assert len(store.stats(spark).inputFiles()) > 4
+        assert store.stats(spark).groupBy("signal_id").count()._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+    finally:
+        for x, value in zip(names, old):
+            spark.conf.set(x, value)
+    ordered = lambda df: sorted(map(str, df.drop(*[f"coloc_h{i}" for i in range(5)]).collect()))
+    want = abf.run_coloc(tests, abf.prepare_signals(tests, ss))
+    got = abf.run_coloc(tests, store.stats(spark))
+    assert ordered(got) == ordered(want) and want.count() >= 9
+    assert "Aggregate [left_type" not in got._jdf.queryExecution().optimizedPlan().toString()  # the distinct tests are written once
+
+
+def test_signal_arrays_are_in_order_of_position(spark):
+    _, ss = _coloc_case(spark)
+    pre = abf.with_z(ss.withColumns({"maf": abf.eaf_to_maf(F.col("eaf")), "signal_id": F.xxhash64("study_id", "phenotype_id")}))
+    rows = rg.signal_arrays(pre.repartition(5)).collect()
+    assert rows and all(r.pos == sorted(r.pos) and len(r.pos) == len(r.z) == len(r.code) for r in rows)
