@@ -9,7 +9,6 @@ from ..functions.stats import eaf_to_maf_sql
 from ..operators import abf
 from ..schemas import LOCUS_COLS
 from ..sources import adapters as A
-from ..sources.io import materialize
 from . import jobs, oracle as O
 from .adapters_sql import CTES, register, with_adapters
 from .registry import query, rounded, rounded_sql
@@ -47,5 +46,4 @@ for _name in _CHAIN:
 def q_coloc_results_left_anchor(spark, d):
     """M5 with window_anchor='left': the right signal's statistics are cut around the left lead."""
     t = jobs.tests(spark, d)
-    stats = materialize(abf.prepare_signals(t, A.sumstats(spark, d), window_anchor="left"), "signal_stats_la")
-    return rounded(abf.run_coloc(t, stats, window_anchor="left").select(*RAW_COLS), PP)
+    return rounded(abf.run_coloc_windows(t, A.sumstats(spark, d), window_anchor="left").select(*RAW_COLS), PP)

@@ -64,3 +64,11 @@ def test_harmonise_pair_joins_no_shared_variant(spark, tables):
     want = abf.harmonise(t, stats).join(t, "test_id").select(*abf.results_naming(t), "chrom", "pos", "ref", "alt", "left_pval", "right_pval")
     assert got.count() == want.count() > 1000 and ordered(got) == ordered(want)
     assert not [x for x in plan(got).splitlines() if "Join " in x and "right_pval" in x or "Join " in x and "right_signal_id" in x]
+
+
+def test_left_anchor_writes_no_row_per_signal_and_variant(spark, tables, written):
+    got = entry.queries()["coloc_results_left_anchor"](spark, tables)
+    assert "signal_stats_la" not in written and "group-signals" in written
+    t = jobs.tests(spark, tables)
+    want = abf.run_coloc(t, abf.prepare_signals(t, A.sumstats(spark, tables), window_anchor="left"), window_anchor="left")
+    assert got.count() > 20 and ordered(got.drop(*[f"coloc_h{i}" for i in range(5)])) == ordered(want.drop(*[f"coloc_h{i}" for i in range(5)]))
