@@ -3,11 +3,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from sharedsignal.operators import abf, regions as rg, sumstats as sm
+from sharedsignal.operators import abf, conditional as cd, regions as rg, sumstats as sm
 from sharedsignal.plans import catalog_more, jobs
 from sharedsignal.sources import adapters as A
 from sharedsignal.sources import io
-from test_bounded_shuffles import _coloc_case
+from test_bounded_shuffles import SUMSTATS, _coloc_case, genotypes
 
 
 @pytest.fixture(scope="session")
@@ -72,3 +72,50 @@ def test_left_anchor_writes_no_row_per_signal_and_variant(spark, tables, written
     t = jobs.tests(spark, tables)
     want = abf.run_coloc(t, abf.prepare_signals(t, A.sumstats(spark, tables), window_anchor="left"), window_anchor="left")
     assert got.count() > 20 and ordered(got.drop(*[f"coloc_h{i}" for i in range(5)])) == ordered(want.drop(*[f"coloc_h{i}" for i in range(5)]))
+
+
+def test_conditioning_by_region_gives_what_the_solver_gives(spark, tables):
+    """Also the statistics that pass unconditioned, and no join makes a row per window variant and conditioning variant."""
+    sig, ws, conds = catalog_more._cond_inputs(spark, tables)
+    geno, n = A.genotypes(spark, tables), A.genotype_samples(spark, tables)
+    solved = cd.cojo_solve(ws, conds, geno, n).localCheckpoint()
+    merged = cd.merge_conditional(ws, solved.filter("chrom is not null").select(*cd.COJO_COLS)).join(sig, "signal_id").select(*catalog_more._MERGED)
+    query = entry.queries()
+    got = query["merge_conditional"](spark, tables)
+    assert merged.count() > 300 and ordered(got, 5) == ordered(catalog_more.rounded(merged, catalog_more._MERGED_ROUND, catalog_more._COJO_DIGITS), 5)
+    assert "cond_pos" not in plan(got) or not [x for x in plan(got).splitlines() if "Join " in x and "cond_pos" in x]
+    status = cd.conditioning_status(sig, solved).select(*catalog_more._STATUS)
+    assert status.filter("n_used > 0").count() > 5 and ordered(query["conditioning_status"](spark, tables)) == ordered(status)
+    assert ordered(query["conditioning_failures"](spark, tables)) == ordered(status.filter("n_used = 0"))
+
+
+@pytest.mark.parametrize("group_signals", [128, 1])
+def test_solve_windows_of_odd_signals(spark, group_signals, monkeypatch):
+    """Lists of several variants, without genotypes, collinear ones; a signal without a list, one without a position."""
+    g, geno = genotypes(spark)
+    double = geno.filter("pos = 3000").selectExpr("sample_id", "chrom", "25000 as pos", "ref", "alt", "dosage")  # variant 25 is variant 3 again
+    geno = geno.union(double)
+    ss = spark.createDataFrame([(s, None, None, "1", 1000 * k, "A", "C", 0.01 * ((k * 7 + len(s)) % 9 - 4), 0.02 + 0.001 * k, 10.0 ** -(k % 5), 5000, None, 0.1 + 0.03 * (k % 20), False)
+                                for s in ("G1", "G2", "G3") for k in range(1, 28)], SUMSTATS)
+    locus = "type string, study_id string, phenotype_id string, bio_feature string, lead_chrom string, lead_pos int, lead_ref string, lead_alt string"
+    signals = spark.createDataFrame([(i, "gwas", s, None, None, c, p, "A", "C") for i, (s, c, p) in enumerate(
+        [("G1", "1", 6000), ("G1", "1", 12000), ("G2", "1", 9000), ("G3", "1", 5000), ("G3", "1", None), ("G3", "2", 5000), ("G9", "1", 5)])], "signal_id long, " + locus)
+    top = spark.createDataFrame([(s, None, None, "1", 1000 * k, "A", "C", 1e-3) for s, ks in (("G1", (2, 3, 6, 12, 25)), ("G2", (9, 27))) for k in ks],
+                                "study_id string, phenotype_id string, bio_feature string, chrom string, pos int, ref string, alt string, pval double")
+    ws = sm.signal_sumstats_join(signals, ss, 1000).select("signal_id", "lead_pos", *sm.STAT_COLS)
+    conds, tops = cd.window_conditions(signals, ss, top)
+    assert ordered(conds) == ordered(cd.condition_list(signals, ws, top))
+    solved = cd.cojo_solve(ws.drop("lead_pos"), conds, geno, 300).localCheckpoint()
+    solve = lambda stats, **k: cd.solve_windows(signals, conds, stats, geno, 300, group_signals=group_signals, **k)
+    want = cd.merge_conditional(ws.drop("lead_pos"), solved.filter("chrom is not null").select(*cd.COJO_COLS)).select("signal_id", *sm.STAT_COLS, "z_cond")
+    got = solve(ss, plain=True).localCheckpoint()
+    assert dict(got.dtypes)["pos"] == "int"
+    assert ordered(cd.solved_rows(got).filter("z_cond is not null"), 7) == ordered(want.filter("z_cond is not null"), 7) and want.count() > 30
+    plain = cd.solved_rows(got).join(conds, "signal_id", "left_anti")
+    assert ordered(plain.drop("z_cond")) == ordered(ws.join(conds, "signal_id", "left_anti").select("signal_id", *sm.STAT_COLS)) and plain.count() > 20
+    status = solved.filter("chrom is null").select("signal_id", *cd.STATUS_COLS)
+    for x in (got.filter("chrom is null"), solve(tops, rows=False)):
+        assert ordered(x.select("signal_id", *cd.STATUS_COLS)) == ordered(status)
+    assert {r.reason for r in status.collect()} == {"collinear variants left out", "no genotypes"}
+    assert solve(ss, kept_window_kb=3).filter("signal_id = 0 and abs(pos - 6000) > 3000").count() == 0
+    assert solve(ss.limit(0), plain=True).count() == 0 and solve(ss, rows=False).filter("chrom is not null").count() == 0
