@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import materialize
+
 BETA_COLS = {"beta": "left_var_right_study_beta", "se": "left_var_right_study_se",
              "pval": "left_var_right_study_pval", "is_cc": "left_var_right_isCC"}
 
@@ -16,6 +18,8 @@ def join_betas(coloc: DataFrame, sumstats: DataFrame) -> DataFrame:
     A sort-merge join on all seven keys (null-safe keys hash as value + null
     flag), so no single study or variant becomes one task.
     """
+    # written once: its (study, chromosome) pairs and the join both read it
+    coloc = materialize(coloc, "coloc-for-betas")
     # Only (study, chromosome) combinations that occur in the coloc table are read:
     # a semi-join on a key set bounded by studies x chromosomes (AQE broadcasts it
     # once measured; on a study/chrom-partitioned table it also prunes files).
