@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import materialize
+
 TIME_RE = r"Time taken: (\d+):(\d+):([0-9.]+)"
 MEAN_INTERVAL = 1000
 
@@ -47,7 +49,8 @@ def running_mean(seconds: DataFrame, order_col: str = "log_id", interval: int =
     n = int(seconds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = seconds.repartitionByRange(n, order_col).withColumn("__part", F.spark_partition_id())
     inside = Window.partitionBy("__part").orderBy(order_col)
-    numbered = dealt.withColumn("__rank", F.row_number().over(inside))
+    # written: the bounds of the ranges are sampled, so dealing the rows a second time could give other parts
+    numbered = materialize(dealt.withColumn("__rank", F.row_number().over(inside)), "numbered-logs")
     sizes = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
     b = (numbered.join(before, "__part")
